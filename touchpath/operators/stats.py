@@ -117,13 +117,19 @@ def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
         F.round(F.avg(F.when(multi, F.col("purchase_value").cast("double"))), 6).alias("multi_tp_mean_conversions_value"),
         F.round(F.avg(F.when(multi, F.col("chain_len"))), 6).alias("multi_tp_mean_chain_len"),
     )
-    mc = c.where(multi)
-    med = {
-        "median_conversions_value": exact_median(c, "purchase_value"),
-        "median_chain_len": exact_median(c, "chain_len"),
-        "multi_tp_median_conversions_value": exact_median(mc, "purchase_value"),
-        "multi_tp_median_chain_len": exact_median(mc, "chain_len"),
-    }
+    # The median passes re-read two narrow columns several times: keep them
+    # cached (recomputed from lineage if an executor is lost).
+    vals = c.select(F.col("purchase_value").cast("double").alias("purchase_value"), "chain_len").persist()
+    mc = vals.where(multi)
+    try:
+        med = {
+            "median_conversions_value": exact_median(vals, "purchase_value"),
+            "median_chain_len": exact_median(vals, "chain_len"),
+            "multi_tp_median_conversions_value": exact_median(mc, "purchase_value"),
+            "multi_tp_median_chain_len": exact_median(mc, "chain_len"),
+        }
+    finally:
+        vals.unpersist()
     extra = [F.round(F.lit(v).cast("double"), 6).alias(k) for k, v in med.items()]
     return row.select("*", *extra, F.lit(run_date).alias("run_date"))
 
