@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 def param(params_col: str, key: str, strict: bool = False) -> Column:
     """The ``value`` struct of the first ``event_params`` entry with ``key``.
 
-    NULL when the key is absent. ``strict`` raises on duplicate keys (the
-    warehouse aborts a scalar subquery returning more than one row).
+    NULL when the key is absent. Written with ``array_position`` on the key
+    array and a safe 0-based ``get`` (no lambda), so it stays in whole-stage
+    codegen. ``strict`` raises on duplicate keys (the warehouse aborts a scalar
+    subquery returning more than one row).
     """
-    matches = F.filter(F.col(params_col), lambda p: p["key"] == F.lit(key))
-    first = F.get(matches, 0)["value"]
+    keys = F.col(params_col)["key"]
+    first = F.get(F.col(params_col), (F.array_position(keys, F.lit(key)) - 1).cast("int"))["value"]
     if not strict:
         return first
-    return F.when(F.size(matches) > 1, F.raise_error(F.lit(f"duplicate event_params key '{key}'"))).otherwise(first)
+    n_matches = F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
+    return F.when(n_matches > 1, F.raise_error(F.lit(f"duplicate event_params key '{key}'"))).otherwise(first)
 
 
 def session_key(user_col: str, session_param: Column) -> Column:

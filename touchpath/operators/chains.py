@@ -30,19 +30,22 @@ def _running_count_before(flag: str, partition: list, order: list):
 
 
 def session_chain_numbers(rows: DataFrame) -> DataFrame:
-    """Per (customer, session): whether it closes a chain and its chain number.
+    """Per (customer, session): its touches, whether it closes a chain, its chain number.
 
     Rows are ordered by (first_event_timestamp, session_id, event_timestamp,
     channel_group) (D10), so each session is contiguous and a chain closes on
-    the last row of a session whose flag is 1. The chain number is the count
-    of closing sessions before the session, computed as a two-level prefix
-    sum: closings on earlier days (window over one row per customer-day) plus
-    closings earlier the same day (window per customer-day).
+    the last row of a session whose flag is 1. T4 has one row per (session,
+    channel), so a session's touch list is bounded by the number of channels.
+    The chain number is the count of closing sessions before the session,
+    computed as a two-level prefix sum: closings on earlier days (window over
+    one row per customer-day) plus closings earlier the same day (window per
+    customer-day), so no window spans a customer's whole history.
     """
     last = F.max_by(F.struct("f_purchased", "last_event_timestamp", "session_revenue"),
                     F.struct("event_timestamp", "channel_group"))
     sess = (rows.groupBy("customer_id", "session_id")
-            .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"))
+            .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"),
+                 F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"))
             .withColumn("closes", F.when(F.col("last.f_purchased") == 1, 1).otherwise(0))
             .withColumn("day", utc_date("first_ts")))
     per_day = (sess.groupBy("customer_id", "day").agg(F.sum("closes").alias("n_day"))
@@ -51,7 +54,7 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
     local = _running_count_before("closes", ["customer_id", "day"], ["first_ts", "session_id"])
     return (sess.withColumn("local", local)
             .join(per_day, ["customer_id", "day"])
-            .select("customer_id", "session_id", "first_ts", "closes", "last",
+            .select("customer_id", "session_id", "first_ts", "closes", "last", "items",
                     (F.col("offset") + F.col("local")).alias("chain_no")))
 
 
@@ -61,23 +64,20 @@ def conversion_chains(t4: DataFrame) -> DataFrame:
     ``first_event`` is the date of the chain's first session start; id,
     timestamp, date and value come from the closing session.
     """
-    rows = to_customer_rows(t4)
-    sess = session_chain_numbers(rows)
-    touches = rows.select("customer_id", "session_id", "event_timestamp", "channel_group").join(
-        sess.select("customer_id", "session_id", "first_ts", "chain_no", "closes", "last"),
-        ["customer_id", "session_id"])
+    sess = session_chain_numbers(to_customer_rows(t4))
     closing = F.when(F.col("closes") == 1, F.struct("session_id", "last"))
-    grouped = touches.groupBy("customer_id", "chain_no").agg(
-        F.array_sort(F.collect_list(F.struct("first_ts", "session_id", "event_timestamp", "channel_group"))).alias("items"),
+    grouped = sess.groupBy("customer_id", "chain_no").agg(
+        F.array_sort(F.collect_list(F.struct("first_ts", "session_id", "items"))).alias("parts"),
         F.min("first_ts").alias("first_ts"),
         F.max(closing).alias("closing"),
     ).where(F.col("closing").isNotNull())
     end_ts = F.col("closing.last.last_event_timestamp")
+    chain = F.flatten(F.transform("parts", lambda p: F.transform(p["items"], lambda i: i["channel_group"])))
     return grouped.select(
         "customer_id",
         F.concat(F.col("closing.session_id"), F.lit("."), F.date_format(end_ts, "yyyyMMdd")).alias("conversion_id"),
         end_ts.alias("conversion_timestamp"),
-        F.transform("items", lambda x: x["channel_group"]).alias("chain"),
+        chain.alias("chain"),
         utc_date("first_ts").alias("first_event"),
         utc_date(end_ts).alias("purchase_date"),
         F.col("closing.last.session_revenue").alias("purchase_value"),

@@ -107,7 +107,11 @@ def chains_base(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     writers apply it with ``sortWithinPartitions`` (O1).
     """
     cand = lookback_candidates(t3, cfg)
-    convs = conversions(t3, cfg)
+    # The coverage summary is built from max/min only, so duplicate conversion
+    # rows (one per channel of the session) need no DISTINCT exchange.
+    convs = (t3.where((F.col("f_converted") == 1)
+                      & _first_date().between(F.lit(cfg.conversion_start), F.lit(cfg.last_day)))
+             .select("cookie_id", F.col("last_event_timestamp").alias("conversion_timestamp")))
     kept = in_lookback(cand.where(F.col("cookie_id").isNotNull() & F.col("channel_group").isNotNull()),
                        convs, cfg.lookback_window)
     return kept.join(last_country(cand), "cookie_id", "left").select(*T4_COLUMNS)

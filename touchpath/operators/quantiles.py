@@ -18,25 +18,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 4096, max_passes: int = 64):
-    """0-based k-th smallest non-NULL value of ``col`` (exact)."""
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    stats = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n")).first()
-    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+def _kth_from_counts(counts, below: int, k: int):
+    acc = below
+    for v, c in sorted(counts):
+        acc += c
+        if acc > k:
+            return v
+    return None
+
+
+def kth_smallest(vals: DataFrame, k: int, n: int, buckets: int = 4096, max_passes: int = 64):
+    """0-based k-th smallest of the non-NULL double column ``v`` of ``vals`` (n values).
+
+    First pass: exact value counts when there are at most ``buckets``
+    distinct values (one job). Otherwise histogram passes narrow the range;
+    membership in the kept bucket is always the same expression that was
+    counted, so floating-point edges cannot double count.
+    """
     if n == 0 or k < 0 or k >= n:
         return None
-    keep = F.lit(True)  # membership is always the bucket expression that was counted
+    keep = F.lit(True)
     below = 0  # values ordered before the kept range
+    lo = hi = None
     for _ in range(max_passes):
         cur = vals.where(keep)
-        if lo == hi or cur.select("v").distinct().limit(buckets + 1).count() <= buckets:
-            counts = sorted((r["v"], r["c"]) for r in cur.groupBy("v").agg(F.count("*").alias("c")).collect())
-            acc = below
-            for v, c in counts:
-                acc += c
-                if acc > k:
-                    return v
-            return counts[-1][0]
+        exact = cur.groupBy("v").agg(F.count("*").alias("c")).limit(buckets + 1).collect()
+        if len(exact) <= buckets:
+            return _kth_from_counts([(r["v"], r["c"]) for r in exact], below, k)
+        if lo is None:
+            st = cur.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+            lo, hi = st["lo"], st["hi"]
         width = (hi - lo) / buckets
         b = F.greatest(F.lit(0), F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("int"),
                                           F.lit(buckets - 1)))
@@ -52,13 +63,15 @@ def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 4096, max_passe
     raise RuntimeError("kth_smallest did not converge")
 
 
-def exact_median(df: DataFrame, col: str):
+def exact_median(df: DataFrame, col: str, n: int | None = None):
     """Median with the mean of the two middle values for an even count (pandas rule)."""
-    n = df.where(F.col(col).isNotNull()).count()
+    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    if n is None:
+        n = vals.count()
     if n == 0:
         return None
-    a = kth_smallest(df, col, (n - 1) // 2)
-    b = a if n % 2 == 1 else kth_smallest(df, col, n // 2)
+    a = kth_smallest(vals, (n - 1) // 2, n)
+    b = a if n % 2 == 1 else kth_smallest(vals, n // 2, n)
     return (a + b) / 2.0
 
 

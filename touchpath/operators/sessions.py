@@ -101,15 +101,24 @@ def session_origins(touchpoints: DataFrame, fallback: DataFrame) -> DataFrame:
     return _finish_origins(tp.unionByName(fb))
 
 
-def origins_single_pass(base: DataFrame) -> DataFrame:
-    """A3 + A4 + J1 in one partial aggregation and one session window.
+_SESSION_FACTS = ["cookie_id", "is_engaged", "country_web", "f_converted", "total_transactions",
+                  "total_item_quantity", "session_revenue_usd", "first_event_timestamp", "last_event_timestamp"]
 
-    Same result as ``session_origins(session_touchpoints(b), session_fallback_origin(b))``
-    with fewer exchanges: the aggregation shuffles on its full key, the window
-    re-partitions by session_id, and that partitioning is then reused by the
-    (session, channel) aggregation and the join with the session roll-up.
+
+def session_origins_with_facts(base: DataFrame) -> DataFrame:
+    """A2-A4 + J1 from one scan: origins carrying their session's roll-up facts.
+
+    The origin aggregation also keeps partial roll-up measures per origin
+    group (all algebraic: max of (ts, value) structs, sums, min/max). The
+    session window that decides fallback-vs-touchpoint then finishes the
+    roll-up over the same partition, so the separate session aggregation, its
+    exchange and the final roll-up join are not needed. Equal to
+    ``session_origins`` plus ``session_rollup`` joined on session_id.
     """
     tp = _has_origin()
+    ts = F.col("event_timestamp")
+    is_purchase = F.col("event_name") == PURCHASE
+    has_country = F.col("country_web").isNotNull()
     grouped = (base.where(F.col("session_id").isNotNull())
                .groupBy(
                    "session_id",
@@ -118,17 +127,55 @@ def origins_single_pass(base: DataFrame) -> DataFrame:
                    F.when(tp, F.coalesce("medium", F.lit(NONE_LABEL))).alias("tp_medium"),
                    F.when(tp, F.coalesce("campaign_name", F.lit(NONE_LABEL))).alias("tp_campaign"))
                .agg(F.min_by(_first_touch_struct(), _first_touch_order()).alias("fb"),
-                    F.min("event_timestamp").alias("event_timestamp")))
-    has_tp = F.max("f_tp").over(Window.partitionBy("session_id"))
-    kept = grouped.withColumn("has_tp", has_tp).where((F.col("f_tp") == 1) | (F.col("has_tp") == 0))
+                    F.min(ts).alias("event_timestamp"),
+                    F.max(ts).alias("ts_max"),
+                    F.max(F.struct(ts.alias("t"), F.col("cookie_id").alias("v"))).alias("cookie_last"),
+                    F.max("is_engaged").alias("engaged"),
+                    F.max(F.when(has_country, F.struct(ts.alias("t"), F.col("country_web").alias("v")))).alias("country_last"),
+                    F.sum(F.when(is_purchase, 1).otherwise(0)).cast("bigint").alias("n_purchase"),
+                    F.sum(F.when(is_purchase, F.col("total_item_quantity")).otherwise(0)).cast("bigint").alias("qty"),
+                    F.sum(F.when(is_purchase, F.col("purchase_revenue_in_usd")).otherwise(0.0)).alias("revenue")))
+    w = Window.partitionBy("session_id")
+    n_purchase = F.sum("n_purchase").over(w)
+    facts = [
+        F.max("cookie_last").over(w)["v"].alias("cookie_id"),
+        F.max("engaged").over(w).alias("is_engaged"),
+        F.max("country_last").over(w)["v"].alias("country_web"),
+        F.when(n_purchase > 0, 1).otherwise(0).alias("f_converted"),
+        n_purchase.alias("total_transactions"),
+        F.sum("qty").over(w).alias("total_item_quantity"),
+        F.sum("revenue").over(w).try_cast(REVENUE).alias("session_revenue_usd"),
+        micros_to_ts(F.min("event_timestamp").over(w)).alias("first_event_timestamp"),
+        micros_to_ts(F.max("ts_max").over(w)).alias("last_event_timestamp"),
+        F.max("f_tp").over(w).alias("has_tp"),
+    ]
     is_tp = F.col("f_tp") == 1
-    return _finish_origins(kept.select(
-        "session_id", "f_tp",
-        F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source")).alias("source"),
-        F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium")).alias("medium"),
-        F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")).alias("campaign_name"),
-        "event_timestamp",
-    ))
+    return (grouped.select("*", *facts)
+            .where(is_tp | (F.col("has_tp") == 0))
+            .select(
+                "session_id", "f_tp",
+                F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source")).alias("source"),
+                F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium")).alias("medium"),
+                F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")).alias("campaign_name"),
+                micros_to_ts("event_timestamp").alias("event_timestamp"),
+                *_SESSION_FACTS)
+            .withColumn("source_medium", F.concat("source", F.lit("/"), "medium")))
+
+
+def session_channels_with_facts(classified: DataFrame) -> DataFrame:
+    """A5 + J2 on origins that carry session facts: T3 without a join.
+
+    The input is already hash-partitioned by session_id (session window), so
+    this (session_id, channel_group) aggregation adds no exchange; session
+    facts are constant per session and taken with ``first``.
+    """
+    first = F.min_by(F.struct("source", "medium", "campaign_name", "source_medium"),
+                     F.struct("event_timestamp", "source", "medium", "campaign_name"))
+    out = (classified.groupBy("session_id", "channel_group")
+           .agg(first.alias("o"), F.max("f_tp").alias("f_tp"), F.min("event_timestamp").alias("event_timestamp"),
+                *[F.first(c).alias(c) for c in _SESSION_FACTS]))
+    return out.select(*[F.col(f"o.{c}").alias(c) if c in ("source", "medium", "campaign_name", "source_medium")
+                        else F.col(c) for c in T3_COLUMNS])
 
 
 def session_channels(classified: DataFrame) -> DataFrame:

@@ -98,40 +98,57 @@ def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
     ever holds all values. Dates and counts stay typed; ``perimeter_report``
     renders the (info, value) sheet.
     """
+    # Several passes read these narrow columns (one aggregation, then the
+    # median passes): keep them cached; lost blocks are recomputed from lineage.
     c = chains.select("customer_id", "conversion_id", "first_event", "conversion_timestamp", "purchase_value",
-                      F.size("chain").alias("chain_len"))
-    multi = F.col("chain_len") > 1
-    row = c.agg(
-        F.min("first_event").alias("events_start_date"),
-        F.max("first_event").alias("events_end_date"),
-        utc_date(F.min("conversion_timestamp")).alias("conversions_start_date"),
-        utc_date(F.max("conversion_timestamp")).alias("conversions_end_date"),
-        F.countDistinct("customer_id").alias("nr_customers"),
-        F.countDistinct("conversion_id").alias("nr_conversions"),
-        F.sum("purchase_value").alias("conversions_value"),
-        F.round(F.avg(F.col("purchase_value").cast("double")), 6).alias("mean_conversions_value"),
-        F.round(F.avg("chain_len"), 6).alias("mean_chain_len"),
-        F.countDistinct(F.when(multi, F.col("customer_id"))).alias("multi_tp_nr_customers"),
-        F.countDistinct(F.when(multi, F.col("conversion_id"))).alias("multi_tp_nr_conversions"),
-        F.sum(F.when(multi, F.col("purchase_value"))).alias("multi_tp_conversions_value"),
-        F.round(F.avg(F.when(multi, F.col("purchase_value").cast("double"))), 6).alias("multi_tp_mean_conversions_value"),
-        F.round(F.avg(F.when(multi, F.col("chain_len"))), 6).alias("multi_tp_mean_chain_len"),
-    )
-    # The median passes re-read two narrow columns several times: keep them
-    # cached (recomputed from lineage if an executor is lost).
-    vals = c.select(F.col("purchase_value").cast("double").alias("purchase_value"), "chain_len").persist()
-    mc = vals.where(multi)
+                      F.size("chain").alias("chain_len")).persist()
     try:
+        multi = F.col("chain_len") > 1
+        row = c.agg(
+            F.min("first_event").alias("events_start_date"),
+            F.max("first_event").alias("events_end_date"),
+            utc_date(F.min("conversion_timestamp")).alias("conversions_start_date"),
+            utc_date(F.max("conversion_timestamp")).alias("conversions_end_date"),
+            F.countDistinct("customer_id").alias("nr_customers"),
+            F.countDistinct("conversion_id").alias("nr_conversions"),
+            F.sum("purchase_value").alias("conversions_value"),
+            F.round(F.avg(F.col("purchase_value").cast("double")), 6).alias("mean_conversions_value"),
+            F.round(F.avg("chain_len"), 6).alias("mean_chain_len"),
+            F.countDistinct(F.when(multi, F.col("customer_id"))).alias("multi_tp_nr_customers"),
+            F.countDistinct(F.when(multi, F.col("conversion_id"))).alias("multi_tp_nr_conversions"),
+            F.sum(F.when(multi, F.col("purchase_value"))).alias("multi_tp_conversions_value"),
+            F.round(F.avg(F.when(multi, F.col("purchase_value").cast("double"))), 6)
+            .alias("multi_tp_mean_conversions_value"),
+            F.round(F.avg(F.when(multi, F.col("chain_len"))), 6).alias("multi_tp_mean_chain_len"),
+            F.count("purchase_value").alias("_n_value"),
+            F.count("chain_len").alias("_n_len"),
+            F.count(F.when(multi, F.col("purchase_value"))).alias("_n_multi_value"),
+            F.count(F.when(multi, F.col("chain_len"))).alias("_n_multi_len"),
+        ).first()
+        mc = c.where(multi)
         med = {
-            "median_conversions_value": exact_median(vals, "purchase_value"),
-            "median_chain_len": exact_median(vals, "chain_len"),
-            "multi_tp_median_conversions_value": exact_median(mc, "purchase_value"),
-            "multi_tp_median_chain_len": exact_median(mc, "chain_len"),
+            "median_conversions_value": exact_median(c, "purchase_value", row["_n_value"]),
+            "median_chain_len": exact_median(c, "chain_len", row["_n_len"]),
+            "multi_tp_median_conversions_value": exact_median(mc, "purchase_value", row["_n_multi_value"]),
+            "multi_tp_median_chain_len": exact_median(mc, "chain_len", row["_n_multi_len"]),
         }
     finally:
-        vals.unpersist()
+        c.unpersist()
+    # The result is one row of already computed values; build it on the
+    # executors from a one-row range so the output stays a DataFrame.
+    spark = chains.sparkSession
+    schema_cols = [k for k in row.asDict() if not k.startswith("_")]
+    values = [F.lit(row[k]).alias(k) for k in schema_cols]
+    types = dict(chains.select(F.col("purchase_value")).dtypes)
+    out = spark.range(1).select(*values)
+    for k in ("conversions_value", "multi_tp_conversions_value"):
+        out = out.withColumn(k, F.col(k).cast(types["purchase_value"]))
+    for k in ("nr_customers", "nr_conversions", "multi_tp_nr_customers", "multi_tp_nr_conversions"):
+        out = out.withColumn(k, F.col(k).cast("bigint"))
+    for k in ("mean_conversions_value", "mean_chain_len", "multi_tp_mean_conversions_value", "multi_tp_mean_chain_len"):
+        out = out.withColumn(k, F.col(k).cast("double"))
     extra = [F.round(F.lit(v).cast("double"), 6).alias(k) for k, v in med.items()]
-    return row.select("*", *extra, F.lit(run_date).alias("run_date"))
+    return out.select("*", *extra, F.lit(run_date).alias("run_date"))
 
 
 PERIMETER_LABELS = [

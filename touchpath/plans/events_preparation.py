@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from touchpath.config import EventsConfig
 from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
-from touchpath.operators.sessions import join_sessions, origins_single_pass, session_channels, session_rollup
+from touchpath.operators.sessions import session_channels_with_facts, session_origins_with_facts
 
 
 def attribution_events(events: DataFrame, categories: DataFrame, cfg: EventsConfig = EventsConfig()) -> DataFrame:
-    """T1 + T2 -> T3.
+    """T1 + T2 -> T3 with one scan and two exchanges.
 
     NULL session ids are dropped before any shuffle: they would form one giant
-    group and never survive the final join anyway.
+    group and never survive the final join anyway. Plan: partial aggregation
+    per (session, origin) -> exchange -> session window (fallback choice and
+    session roll-up) -> exchange by session_id -> broadcast category join ->
+    (session, channel) aggregation reusing that partitioning.
     """
     base = base_events(events, cfg).where(F.col("session_id").isNotNull())
-    rollup = session_rollup(base)
-    origins = origins_single_pass(base)
+    origins = session_origins_with_facts(base)
     classified = classify_channels(origins, categories, cfg.broadcast_max_rows)
-    return join_sessions(rollup, session_channels(classified))
+    return session_channels_with_facts(classified)

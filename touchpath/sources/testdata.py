@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from touchpath.config import MediaChannel, MediaConfig, WindowConfig
 from touchpath.functions.channels import CATEGORY_SEARCH, CATEGORY_SHOPPING, CATEGORY_SOCIAL, CATEGORY_VIDEO
 from touchpath.functions.dates import ts_to_micros
+from touchpath.schemas import EVENT_PARAM
 
 # Traffic fields of fixture row n = k % 26
 # (manual_source, manual_medium, manual_campaign_name, gclid, first source, first medium, first name).
@@ -78,30 +79,43 @@ FIXTURE_MEDIA = MediaConfig(
 RETURN_FLAGS = ("A", "N", "R")
 
 
-def _traffic_lookup(n: F.Column, idx: int) -> F.Column:
-    values = F.array(*[F.lit(row[idx]).cast("string") for row in TRAFFIC_ROWS])
-    return F.element_at(values, n + 1)
+_TRAFFIC_SCHEMA = T.StructType(
+    [T.StructField("n", T.IntegerType())]
+    + [T.StructField(c, T.StringType()) for c in ("manual_source", "manual_medium", "manual_campaign_name", "gclid",
+                                                    "ts_source", "ts_medium", "ts_name")])
+
+
+def traffic_table(spark: SparkSession) -> DataFrame:
+    """The 26-row fixture traffic dimension, keyed by ``n``."""
+    return spark.createDataFrame([(i, *row) for i, row in enumerate(TRAFFIC_ROWS)], _TRAFFIC_SCHEMA)
 
 
 def ga4_events_from_driver(events: DataFrame) -> DataFrame:
-    """Driver ``events`` -> GA4 export rows (T1 schema)."""
+    """Driver ``events`` -> GA4 export rows (T1 schema).
+
+    Traffic fields come from a join with the 26-row fixture dimension
+    (broadcast: its size is fixed by construction).
+    """
     k = F.get_json_object("props", "$.k").cast("int")
-    df = events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-    n = F.col("k") % 26
+    df = (events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+          .withColumn("n", (F.col("k") % 26).cast("int")))
+    df = df.join(F.broadcast(traffic_table(events.sparkSession)), "n", "left")
     eid = F.col("event_id")
     sval = lambda s: F.struct(F.lit(s).cast("string").alias("string_value"), F.lit(None).cast("bigint").alias("int_value"))
     ival = lambda i: F.struct(F.lit(None).cast("string").alias("string_value"), i.cast("bigint").alias("int_value"))
     p = lambda key, v: F.struct(F.lit(key).alias("key"), v.alias("value"))
-    session_p = F.when(eid % 50 != 7, p("ga_session_id", ival(F.date_format("ts", "yyyyMMdd").cast("bigint"))))
     k7 = F.col("k") % 7
-    engaged_p = (F.when(k7 == 0, F.lit(None))
-                 .when(k7 < 3, p("session_engaged", sval("1")))
-                 .when(k7 < 5, p("session_engaged", ival(F.lit(1))))
-                 .otherwise(p("session_engaged", sval("x"))))
+    engaged_v = F.when(k7 < 3, sval("1")).when(k7 < 5, ival(F.lit(1))).otherwise(sval("x"))
     countries = F.array(*[F.lit(c) for c in ("Italy", "France", "Europe", "international")])
-    country_p = F.when(F.col("k") % 5 < 4, p("country_long", F.struct(
-        F.element_at(countries, F.col("k") % 5 + 1).alias("string_value"), F.lit(None).cast("bigint").alias("int_value"))))
-    params = F.filter(F.array(session_p, engaged_p, country_p), lambda x: x.isNotNull())
+    country_v = sval(None).withField("string_value", F.element_at(countries, F.col("k") % 5 + 1))
+    empty = F.array().cast(T.ArrayType(EVENT_PARAM))
+    # Present parameters only, as conditional one-element arrays (no lambda).
+    params = F.concat(
+        F.when(eid % 50 != 7, F.array(p("ga_session_id", ival(F.date_format("ts", "yyyyMMdd").cast("bigint")))))
+        .otherwise(empty),
+        F.when(k7 != 0, F.array(p("session_engaged", engaged_v))).otherwise(empty),
+        F.when(F.col("k") % 5 < 4, F.array(p("country_long", country_v))).otherwise(empty),
+    )
     event_name = (F.when(eid % 97 == 0, F.lit("x_iBQML"))
                   .when((F.col("event_type") == "purchase") & (F.col("k") % 3 != 0), F.lit("add_to_cart"))
                   .otherwise(F.col("event_type")))
@@ -112,17 +126,9 @@ def ga4_events_from_driver(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         ts_to_micros(F.col("ts")).alias("event_timestamp"),
         params.alias("event_params"),
-        F.struct(
-            _traffic_lookup(n, 3).alias("gclid"),
-            _traffic_lookup(n, 0).alias("manual_source"),
-            _traffic_lookup(n, 1).alias("manual_medium"),
-            _traffic_lookup(n, 2).alias("manual_campaign_name"),
-        ).alias("collected_traffic_source"),
-        F.struct(
-            _traffic_lookup(n, 4).alias("source"),
-            _traffic_lookup(n, 5).alias("medium"),
-            _traffic_lookup(n, 6).alias("name"),
-        ).alias("traffic_source"),
+        F.struct("gclid", "manual_source", "manual_medium", "manual_campaign_name").alias("collected_traffic_source"),
+        F.struct(F.col("ts_source").alias("source"), F.col("ts_medium").alias("medium"),
+                 F.col("ts_name").alias("name")).alias("traffic_source"),
         F.struct(
             (F.col("k") % 5 + 1).cast("bigint").alias("total_item_quantity"),
             F.col("value").cast("double").alias("purchase_revenue_in_usd"),
