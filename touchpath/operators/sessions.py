@@ -105,7 +105,7 @@ _SESSION_FACTS = ["cookie_id", "is_engaged", "country_web", "f_converted", "tota
                   "total_item_quantity", "session_revenue_usd", "first_event_timestamp", "last_event_timestamp"]
 
 
-def session_origins_with_facts(base: DataFrame) -> DataFrame:
+def session_origins_with_facts(base: DataFrame, classify=None) -> DataFrame:
     """A2-A4 + J1 from one scan: origins carrying their session's roll-up facts.
 
     The origin aggregation also keeps partial roll-up measures per origin
@@ -114,6 +114,11 @@ def session_origins_with_facts(base: DataFrame) -> DataFrame:
     roll-up over the same partition, so the separate session aggregation, its
     exchange and the final roll-up join are not needed. Equal to
     ``session_origins`` plus ``session_rollup`` joined on session_id.
+
+    ``classify`` (origins -> origins + channel_group) is applied before the
+    session exchange: each row's final origin is known there already (the
+    window only drops fallback rows), and it keeps the classifier in its own
+    code-generated stage.
     """
     tp = _has_origin()
     ts = F.col("event_timestamp")
@@ -135,6 +140,15 @@ def session_origins_with_facts(base: DataFrame) -> DataFrame:
                     F.sum(F.when(is_purchase, 1).otherwise(0)).cast("bigint").alias("n_purchase"),
                     F.sum(F.when(is_purchase, F.col("total_item_quantity")).otherwise(0)).cast("bigint").alias("qty"),
                     F.sum(F.when(is_purchase, F.col("purchase_revenue_in_usd")).otherwise(0.0)).alias("revenue")))
+    is_tp = F.col("f_tp") == 1
+    origins = (grouped
+               .withColumn("source", F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source")))
+               .withColumn("medium", F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium")))
+               .withColumn("campaign_name", F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")))
+               .withColumn("source_medium", F.concat("source", F.lit("/"), "medium"))
+               .drop("tp_source", "tp_medium", "tp_campaign", "fb"))
+    if classify is not None:
+        origins = classify(origins)
     w = Window.partitionBy("session_id")
     n_purchase = F.sum("n_purchase").over(w)
     facts = [
@@ -149,17 +163,11 @@ def session_origins_with_facts(base: DataFrame) -> DataFrame:
         micros_to_ts(F.max("ts_max").over(w)).alias("last_event_timestamp"),
         F.max("f_tp").over(w).alias("has_tp"),
     ]
-    is_tp = F.col("f_tp") == 1
-    return (grouped.select("*", *facts)
+    keep = ["session_id", "f_tp", "source", "medium", "campaign_name", "source_medium"]
+    keep += ["channel_group"] if classify is not None else []
+    return (origins.select("*", *facts)
             .where(is_tp | (F.col("has_tp") == 0))
-            .select(
-                "session_id", "f_tp",
-                F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source")).alias("source"),
-                F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium")).alias("medium"),
-                F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")).alias("campaign_name"),
-                micros_to_ts("event_timestamp").alias("event_timestamp"),
-                *_SESSION_FACTS)
-            .withColumn("source_medium", F.concat("source", F.lit("/"), "medium")))
+            .select(*keep, micros_to_ts("event_timestamp").alias("event_timestamp"), *_SESSION_FACTS))
 
 
 def session_channels_with_facts(classified: DataFrame) -> DataFrame:

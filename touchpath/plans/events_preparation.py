@@ -16,11 +16,12 @@ def attribution_events(events: DataFrame, categories: DataFrame, cfg: EventsConf
 
     NULL session ids are dropped before any shuffle: they would form one giant
     group and never survive the final join anyway. Plan: partial aggregation
-    per (session, origin) -> exchange -> session window (fallback choice and
-    session roll-up) -> exchange by session_id -> broadcast category join ->
-    (session, channel) aggregation reusing that partitioning.
+    per (session, origin) -> exchange -> broadcast category join and channel
+    classification -> exchange by session_id -> session window (fallback
+    choice and session roll-up) -> (session, channel) aggregation reusing
+    that partitioning.
     """
     base = base_events(events, cfg).where(F.col("session_id").isNotNull())
-    origins = session_origins_with_facts(base)
-    classified = classify_channels(origins, categories, cfg.broadcast_max_rows)
+    classified = session_origins_with_facts(
+        base, classify=lambda o: classify_channels(o, categories, cfg.broadcast_max_rows))
     return session_channels_with_facts(classified)

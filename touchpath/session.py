@@ -21,6 +21,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # Let the JIT compile generated methods above 8000 bytes (wide fused stages).
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

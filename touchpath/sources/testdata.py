@@ -79,60 +79,80 @@ FIXTURE_MEDIA = MediaConfig(
 RETURN_FLAGS = ("A", "N", "R")
 
 
-_TRAFFIC_SCHEMA = T.StructType(
-    [T.StructField("n", T.IntegerType())]
+# All per-``k`` rules repeat with period lcm(26, 7, 5, 3) = 2730.
+K_PERIOD = 2730
+_COUNTRIES = ("Italy", "France", "Europe", "international")
+
+
+def _param(key, string_value=None, int_value=None):
+    return {"key": key, "value": {"string_value": string_value, "int_value": int_value}}
+
+
+def _k_row(k: int) -> dict:
+    src, med, camp, gclid, ts_src, ts_med, ts_name = TRAFFIC_ROWS[k % 26]
+    k7 = k % 7
+    if k7 == 0:
+        engaged = _param(None)  # absent: a NULL key never matches a lookup
+    elif k7 < 3:
+        engaged = _param("session_engaged", "1")
+    elif k7 < 5:
+        engaged = _param("session_engaged", None, 1)
+    else:
+        engaged = _param("session_engaged", "x")
+    country = _param("country_long", _COUNTRIES[k % 5]) if k % 5 < 4 else _param(None)
+    return {"k_key": k, "manual_source": src, "manual_medium": med, "manual_campaign_name": camp, "gclid": gclid,
+            "ts_source": ts_src, "ts_medium": ts_med, "ts_name": ts_name, "engaged_param": engaged,
+            "country_param": country, "quantity": 1 + k % 5, "purchase_kept": k % 3 == 0}
+
+
+_K_SCHEMA = T.StructType(
+    [T.StructField("k_key", T.IntegerType())]
     + [T.StructField(c, T.StringType()) for c in ("manual_source", "manual_medium", "manual_campaign_name", "gclid",
-                                                    "ts_source", "ts_medium", "ts_name")])
+                                                    "ts_source", "ts_medium", "ts_name")]
+    + [T.StructField("engaged_param", EVENT_PARAM), T.StructField("country_param", EVENT_PARAM),
+       T.StructField("quantity", T.LongType()), T.StructField("purchase_kept", T.BooleanType())])
 
 
-def traffic_table(spark: SparkSession) -> DataFrame:
-    """The 26-row fixture traffic dimension, keyed by ``n``."""
-    return spark.createDataFrame([(i, *row) for i, row in enumerate(TRAFFIC_ROWS)], _TRAFFIC_SCHEMA)
+def fixture_dimension(spark: SparkSession) -> DataFrame:
+    """Per-``k`` fixture fields (traffic row, parameters, quantity), generated by rule.
+
+    2730 rows, fixed by construction, so it is broadcast without a size check.
+    """
+    return spark.createDataFrame([_k_row(k) for k in range(K_PERIOD)], _K_SCHEMA)
 
 
 def ga4_events_from_driver(events: DataFrame) -> DataFrame:
     """Driver ``events`` -> GA4 export rows (T1 schema).
 
-    Traffic fields come from a join with the 26-row fixture dimension
-    (broadcast: its size is fixed by construction).
+    ``k`` is parsed once; everything derived from it comes from a broadcast
+    lookup, so predicates on those fields stay above the join instead of
+    being pushed into the scan with the JSON parsing inlined into each.
+    Absent parameters are entries with a NULL key (no lookup matches them).
     """
     k = F.get_json_object("props", "$.k").cast("int")
-    df = (events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-          .withColumn("n", (F.col("k") % 26).cast("int")))
-    df = df.join(F.broadcast(traffic_table(events.sparkSession)), "n", "left")
+    df = events.select("event_id", "ts", "user_id", "event_type", "value", F.pmod(k, F.lit(K_PERIOD)).alias("k_key"))
+    df = df.join(F.broadcast(fixture_dimension(events.sparkSession)), "k_key", "left")
     eid = F.col("event_id")
-    sval = lambda s: F.struct(F.lit(s).cast("string").alias("string_value"), F.lit(None).cast("bigint").alias("int_value"))
-    ival = lambda i: F.struct(F.lit(None).cast("string").alias("string_value"), i.cast("bigint").alias("int_value"))
-    p = lambda key, v: F.struct(F.lit(key).alias("key"), v.alias("value"))
-    k7 = F.col("k") % 7
-    engaged_v = F.when(k7 < 3, sval("1")).when(k7 < 5, ival(F.lit(1))).otherwise(sval("x"))
-    countries = F.array(*[F.lit(c) for c in ("Italy", "France", "Europe", "international")])
-    country_v = sval(None).withField("string_value", F.element_at(countries, F.col("k") % 5 + 1))
-    empty = F.array().cast(T.ArrayType(EVENT_PARAM))
-    # Present parameters only, as conditional one-element arrays (no lambda).
-    params = F.concat(
-        F.when(eid % 50 != 7, F.array(p("ga_session_id", ival(F.date_format("ts", "yyyyMMdd").cast("bigint")))))
-        .otherwise(empty),
-        F.when(k7 != 0, F.array(p("session_engaged", engaged_v))).otherwise(empty),
-        F.when(F.col("k") % 5 < 4, F.array(p("country_long", country_v))).otherwise(empty),
-    )
+    day = F.date_format("ts", "yyyyMMdd")
+    session_param = F.struct(
+        F.when(eid % 50 != 7, F.lit("ga_session_id")).alias("key"),
+        F.struct(F.lit(None).cast("string").alias("string_value"), day.cast("bigint").alias("int_value")).alias("value"))
+    params = F.array(session_param, F.col("engaged_param"), F.col("country_param")).cast(T.ArrayType(EVENT_PARAM))
     event_name = (F.when(eid % 97 == 0, F.lit("x_iBQML"))
-                  .when((F.col("event_type") == "purchase") & (F.col("k") % 3 != 0), F.lit("add_to_cart"))
+                  .when((F.col("event_type") == "purchase") & ~F.col("purchase_kept"), F.lit("add_to_cart"))
                   .otherwise(F.col("event_type")))
     storage = F.when(eid % 10 < 5, F.lit(None).cast("string")).when(eid % 10 < 9, F.lit("Yes")).otherwise(F.lit("No"))
     return df.select(
         F.col("user_id").cast("string").alias("user_pseudo_id"),
         event_name.alias("event_name"),
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
+        day.alias("event_date"),
         ts_to_micros(F.col("ts")).alias("event_timestamp"),
         params.alias("event_params"),
         F.struct("gclid", "manual_source", "manual_medium", "manual_campaign_name").alias("collected_traffic_source"),
         F.struct(F.col("ts_source").alias("source"), F.col("ts_medium").alias("medium"),
                  F.col("ts_name").alias("name")).alias("traffic_source"),
-        F.struct(
-            (F.col("k") % 5 + 1).cast("bigint").alias("total_item_quantity"),
-            F.col("value").cast("double").alias("purchase_revenue_in_usd"),
-        ).alias("ecommerce"),
+        F.struct(F.col("quantity").alias("total_item_quantity"),
+                 F.col("value").cast("double").alias("purchase_revenue_in_usd")).alias("ecommerce"),
         F.struct(storage.alias("analytics_storage")).alias("privacy_info"),
     )
 
