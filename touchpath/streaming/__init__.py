@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming code (no watermark, stream window, state or
+late-data handling); both of its pipelines are batch jobs over warehouse
+tables and files. All operators here are batch ``DataFrame -> DataFrame``
+functions.
+"""
