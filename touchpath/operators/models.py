@@ -7,12 +7,19 @@ names are never re-split from text.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The pandas solver runs in Python workers; ship this module's code by value
+# so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Absorbing-chain state names.
 START = "(start)"
 CONVERSION = "(conversion)"

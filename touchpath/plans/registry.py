@@ -26,6 +26,7 @@ from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
 from touchpath.plans.attribution import final_chains
 from touchpath.plans.events_preparation import attribution_events
+from touchpath.session import checkpoint_dir
 from touchpath.sources.ga4 import ga4_scan
 from touchpath.sources.testdata import (FIXTURE_MEDIA, FIXTURE_START_DATE, FIXTURE_WINDOWS, fixture_categories,
                                         ga4_events_from_driver, read_driver_table, weekly_media_from_lineitem)
@@ -45,6 +46,18 @@ def _round(df: DataFrame, digits: int, cols: list[str]) -> DataFrame:
 
 # --- stage builders -------------------------------------------------------
 
+def staged(df: DataFrame) -> DataFrame:
+    """Materialise a stage that several branches of one query read.
+
+    An eager ``checkpoint()`` into ``spark.checkpoint.dir`` computes the stage
+    once per query (each branch would otherwise recompute it: column pruning
+    makes the branches too different for exchange reuse) and cuts lineage, so
+    a lost executor re-reads the stage instead of recomputing it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ga4(spark, d):
     return ga4_events_from_driver(read_driver_table(spark, d, "events"))
 
@@ -58,15 +71,15 @@ def t3(spark, d):
 
 
 def t4(spark, d):
-    return L.chains_base(t3(spark, d), FIXTURE_WINDOWS)
+    return L.chains_base(staged(t3(spark, d)), FIXTURE_WINDOWS)
 
 
 def raw_chains(spark, d):
-    return CH.conversion_chains(t4(spark, d))
+    return staged(CH.conversion_chains(t4(spark, d)))
 
 
 def chains_final(spark, d):
-    return final_chains(raw_chains(spark, d), CHAIN_CFG)
+    return staged(final_chains(raw_chains(spark, d), CHAIN_CFG))
 
 
 def paths(spark, d):
@@ -139,6 +152,10 @@ def q_calendar_anchors(spark, d):
     return L.calendar_anchors(dates, "as_of", FIXTURE_WINDOWS)
 
 
+def q_last_country(spark, d):
+    return L.last_country(L.lookback_candidates(t3(spark, d), FIXTURE_WINDOWS))
+
+
 def q_period_zeroing(spark, d):
     c = L.lookback_candidates(t3(spark, d), FIXTURE_WINDOWS)
     return c.select("session_id", "channel_group", "event_timestamp", *L.ZEROED)
@@ -177,8 +194,8 @@ def q_perimeter_recap(spark, d):
 
 
 def q_chain_summary(spark, d):
-    rows = t4(spark, d)
-    raw = CH.conversion_chains(rows)
+    rows = staged(t4(spark, d))
+    raw = staged(CH.conversion_chains(rows))
     return ST.chain_summary(rows, raw, CH.chain_merge(raw, CHAIN_CFG.merge_gap_days), final_chains(raw, CHAIN_CFG))
 
 
@@ -221,7 +238,7 @@ def q_attribution_results(spark, d):
 
 
 def q_check_chain_counts(spark, d):
-    rows = t4(spark, d)
+    rows = staged(t4(spark, d))
     return Q.check_chain_counts(rows, CH.conversion_chains(rows))
 
 
@@ -279,7 +296,7 @@ def queries():
         "conversions": lambda s, d: L.conversions(t3(s, d), FIXTURE_WINDOWS),
         "lookback_candidates": lambda s, d: L.lookback_candidates(t3(s, d), FIXTURE_WINDOWS),
         "period_zeroing": q_period_zeroing,
-        "last_country": lambda s, d: L.last_country(L.lookback_candidates(t3(s, d), FIXTURE_WINDOWS)),
+        "last_country": q_last_country,
         "chains_base": t4,
         "conversion_chains": lambda s, d: _chains_out(raw_chains(s, d)),
         "chain_merge": q_chain_merge,
