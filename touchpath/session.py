@@ -20,6 +20,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         # Let the JIT compile generated methods above 8000 bytes (wide fused stages).
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
@@ -31,18 +32,21 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for materialised stages.
+    """Shared folder for materialised stages and ``checkpoint()``.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only an unset value
-    (local tests) gets a fresh temporary folder.
+    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only a local
+    session without one (tests, benchmarks) gets a fresh temporary folder; on a
+    cluster a missing setting is an error, never a machine-local path.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="touchpath-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
+        configured = tempfile.mkdtemp(prefix="touchpath-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
