@@ -79,7 +79,7 @@ def raw_chains(spark, d):
 
 
 def chains_final(spark, d):
-    return staged(final_chains(raw_chains(spark, d), CHAIN_CFG))
+    return final_chains(raw_chains(spark, d), CHAIN_CFG)
 
 
 def paths(spark, d):
@@ -230,7 +230,7 @@ HEUR_COLS = ["first_touch_conversions", "first_touch_value", "last_touch_convers
 
 
 def q_attribution_results(spark, d):
-    c = chains_final(spark, d)
+    c = staged(chains_final(spark, d))  # read by statistics, Markov and heuristics
     p = ST.model_paths(c)
     out = M.attribution_results(ST.channel_stats(c), M.markov_attribution(p), M.heuristic_attribution(p),
                                 CHAIN_CFG.run_date)
