@@ -108,6 +108,9 @@ def channel_recap(weekly: DataFrame, channel: MediaChannel) -> DataFrame:
 
 
 def media_recap(weekly: DataFrame, cfg: MediaConfig) -> dict[str, DataFrame]:
-    """Entry 4: one recap per configured channel (sheet name -> DataFrame)."""
+    """Entry 4: one recap per configured channel (sheet name -> DataFrame), sorted.
+
+    The sort is over a few dozen recap rows, for the report only.
+    """
     prepared = with_rolling_year(weekly, cfg)
-    return {ch.name: channel_recap(prepared, ch) for ch in cfg.channels}
+    return {ch.name: channel_recap(prepared, ch).orderBy("year_rolling", "split") for ch in cfg.channels}
