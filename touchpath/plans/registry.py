@@ -28,6 +28,7 @@ from touchpath.plans.attribution import final_chains
 from touchpath.plans.events_preparation import attribution_events
 from touchpath.session import checkpoint_dir
 from touchpath.sources.ga4 import ga4_scan
+from touchpath.sources.tables import normalise_columns
 from touchpath.sources.testdata import (FIXTURE_MEDIA, FIXTURE_START_DATE, FIXTURE_WINDOWS, fixture_categories,
                                         ga4_events_from_driver, read_driver_table, weekly_media_from_lineitem)
 
@@ -119,6 +120,13 @@ def _base_cols(*cols):
     return q
 
 
+def q_normalise_columns(spark, d):
+    """T3 exported with display labels ('Session Id', 'F Tp', ...) read back normalised."""
+    t = t3(spark, d)
+    labelled = t.toDF(*[c.replace("_", " ").title() for c in t.columns])
+    return normalise_columns(labelled)
+
+
 def q_campaign_name(spark, d):
     e = ga4_scan(ga4(spark, d), FIXTURE_START_DATE)
     return e.select(F.col("user_pseudo_id").alias("cookie_id"), "event_timestamp",
@@ -277,6 +285,7 @@ def _recap_cols(*cols):
 def queries():
     return {
         "ga4_scan": q_ga4_scan,
+        "normalise_columns": q_normalise_columns,
         "event_param_lookup": q_event_param_lookup,
         "base_events": lambda s, d: base(s, d),
         "session_key": _base_cols("session_id"),
