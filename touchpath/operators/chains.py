@@ -37,9 +37,10 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
     the last row of a session whose flag is 1. T4 has one row per (session,
     channel), so a session's touch list is bounded by the number of channels.
     The chain number is the count of closing sessions before the session,
-    computed as a two-level prefix sum: closings on earlier days (window over
-    one row per customer-day) plus closings earlier the same day (window per
-    customer-day), so no window spans a customer's whole history.
+    computed as a two-level prefix sum over hour buckets of the session start:
+    closings in earlier hours (window over one row per customer-hour, at most
+    24 per day of the lookback range) plus closings earlier in the same hour
+    (window per customer-hour), so no window spans a customer's history.
     """
     last = F.max_by(F.struct("f_purchased", "last_event_timestamp", "session_revenue"),
                     F.struct("event_timestamp", "channel_group"))
@@ -47,13 +48,13 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
             .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"),
                  F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"))
             .withColumn("closes", F.when(F.col("last.f_purchased") == 1, 1).otherwise(0))
-            .withColumn("day", utc_date("first_ts")))
-    per_day = (sess.groupBy("customer_id", "day").agg(F.sum("closes").alias("n_day"))
-               .withColumn("offset", _running_count_before("n_day", ["customer_id"], ["day"]))
-               .drop("n_day"))
-    local = _running_count_before("closes", ["customer_id", "day"], ["first_ts", "session_id"])
+            .withColumn("bucket", F.date_trunc("hour", F.col("first_ts"))))
+    per_bucket = (sess.groupBy("customer_id", "bucket").agg(F.sum("closes").alias("n_bucket"))
+                  .withColumn("offset", _running_count_before("n_bucket", ["customer_id"], ["bucket"]))
+                  .drop("n_bucket"))
+    local = _running_count_before("closes", ["customer_id", "bucket"], ["first_ts", "session_id"])
     return (sess.withColumn("local", local)
-            .join(per_day, ["customer_id", "day"])
+            .join(per_bucket, ["customer_id", "bucket"])
             .select("customer_id", "session_id", "first_ts", "closes", "last", "items",
                     (F.col("offset") + F.col("local")).alias("chain_no")))
 
