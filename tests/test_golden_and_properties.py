@@ -1,7 +1,5 @@
 """Golden numbers (Markov worked example) and pipeline properties."""
 
-import datetime as dt
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F

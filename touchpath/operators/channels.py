@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from touchpath.functions.channels import CATEGORIES, channel_group
 from touchpath.session import broadcast_if_small
