@@ -14,11 +14,12 @@ FLAG_COLUMNS = list(CATEGORIES)
 def with_category_flags(origins: DataFrame, categories: DataFrame, broadcast_max_rows: int = 100_000) -> DataFrame:
     """Left join the per-source category flags.
 
-    The flag table has one row per listed source; it is broadcast only after
-    its row count is checked against ``broadcast_max_rows``, otherwise the join
-    is shuffled like any other.
+    The flag table has one row per listed source, so its size is bounded by
+    the category table's row count; that count is checked against
+    ``broadcast_max_rows`` before broadcasting, otherwise the join is shuffled
+    like any other.
     """
-    flags = broadcast_if_small(source_flags(categories), broadcast_max_rows)
+    flags = broadcast_if_small(source_flags(categories), broadcast_max_rows, bound_by=categories)
     return origins.join(flags, "source", "left")
 
 

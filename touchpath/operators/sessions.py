@@ -141,12 +141,14 @@ def session_origins_with_facts(base: DataFrame, classify=None) -> DataFrame:
                     F.sum(F.when(is_purchase, F.col("total_item_quantity")).otherwise(0)).cast("bigint").alias("qty"),
                     F.sum(F.when(is_purchase, F.col("purchase_revenue_in_usd")).otherwise(0.0)).alias("revenue")))
     is_tp = F.col("f_tp") == 1
-    origins = (grouped
-               .withColumn("source", F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source")))
-               .withColumn("medium", F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium")))
-               .withColumn("campaign_name", F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")))
-               .withColumn("source_medium", F.concat("source", F.lit("/"), "medium"))
-               .drop("tp_source", "tp_medium", "tp_campaign", "fb"))
+    source = F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source"))
+    medium = F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium"))
+    origins = grouped.select(
+        "session_id", "f_tp", "event_timestamp", "ts_max", "cookie_last", "engaged", "country_last",
+        "n_purchase", "qty", "revenue",
+        source.alias("source"), medium.alias("medium"),
+        F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")).alias("campaign_name"),
+        F.concat(source, F.lit("/"), medium).alias("source_medium"))
     if classify is not None:
         origins = classify(origins)
     w = Window.partitionBy("session_id")

@@ -49,11 +49,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only after proving the side has at most ``max_rows`` rows.
 
-    Intended for dimension tables; above the bound the plain DataFrame is
-    returned and Spark falls back to a shuffled join.
+    ``bound_by`` is a cheaper relation with at least as many rows as ``df``
+    (for example the input of a grouping), counted instead of ``df`` itself.
+    Above the bound the plain DataFrame is returned and Spark falls back to a
+    shuffled join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -134,7 +134,7 @@ def ga4_events_from_driver(events: DataFrame) -> DataFrame:
     # The driver files are single row groups, so the scan is one task; spread
     # the per-row adapter work when the scan is narrower than the cluster.
     parallelism = events.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    if events.rdd.getNumPartitions() < parallelism:
         df = df.repartition(parallelism)
     df = df.join(F.broadcast(fixture_dimension(events.sparkSession)), "k_key", "left")
     eid = F.col("event_id")
