@@ -201,3 +201,30 @@ def test_h18_source_in_two_categories(spark):
     assert len(f) == 1 and f[0]["is_search"] and f[0]["is_social"] and not f[0]["is_video"]
     lists = by(source_category_lists(cats), "category")
     assert lists["SOURCE_CATEGORY_SEARCH"]["sources_list"] == ["dual"]
+
+
+@pytest.mark.parametrize("lookback", [1, 2, 5, 30])
+def test_lookback_semi_join_matches_brute_force(spark, lookback):
+    import random
+    rnd = random.Random(lookback)
+    base = dt.datetime(2024, 1, 1)
+    convs, cands = [], []
+    for cookie in ("u1", "u2", "u3"):
+        for _ in range(rnd.randint(0, 6)):
+            convs.append((cookie, base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 40))))
+        for i in range(60):
+            f = base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 40))
+            cands.append((f"{cookie}-{i}", cookie, "Direct", f, 0, 0, f, f))
+    # exact boundary cases for the first conversion of u1
+    if convs:
+        cu, ct = convs[0]
+        edge = ct - dt.timedelta(days=lookback)
+        cands += [("edge", cu, "Direct", edge, 0, 0, edge, edge),
+                  ("edge+1", cu, "Direct", edge, 0, 0, edge + dt.timedelta(microseconds=1), edge),
+                  ("at", cu, "Direct", ct, 0, 0, ct, ct)]
+    cand_df = t4_rows(spark, cands)
+    conv_df = spark.createDataFrame(convs, "cookie_id string, conversion_timestamp timestamp_ntz")
+    got = {r["session_id"] for r in L.in_lookback(cand_df, conv_df, lookback).collect()}
+    want = {s for s, u, _, _, _, _, f, _ in cands
+            if any(cu == u and ct - dt.timedelta(days=lookback) < f <= ct for cu, ct in convs)}
+    assert got == want

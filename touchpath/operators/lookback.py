@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchpath.config import WindowConfig
@@ -58,24 +58,37 @@ def last_country(candidates: DataFrame) -> DataFrame:
                           F.when(has, F.struct("event_timestamp", "country_web"))).alias("country")))
 
 
-def lookback_coverage(convs: DataFrame, lookback_days: int) -> DataFrame:
+def lookback_coverage(convs: DataFrame, lookback_days: int, candidate_days: DataFrame) -> DataFrame:
     """Per (cookie, day): the part of that day covered by some ``(c - L, c]`` window.
 
-    Each conversion c covers whole days strictly between ``date(c) - L`` and
-    ``date(c)``, the tail of day ``date(c) - L`` after ``c - L``, and the head of
-    day ``date(c)`` up to ``c``. Unions of heads/tails reduce to one max/min, so
-    the summary is built with algebraic aggregates only (partial aggregation,
-    no per-cookie buffer) and has at most one row per (cookie, day).
+    A conversion c covers whole days strictly between ``date(c) - L`` and
+    ``date(c)``, the tail of day ``date(c) - L`` after ``c - L`` and the head of
+    day ``date(c)`` up to ``c``. Each conversion emits three rows: a +1/-1
+    difference pair bracketing its whole days (the -1 row also carries ``c``
+    as the head bound) and the tail bound ``c - L``. Rows for every candidate
+    (cookie, day) are added with no effect, one aggregation collapses each
+    (cookie, day) to sum/max/min, and a running sum of the differences per
+    cookie, over at most one row per day of the window, marks whole-day
+    coverage. Three rows per conversion instead of ``L + 1``.
     """
     c = F.col("conversion_timestamp")
-    days = (convs.select("cookie_id", c)
-            .withColumn("day", F.explode(F.sequence(F.date_sub(utc_date(c), lookback_days), utc_date(c)))))
-    last_day, first_day = utc_date(c), F.date_sub(utc_date(c), lookback_days)
-    return days.groupBy("cookie_id", "day").agg(
-        F.max((F.col("day") > first_day) & (F.col("day") < last_day)).alias("full_day"),
-        F.max(F.when(F.col("day") == last_day, c)).alias("covered_until"),
-        F.min(F.when(F.col("day") == first_day, minus_days(c, lookback_days))).alias("covered_after"),
-    )
+    d = utc_date(c)
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    rows = convs.select("cookie_id", F.explode(F.array(
+        F.struct(F.date_sub(d, lookback_days - 1).alias("day"), F.lit(1).alias("delta"),
+                 null_ts.alias("until"), null_ts.alias("after")),
+        F.struct(d.alias("day"), F.lit(-1).alias("delta"), c.alias("until"), null_ts.alias("after")),
+        F.struct(F.date_sub(d, lookback_days).alias("day"), F.lit(0).alias("delta"),
+                 null_ts.alias("until"), minus_days(c, lookback_days).alias("after")),
+    )).alias("r")).select("cookie_id", "r.*")
+    keys = candidate_days.select("cookie_id", "day", F.lit(0).alias("delta"),
+                                 null_ts.alias("until"), null_ts.alias("after"))
+    per_day = (rows.unionByName(keys).groupBy("cookie_id", "day")
+               .agg(F.sum("delta").alias("delta"), F.max("until").alias("covered_until"),
+                    F.min("after").alias("covered_after")))
+    running = F.sum("delta").over(Window.partitionBy("cookie_id").orderBy("day")
+                                  .rowsBetween(Window.unboundedPreceding, 0))
+    return per_day.select("cookie_id", "day", (running > 0).alias("full_day"), "covered_until", "covered_after")
 
 
 def in_lookback(candidates: DataFrame, convs: DataFrame, lookback_days: int) -> DataFrame:
@@ -85,8 +98,9 @@ def in_lookback(candidates: DataFrame, convs: DataFrame, lookback_days: int) ->
     coverage summary: one lookup per candidate, no pairwise comparison, and a
     hot cookie is split across days (and by AQE skew handling within a day).
     """
-    cov = lookback_coverage(convs, lookback_days).withColumnRenamed("cookie_id", "cov_cookie")
     f = F.col("first_event_timestamp")
+    days = candidates.select("cookie_id", utc_date(f).alias("day")).distinct()
+    cov = lookback_coverage(convs, lookback_days, days).withColumnRenamed("cookie_id", "cov_cookie")
     cond = ((F.col("cookie_id") == F.col("cov_cookie")) & (utc_date(f) == F.col("day"))
             & (F.col("full_day") | (f <= F.col("covered_until")) | (f > F.col("covered_after"))))
     return candidates.join(cov, cond, "left_semi")
