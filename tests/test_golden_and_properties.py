@@ -103,3 +103,15 @@ def test_exact_median_many_distinct_values(spark):
     vals = df.select(F.col("x").alias("v"))
     assert qt.kth_smallest(vals, 10000, 20001, buckets=64) == pytest.approx(10000 / 3.0)
     assert exact_median(spark.range(1, 5).select(F.col("id").alias("x")), "x") == 2.5
+
+
+def test_stagewise_t3_equals_single_pass(spark):
+    """Reference-shaped stages (roll-up, touchpoints, fallback, union/anti join,
+    classification, channel dedupe, J2 join) give the single-pass T3."""
+    from touchpath.operators import sessions as S
+    from touchpath.operators.channels import classify_channels
+    from touchpath.sources.testdata import fixture_categories
+    b = R.base(spark, SF_SMALL)
+    origins = S.session_origins(S.session_touchpoints(b), S.session_fallback_origin(b))
+    stagewise = S.join_sessions(S.session_rollup(b), S.session_channels(classify_channels(origins, fixture_categories(spark))))
+    assert sorted(map(tuple, stagewise.collect())) == sorted(map(tuple, R.t3(spark, SF_SMALL).collect()))

@@ -1,9 +1,10 @@
 """Conversion chains, gap merge, range concatenation, measures.
 
 All three sequence operators are written so that no per-customer window runs
-over raw rows: ordered work per customer happens on (customer, day) summaries,
-whose size per customer is bounded by the number of days in the window, and
-the rest is equi-joins and grouped aggregates that Spark partitions freely.
+over raw rows: ordered work per customer happens on (customer, hour) or
+(customer, day) summaries, whose size per customer is bounded by the length of
+the window, and the rest is equi-joins and grouped aggregates that Spark
+partitions freely.
 """
 
 from __future__ import annotations
