@@ -50,3 +50,21 @@ def test_partition_pruning_and_pushdown(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(event_date" in p and "20240115" in p
     assert "ReadSchema: struct<user_pseudo_id:string,event_timestamp:bigint>" in p
     assert df.count() == ga4.where(F.col("event_date") >= "20240115").count()
+
+
+def test_nested_schema_pruning_on_ga4_scan(spark, tmp_dir):
+    import re
+
+    from touchpath.operators.events import base_events
+    from touchpath.sources.ga4 import read_ga4_events
+    from touchpath.sources.testdata import ga4_events_from_driver, read_driver_table
+    ga4_events_from_driver(read_driver_table(spark, SF_SMALL, "events")).write.partitionBy("event_date") \
+        .parquet(f"{tmp_dir}/ga4n")
+    df = base_events(read_ga4_events(spark, f"{tmp_dir}/ga4n", "20240101"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # untruncated ReadSchema
+    try:
+        schema = re.search(r"ReadSchema: (struct<\S*)", plan(df)).group(1)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "manual_campaign_name" not in schema          # only read with campaign_from='campaign'
+    assert "gclid" in schema and "analytics_storage" in schema
