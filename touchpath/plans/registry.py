@@ -76,7 +76,8 @@ def t4(spark, d):
 
 
 def raw_chains(spark, d):
-    return staged(CH.conversion_chains(t4(spark, d)))
+    # W1 reads T4 twice (sessions and per-hour closing counts): stage it, as run_pipeline does.
+    return staged(CH.conversion_chains(staged(t4(spark, d))))
 
 
 def chains_final(spark, d):
