@@ -38,3 +38,13 @@ def test_fixture_counts(spark):
     raw = R.raw_chains(spark, SF_SMALL)
     assert raw.count() == 12
     assert raw.select("customer_id").distinct().count() == 8
+
+
+@pytest.mark.parametrize("key", ["attribution_events", "chains_base", "chain_concatenation", "calendar_anchors"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        problems, _ = compare(E.queries()[key](spark, SF_SMALL), con, E.oracle_sql()[key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert not problems, problems
