@@ -115,3 +115,12 @@ def test_stagewise_t3_equals_single_pass(spark):
     origins = S.session_origins(S.session_touchpoints(b), S.session_fallback_origin(b))
     stagewise = S.join_sessions(S.session_rollup(b), S.session_channels(classify_channels(origins, fixture_categories(spark))))
     assert sorted(map(tuple, stagewise.collect())) == sorted(map(tuple, R.t3(spark, SF_SMALL).collect()))
+
+
+def test_exact_medians_shared_pass_and_fallback(spark):
+    from touchpath.operators.quantiles import exact_medians
+    many = spark.range(0, 5001).select(((F.col("id") * 7919) % 5001 / 7.0).alias("x"))
+    few = spark.range(0, 10).select((F.col("id") % 3).alias("x"))
+    got = exact_medians({"many": (many, "x", 5001), "few": (few, "x", 10), "none": (few, "x", 0)}, buckets=100)
+    assert got["many"] == pytest.approx(2500 / 7.0)
+    assert got["few"] == 1.0 and got["none"] is None

@@ -75,5 +75,48 @@ def exact_median(df: DataFrame, col: str, n: int | None = None):
     return (a + b) / 2.0
 
 
+def exact_medians(specs: dict, buckets: int = 4096) -> dict:
+    """Several exact medians with one shared first pass.
+
+    ``specs`` maps a name to ``(df, column, n)`` (n = non-NULL count). The
+    value streams are tagged and unioned into one ``groupBy(tag, v).count()``;
+    a per-tag count of its rows (one row per tag) decides which tags have at
+    most ``buckets`` distinct values, and only those value counts are
+    collected. The others fall back to ``kth_smallest`` refinement.
+    """
+    names = list(specs)
+    if not names:
+        return {}
+    streams = [df.select(F.lit(i).alias("tag"), F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+               for i, (df, col, _) in enumerate(specs[n] for n in names)]
+    union = streams[0]
+    for other in streams[1:]:
+        union = union.unionByName(other)
+    counted = union.groupBy("tag", "v").agg(F.count("*").alias("c"))
+    distinct = {r["tag"]: r["n"] for r in counted.groupBy("tag").agg(F.count("*").alias("n")).collect()}
+    small = [t for t, k in distinct.items() if k <= buckets]
+    # Only tags with at most ``buckets`` distinct values are collected.
+    rows = counted.where(F.col("tag").isin(small)).collect() if small else []
+    per_tag: dict = {}
+    for r in rows:
+        per_tag.setdefault(r["tag"], []).append((r["v"], r["c"]))
+    out = {}
+    for i, name in enumerate(names):
+        df, col, n = specs[name]
+        if not n:
+            out[name] = None
+            continue
+        if i in small:
+            counts = per_tag.get(i, [])
+            a = _kth_from_counts(counts, 0, (n - 1) // 2)
+            b = a if n % 2 == 1 else _kth_from_counts(counts, 0, n // 2)
+        else:
+            vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+            a = kth_smallest(vals, (n - 1) // 2, n, buckets)
+            b = a if n % 2 == 1 else kth_smallest(vals, n // 2, n, buckets)
+        out[name] = (a + b) / 2.0
+    return out
+
+
 def as_decimal(x, scale: int = 9):
     return None if x is None else Decimal(repr(x)).quantize(Decimal(1).scaleb(-scale))

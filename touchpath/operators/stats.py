@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchpath.functions.dates import utc_date
-from touchpath.operators.quantiles import exact_median
+from touchpath.operators.quantiles import exact_medians
 
 PATH_SEPARATOR = " > "
 
@@ -126,12 +126,12 @@ def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
             F.count(F.when(multi, F.col("chain_len"))).alias("_n_multi_len"),
         ).first()
         mc = c.where(multi)
-        med = {
-            "median_conversions_value": exact_median(c, "purchase_value", row["_n_value"]),
-            "median_chain_len": exact_median(c, "chain_len", row["_n_len"]),
-            "multi_tp_median_conversions_value": exact_median(mc, "purchase_value", row["_n_multi_value"]),
-            "multi_tp_median_chain_len": exact_median(mc, "chain_len", row["_n_multi_len"]),
-        }
+        med = exact_medians({
+            "median_conversions_value": (c, "purchase_value", row["_n_value"]),
+            "median_chain_len": (c, "chain_len", row["_n_len"]),
+            "multi_tp_median_conversions_value": (mc, "purchase_value", row["_n_multi_value"]),
+            "multi_tp_median_chain_len": (mc, "chain_len", row["_n_multi_len"]),
+        })
     finally:
         c.unpersist()
     # The result is one row of already computed values; build it on the
