@@ -49,7 +49,10 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
             .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"),
                  F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"))
             .withColumn("closes", F.when(F.col("last.f_purchased") == 1, 1).otherwise(0))
-            .withColumn("bucket", F.date_trunc("hour", F.col("first_ts"))))
+            .withColumn("bucket", F.date_trunc("hour", F.col("first_ts")))
+            # Both the local window and the per-hour counts need (customer, hour):
+            # one exchange, shared by the two readers.
+            .repartition("customer_id", "bucket"))
     per_bucket = (sess.groupBy("customer_id", "bucket").agg(F.sum("closes").alias("n_bucket"))
                   .withColumn("offset", _running_count_before("n_bucket", ["customer_id"], ["bucket"]))
                   .drop("n_bucket"))
