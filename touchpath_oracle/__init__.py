@@ -1,5 +1,5 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle)."""
 
-from oracle.sql import oracle_sql
+from touchpath_oracle.sql import oracle_sql
 
 __all__ = ["oracle_sql"]
