@@ -160,10 +160,11 @@ def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str | None
 
         return compute
 
-    found = map_text(df, text_col, df.columns, [field("__redacted", STRING)], make)
-    text = F.coalesce("__redacted", text_col)
-    new = {text_col: text.alias(text_col)}
-    if length_col:
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    found = map_text(df.select(row, F.col(f"`{text_col}`")), text_col, ["__row"], [field("__redacted", STRING)], make)
+    old = lambda c: F.col(f"__row.`{c}`")
+    new = {text_col: F.coalesce("__redacted", old(text_col)).alias(text_col)}
+    if length_col in df.columns:
         kind = df.schema[length_col].dataType
-        new[length_col] = F.when(F.col("__redacted").isNull(), F.col(length_col)).otherwise(F.length("__redacted").cast(kind)).alias(length_col)
-    return found.select(*[new.get(c, F.col(f"`{c}`")) for c in df.columns])
+        new[length_col] = F.when(F.col("__redacted").isNull(), old(length_col)).otherwise(F.length("__redacted").cast(kind)).alias(length_col)
+    return found.select(*[new.get(c, old(c)) for c in df.columns])

@@ -14,6 +14,7 @@ are counted alike; texts of any length are counted whole.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 import ahocorasick
@@ -26,6 +27,8 @@ from touchpath.llm.common import BINARY, LONG, field, map_text
 #: Fixed value: the public split pattern of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: The same for texts of ASCII characters alone.
+SPLIT_ASCII = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
 NEVER = 1 << 30
 SPACES = regex.compile(r"\s\s").search
@@ -45,24 +48,39 @@ def load_vocabulary(path: str) -> tuple[dict[tuple[bytes, bytes], int], list[str
 class PrefixCounter:
     """Exact token counts of every prefix; remembers pre-tokens and token seams within one worker."""
 
-    CACHE = 500_000  # entries of each memory; what comes later is computed anew each time
+    CACHE = 1_000_000  # entries of each memory; what comes later is computed anew each time
 
     def __init__(self, ranks: dict[tuple[bytes, bytes], int], specials: list[str] = ()):
         self.ranks = ranks
         tokens = [bytes([b]) for b in range(256)] + [a + b for a, b in ranks]
         ids = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
         self.tokens, self.sizes = list(ids), [len(t) for t in ids]
+        self.pairs = {ids[a] << 16 | ids[b]: rank for (a, b), rank in ranks.items()}
+        self.outer = self._spines(ids)
         self.ends = ahocorasick.Automaton()  # finds, for each position, the tokens that end there, longest first
         for token, i in ids.items():
             self.ends.add_word(token.decode("latin-1"), i)
         self.ends.make_automaton()
-        self.split = regex.compile(SPLIT).findall
+        self.split, self.split_ascii = regex.compile(SPLIT).findall, re.compile(SPLIT_ASCII).findall
         self.specials = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.seams: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
 
+    def _spines(self, ids: dict[bytes, int]) -> tuple[list, list]:
+        """Per token, its outermost parts on the left and on the right, each with the rank of the merge that swallows it."""
+        made = {ids[a + b]: (ids[a], ids[b], rank) for (a, b), rank in self.ranks.items()}
+        sides: tuple[list, list] = ([], [])
+        for token in range(len(ids)):
+            for side in (0, 1):
+                spine, part, until = [], token, NEVER
+                while part in made:
+                    spine.append((part, until))
+                    until, part = made[part][2], made[part][side]
+                sides[side].append([*spine, (part, until)])
+        return sides
+
     def merge(self, word: bytes) -> list[bytes]:
-        """The byte-pair merges themselves, lowest rank first; only for seams of two tokens."""
+        """The byte-pair merges themselves, lowest rank first."""
         parts, rank = [word[i:i + 1] for i in range(len(word))], self.ranks.get
         while len(parts) > 1:
             order = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
@@ -74,9 +92,20 @@ class PrefixCounter:
         return parts
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether token ``left`` (-1: the start) then token ``right`` is what their bytes encode to."""
-        pair = [self.tokens[left], self.tokens[right]] if left >= 0 else [self.tokens[right]]
-        return self.merge(b"".join(pair)) == pair
+        """Whether token ``left`` (-1: the start) then token ``right`` is what their bytes encode to.
+
+        It is unless a merge across the seam comes up while both of its parts
+        still stand; of equal ranks the merge further left goes first.
+        """
+        if left < 0:
+            return self.merge(self.tokens[right]) == [self.tokens[right]]
+        pairs, starts = self.pairs, self.outer[0][right]
+        for a, a_until in self.outer[1][left]:
+            for b, b_until in starts:
+                rank = pairs.get(a << 16 | b)
+                if rank is not None and rank < a_until and rank <= b_until:
+                    return False
+        return True
 
     def prefixes(self, word: bytes) -> list[int]:
         """Token count of each prefix of one pre-token; entry 0 is the empty prefix."""
@@ -110,7 +139,7 @@ class PrefixCounter:
         return known
 
     def plain(self, text: str) -> bytes:
-        pieces, deltas = self.split(text), self.deltas
+        pieces, deltas = (self.split_ascii if text.isascii() else self.split)(text), self.deltas
         known = list(map(self.cache.get, pieces))
         if None in known:
             known = [k if k is not None else deltas(p) for k, p in zip(known, pieces)]
