@@ -8,7 +8,8 @@ windows cover enough of the item and its slots are consistent: the same value of
 the item is always replaced by the same value, and different values by different
 ones. So verbatim copies are found, and questions with other numbers or names.
 
-A name is a capitalised word that starts no sentence and no line.
+A name is a capitalised word that starts no sentence and no line; windows are
+taken with names as placeholders and as they are, so a changed case is met too.
 
 The benchmark is read in chunks of at most ``chunk_windows`` windows, each small
 enough to send to every task; documents stream past each chunk, nothing is
@@ -22,6 +23,7 @@ reported; repeated documents are judged alike; texts are read whole.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable
@@ -74,8 +76,11 @@ class Codes(dict):
         return code
 
 
-def template(text: str, codes: Codes) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Raw words, template codes and, per word, its placeholder kind (0: none, 1 number, 2 unit, 3 name)."""
+def template(text: str, codes: Codes) -> tuple[list[str], list[np.ndarray], np.ndarray]:
+    """Raw words, template codes (names as they are; if there are names, also as placeholders) and kinds.
+
+    The kind of a word is 0 for none, 1 number, 2 unit, 3 name.
+    """
     words: list[str] = []
     starts = []
     for line in text.split("\n"):
@@ -85,13 +90,15 @@ def template(text: str, codes: Codes) -> tuple[list[str], np.ndarray, np.ndarray
     low = (code & np.uint64(7)).astype(np.int64)
     code &= ~np.uint64(7)
     names = np.flatnonzero(low == 4)
-    kind = np.where(low == 4, 0, low)
+    kind, variants = np.where(low == 4, 0, low), [code]
     if len(names):
         first = set(starts)
         inner = [i for i in names.tolist() if i not in first and words[i - 1][-1] not in ".!?:"]
         kind[inner] = 3
-        code[inner] = _code("name", "")
-    return words, code, kind
+        typed = code.copy()
+        typed[inner] = _code("name", "")
+        variants.append(typed)
+    return words, variants, kind
 
 
 def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
@@ -111,7 +118,7 @@ class Benchmark:
         self.codes = Codes()
         self.items, self.windows, self.widths = [], defaultdict(list), set()
         for item_id, text in items:
-            words, code, kind = template(text, self.codes)
+            words, variants, kind = template(text, self.codes)
             if not words:
                 continue
             width = min(WIDTH, len(words))
@@ -120,9 +127,9 @@ class Benchmark:
             at = len(self.items)
             self.items.append((item_id, words, kind, len(starts), width))
             self.widths.add(width)
-            hashed = window_hashes(code, width)
-            for i in starts.tolist():
-                self.windows[width, int(hashed[i])].append((at, i))
+            for hashed in (window_hashes(code, width) for code in variants):
+                for i in starts.tolist():
+                    self.windows[width, int(hashed[i])].append((at, i))
         self.filters = {}
         for width in self.widths:
             seen = np.zeros(1 << 22, dtype=bool)  # most windows of a text are turned away here
@@ -131,17 +138,17 @@ class Benchmark:
 
     def leaks(self, text: str) -> list[tuple[int, float]]:
         """(item_id, share of its windows) of every item that the text holds."""
-        words, code, kind = template(text, self.codes)
-        found: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for width in self.widths:
+        words, variants, kind = template(text, self.codes)
+        found: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for width, code in itertools.product(self.widths, variants):
             hashed = window_hashes(code, width)
             for i in np.flatnonzero(self.filters[width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
                 for item, at in self.windows.get((width, int(hashed[i])), ()):
-                    found[item, i - at].append(at)
+                    found[item, i - at].add(at)
         best: dict[int, float] = {}
         for (item, shift), starts in found.items():
             item_id, item_words, item_kind, n, width = self.items[item]
-            share = len(set(starts)) / n
+            share = len(starts) / n
             if share >= COVER and share > best.get(item_id, 0) and self._consistent(words, kind, item_words, item_kind, shift, starts, width):
                 best[item_id] = share
         return sorted(best.items(), key=lambda x: (x[0] is None, x[0]))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from touchpath.llm.common import BOOL, DOUBLE, LONG, field, map_text
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RULES = ("symbols_per_word", "shouts_per_word", "capital_words", "duplicate_lines", "repeated_words", "word_length", "brevity")
+RULES = ("symbols_per_word", "shouts_per_word", "capital_words", "duplicate_lines", "repeated_words")
 #: Cutoffs from strict to lenient; a document is rejected by a rule if its value is above the cutoff.
 CUTOFFS = (0.01, 0.02, 0.03, 0.05, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.5, 2.0, 3.0, 5.0)
 STRATA = ("en", "de", "fr", "es")
@@ -71,7 +71,7 @@ def measure(text: str) -> list:
     per = 1 / max(n, 1)
     capitals = sum(w.isupper() and len(w) > 1 for w in words)
     return [n, chars, symbols, duplicates, repeats, base_failed, symbols * per, text.count("!") * per, capitals * per,
-            duplicates / max(len(lines), 1), repeats * per, chars * per / 20, 10 / (n + 10)]
+            duplicates / max(len(lines), 1), repeats * per]
 
 
 def with_measures(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -96,7 +96,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return float(min(1.0, np.exp(choose + i * math.log(p) + (n - i) * math.log1p(-p)).sum()))
 
 
-def select_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, level: float = 0.05, nearly: float = 0.98) -> Cutoffs:
+def select_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.05, level: float = 0.05, nearly: float = 0.98) -> Cutoffs:
     """stratum -> rule -> cutoff, for the rules that passed.
 
     ``measured`` has doc_id, lang and the rule values; ``labels`` doc_id and quality (0 is bad).

@@ -8,7 +8,7 @@ it is trained from a small labelled url table, of which ``max_train_rows`` rows
 (smallest url hashes) are read, so the driver holds a bounded sample.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
-fits no rule and is scored as an empty url; repeated rows give repeated results;
+fits no rule, scores 0 and is allowed; repeated rows give repeated results;
 urls of any length are scored whole; without training rows every url that no
 rule fits is allowed.
 """
@@ -26,7 +26,7 @@ from touchpath.llm.common import DOUBLE, STRING, field, map_text
 
 Rule = tuple[str, str, str]  # host, path, "allow" or "block"
 SLOTS = 1 << 14  # weights of the model: its size does not depend on the data
-THRESHOLD = 0.6  # block from this probability on: a wrong block costs more than a missed one
+THRESHOLD = 0.7  # block from this probability on: a wrong block costs more than a missed one
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Labelled names, the seed of the training table: host label or path word -> block (1) or allow (0).
@@ -71,7 +71,7 @@ def grams(host: str, path: str) -> np.ndarray:
     return np.fromiter(sorted(out), dtype=np.int64, count=len(out))
 
 
-def train(labelled: DataFrame, max_train_rows: int = 5_000, rounds: int = 400, rate: float = 2.0, decay: float = 3e-4) -> tuple[np.ndarray, float]:
+def train(labelled: DataFrame, max_train_rows: int = 5_000, rounds: int = 600, rate: float = 8.0, decay: float = 2e-5) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch gradient descent; deterministic for a given table."""
     host, path = host_path(F.col("url"))
     rows = (labelled.where(F.col("blocked").isNotNull()).select(host.alias("h"), path.alias("p"), "blocked", F.xxhash64("url").alias("k"))
@@ -123,7 +123,7 @@ def judge_urls(df: DataFrame, rules: list[Rule], model: tuple[np.ndarray, float]
                 h, _, p = pair.partition("\x00")
                 slots = grams(h, p)
                 z = weights[slots].sum() / max(len(slots), 1) ** 0.5 + bias
-                score = float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+                score = float(1 / (1 + np.exp(-np.clip(z, -500, 500)))) if h else 0.0
                 name, verdict = fitting_rule(h, p, table) or (None, "block" if score >= THRESHOLD else "allow")
                 for out, value in zip((hosts, paths, names, verdicts, scores), (h, p, name, verdict, score)):
                     out.append(value)
