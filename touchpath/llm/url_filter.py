@@ -71,7 +71,7 @@ def grams(host: str, path: str) -> np.ndarray:
     return np.fromiter(sorted(out), dtype=np.int64, count=len(out))
 
 
-def train(labelled: DataFrame, max_train_rows: int = 5_000, rounds: int = 600, rate: float = 8.0, decay: float = 2e-5) -> tuple[np.ndarray, float]:
+def train(labelled: DataFrame, max_train_rows: int = 5_000, rounds: int = 600, rate: float = 30.0, decay: float = 2e-5) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch gradient descent; deterministic for a given table."""
     host, path = host_path(F.col("url"))
     rows = (labelled.where(F.col("blocked").isNotNull()).select(host.alias("h"), path.alias("p"), "blocked", F.xxhash64("url").alias("k"))
