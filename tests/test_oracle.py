@@ -5,12 +5,13 @@ import pytest
 import __spark_entry__ as E
 from compare import compare, duck
 from conftest import SF_SMALL
+from touchpath.plans import registry
 
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
