@@ -11,7 +11,7 @@ from touchpath.functions.dates import minus_days, utc_date
 ZEROED = ["f_converted", "total_transactions", "total_item_quantity", "session_revenue_usd"]
 
 
-def calendar_anchors(dates: DataFrame, as_of_col: str = "as_of", cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def calendar_anchors(dates: DataFrame, as_of_col: str, cfg: WindowConfig) -> DataFrame:
     """P11 as columns: for each ``as_of`` date, the month-end anchor and window starts."""
     last = F.date_sub(F.trunc(F.col(as_of_col), "month"), 1)
     return dates.select(
@@ -26,7 +26,7 @@ def _first_date():
     return utc_date("first_event_timestamp")
 
 
-def conversions(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def conversions(t3: DataFrame, cfg: WindowConfig) -> DataFrame:
     """F6 + O5: distinct converted sessions whose first hit falls in the conversion period."""
     return (t3.where((F.col("f_converted") == 1)
                      & _first_date().between(F.lit(cfg.conversion_start), F.lit(cfg.last_day)))
@@ -35,7 +35,7 @@ def conversions(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
             .distinct())
 
 
-def lookback_candidates(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def lookback_candidates(t3: DataFrame, cfg: WindowConfig) -> DataFrame:
     """F7 + P13: touchpoints of sessions starting in the conversion+lookback window.
 
     Conversion measures are zeroed when the touchpoint precedes the conversion
@@ -59,7 +59,7 @@ def last_country(candidates: DataFrame) -> DataFrame:
 
 
 def lookback_coverage(convs: DataFrame, lookback_days: int, candidate_days: DataFrame) -> DataFrame:
-    """Per (cookie, day): the part of that day covered by some ``(c - L, c]`` window.
+    """Per (cookie, day): the part of that day covered by some ``(c - L, c]`` window, and the cookie's country.
 
     A conversion c covers whole days strictly between ``date(c) - L`` and
     ``date(c)``, the tail of day ``date(c) - L`` after ``c - L`` and the head of
@@ -69,7 +69,9 @@ def lookback_coverage(convs: DataFrame, lookback_days: int, candidate_days: Data
     (cookie, day) are added with no effect, one aggregation collapses each
     (cookie, day) to sum/max/min, and a running sum of the differences per
     cookie, over at most one row per day of the window, marks whole-day
-    coverage. Three rows per conversion instead of ``L + 1``.
+    coverage. Three rows per conversion instead of ``L + 1``. The candidates'
+    days bring their latest known country, and the same days of a cookie give
+    its latest one (A6).
     """
     c = F.col("conversion_timestamp")
     d = utc_date(c)
@@ -82,28 +84,31 @@ def lookback_coverage(convs: DataFrame, lookback_days: int, candidate_days: Data
                  null_ts.alias("until"), minus_days(c, lookback_days).alias("after")),
     )).alias("r")).select("cookie_id", "r.*")
     keys = candidate_days.select("cookie_id", "day", F.lit(0).alias("delta"),
-                                 null_ts.alias("until"), null_ts.alias("after"))
-    per_day = (rows.unionByName(keys).groupBy("cookie_id", "day")
+                                 null_ts.alias("until"), null_ts.alias("after"), "latest")
+    per_day = (rows.unionByName(keys, allowMissingColumns=True).groupBy("cookie_id", "day")
                .agg(F.sum("delta").alias("delta"), F.max("until").alias("covered_until"),
-                    F.min("after").alias("covered_after")))
-    running = F.sum("delta").over(Window.partitionBy("cookie_id").orderBy("day")
-                                  .rowsBetween(Window.unboundedPreceding, 0))
-    return per_day.select("cookie_id", "day", (running > 0).alias("full_day"), "covered_until", "covered_after")
+                    F.min("after").alias("covered_after"), F.max("latest").alias("latest")))
+    days = Window.partitionBy("cookie_id").orderBy("day")
+    running = F.sum("delta").over(days.rowsBetween(Window.unboundedPreceding, 0))
+    country = F.max("latest").over(days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))["country_web"]
+    return per_day.select("cookie_id", "day", (running > 0).alias("full_day"), "covered_until", "covered_after", country.alias("country"))
 
 
 def in_lookback(candidates: DataFrame, convs: DataFrame, lookback_days: int) -> DataFrame:
-    """J4 + F8: candidates whose first hit lies in ``(c - L, c]`` of some conversion of the cookie.
+    """J4 + F8 + J5: candidates whose first hit lies in ``(c - L, c]`` of some conversion of the cookie, with its country.
 
-    A range semi join written as an equi join on (cookie, day) against the
-    coverage summary: one lookup per candidate, no pairwise comparison, and a
-    hot cookie is split across days (and by AQE skew handling within a day).
+    A range semi join written as an equi join on (cookie, day) with the
+    coverage summary, which has one row per (cookie, day) and so at most one
+    match: one lookup per candidate, no pairwise comparison, and a hot cookie
+    is split across days (and by AQE skew handling within a day).
     """
     f = F.col("first_event_timestamp")
-    days = candidates.select("cookie_id", utc_date(f).alias("day")).distinct()
+    known = F.when(F.col("country_web").isNotNull(), F.struct("event_timestamp", "country_web"))
+    days = candidates.groupBy("cookie_id", utc_date(f).alias("day")).agg(F.max(known).alias("latest"))
     cov = lookback_coverage(convs, lookback_days, days).withColumnRenamed("cookie_id", "cov_cookie")
     cond = ((F.col("cookie_id") == F.col("cov_cookie")) & (utc_date(f) == F.col("day"))
             & (F.col("full_day") | (f <= F.col("covered_until")) | (f > F.col("covered_after"))))
-    return candidates.join(cov, cond, "left_semi")
+    return candidates.join(cov, cond).select(*candidates.columns, "country")
 
 
 T4_COLUMNS = [
@@ -113,11 +118,11 @@ T4_COLUMNS = [
 ]
 
 
-def chains_base(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+def chains_base(t3: DataFrame, cfg: WindowConfig) -> DataFrame:
     """Entry 2: T3 -> T4 (attribution_chains_base).
 
-    Rows are unique (session, channel) touchpoints, so the final DISTINCT is
-    absorbed by the semi join. The warehouse ORDER BY is a presentation sort;
+    Rows are unique (session, channel) touchpoints and each meets at most one
+    coverage row, so the final DISTINCT has nothing to do. The warehouse ORDER BY is a presentation sort;
     writers apply it with ``sortWithinPartitions`` (O1).
     """
     cand = lookback_candidates(t3, cfg)
@@ -126,6 +131,5 @@ def chains_base(t3: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     convs = (t3.where((F.col("f_converted") == 1)
                       & _first_date().between(F.lit(cfg.conversion_start), F.lit(cfg.last_day)))
              .select("cookie_id", F.col("last_event_timestamp").alias("conversion_timestamp")))
-    kept = in_lookback(cand.where(F.col("cookie_id").isNotNull() & F.col("channel_group").isNotNull()),
-                       convs, cfg.lookback_window)
-    return kept.join(last_country(cand), "cookie_id", "left").select(*T4_COLUMNS)
+    kept = in_lookback(cand.where(F.col("cookie_id").isNotNull()), convs, cfg.lookback_window)
+    return kept.where(F.col("channel_group").isNotNull()).select(*T4_COLUMNS)

@@ -1,13 +1,15 @@
 """Session roll-up, traffic origins and the (session, channel) table.
 
-Every aggregate here is algebraic (min/max/sum/min_by/max_by), so Spark
-combines map-side before the shuffle: a hot session collapses to one partial
-row per input partition instead of landing whole in one task.
+One first aggregation serves all of them. Its keys hold every text a later
+step chooses from (origin, cookie, country, first touch), which are nearly
+constant in a session, so its measures are plain numbers: it runs as a hash
+aggregation that combines map-side and never sorts raw events. What picks a
+first or last value works on its few rows per session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchpath.functions.dates import micros_to_ts
@@ -16,195 +18,104 @@ from touchpath.schemas import REVENUE
 PURCHASE = "purchase"
 NONE_LABEL = "(none)"
 
+ORIGIN = ["source", "medium", "campaign_name"]
+T3_COLUMNS = [
+    "session_id", "cookie_id", "is_engaged", "country_web", "f_tp", "event_timestamp", "source", "medium",
+    "campaign_name", "source_medium", "channel_group", "f_converted", "total_transactions",
+    "total_item_quantity", "session_revenue_usd", "first_event_timestamp", "last_event_timestamp",
+]
+
 
-def session_rollup(base: DataFrame) -> DataFrame:
-    """A2: one row per session_id with last cookie, engagement, country and totals.
+def origin_groups(base: DataFrame) -> DataFrame:
+    """One row per (session, origin, cookie, country): the shared first aggregation.
 
-    Ordered ``ARRAY_AGG(...)[OFFSET(0)]`` becomes ``max_by`` with a
-    (timestamp, value) tie-break, so ties resolve deterministically.
+    Hits with an origin (``f_tp`` 1) have '(none)' for its missing parts (D5),
+    so a NULL and an explicit '(none)' collapse; hits without one (``f_tp`` 0)
+    carry their first touch instead.
     """
+    tp = F.col("source").isNotNull() | F.col("medium").isNotNull()
     ts = F.col("event_timestamp")
-    is_purchase = F.col("event_name") == PURCHASE
-    has_country = F.col("country_web").isNotNull()
-    n_purchase = F.sum(F.when(is_purchase, 1).otherwise(0)).cast("bigint")
-    return base.groupBy("session_id").agg(
-        F.max_by("cookie_id", F.struct(ts, F.col("cookie_id"))).alias("cookie_id"),
-        F.max("is_engaged").alias("is_engaged"),
-        F.max_by(F.when(has_country, F.col("country_web")),
-                 F.when(has_country, F.struct(ts, F.col("country_web")))).alias("country_web"),
-        F.when(n_purchase > 0, 1).otherwise(0).alias("f_converted"),
-        n_purchase.alias("total_transactions"),
-        F.sum(F.when(is_purchase, F.col("total_item_quantity")).otherwise(0)).cast("bigint").alias("total_item_quantity"),
-        F.sum(F.when(is_purchase, F.col("purchase_revenue_in_usd")).otherwise(0.0)).try_cast(REVENUE).alias("session_revenue_usd"),
-        micros_to_ts(F.min(ts)).alias("first_event_timestamp"),
-        micros_to_ts(F.max(ts)).alias("last_event_timestamp"),
-    )
-
-
-def _has_origin():
-    return F.col("source").isNotNull() | F.col("medium").isNotNull()
-
-
-def session_touchpoints(base: DataFrame) -> DataFrame:
-    """A3: earliest hit per (session, source, medium, campaign) among hits with an origin.
-
-    Grouping is on the '(none)'-filled values (D5), so a NULL and an explicit
-    '(none)' collapse into one touchpoint.
-    """
-    return (base.where(_has_origin())
-            .groupBy("session_id",
-                     F.coalesce("source", F.lit(NONE_LABEL)).alias("source"),
-                     F.coalesce("medium", F.lit(NONE_LABEL)).alias("medium"),
-                     F.coalesce("campaign_name", F.lit(NONE_LABEL)).alias("campaign_name"))
-            .agg(F.min("event_timestamp").alias("event_timestamp"))
-            .withColumn("f_tp", F.lit(1)))
+    bought = F.col("event_name") == PURCHASE
+    origin = [F.when(tp, F.coalesce(c, F.lit(NONE_LABEL))).otherwise(F.col(f"first_{c}")).alias(c) for c in ORIGIN]
+    return (base.groupBy("session_id", F.when(tp, 1).otherwise(0).alias("f_tp"), *origin, "cookie_id", "country_web")
+            .agg(F.min(ts).alias("t_min"), F.max(ts).alias("t_max"), F.max("is_engaged").alias("engaged"),
+                 F.sum(F.when(bought, 1).otherwise(0)).alias("n_purchase"),
+                 F.sum(F.when(bought, F.col("total_item_quantity")).otherwise(0)).alias("qty"),
+                 F.sum(F.when(bought, F.col("purchase_revenue_in_usd")).otherwise(0.0)).alias("revenue"))
+            .withColumn("source_medium", F.concat("source", F.lit("/"), "medium")))
 
 
-def _first_touch_struct():
-    return F.struct(F.col("first_source").alias("source"), F.col("first_medium").alias("medium"),
-                    F.col("first_campaign_name").alias("campaign_name"))
+def _partial_facts() -> list:
+    """A2 measures of some of a session's groups; ``_merged_facts`` finishes them."""
+    known = F.col("country_web").isNotNull()
+    return [F.max(F.struct(F.col("t_max").alias("t"), F.col("cookie_id").alias("v"))).alias("cookie"),
+            F.max(F.when(known, F.struct(F.col("t_max").alias("t"), F.col("country_web").alias("v")))).alias("country"),
+            F.max("engaged").alias("engaged"), F.sum("n_purchase").alias("n_purchase"), F.sum("qty").alias("qty"),
+            F.sum("revenue").alias("revenue"), F.min("t_min").alias("t_min"), F.max("t_max").alias("t_max")]
 
 
-def _first_touch_order():
-    return F.struct("event_timestamp", "first_source", "first_medium", "first_campaign_name")
+def _merged_facts() -> list:
+    n = F.sum("n_purchase")
+    return [F.max("cookie")["v"].alias("cookie_id"), F.max("engaged").alias("is_engaged"), F.max("country")["v"].alias("country_web"),
+            F.when(n > 0, 1).otherwise(0).alias("f_converted"), n.cast("bigint").alias("total_transactions"),
+            F.sum("qty").cast("bigint").alias("total_item_quantity"), F.sum("revenue").try_cast(REVENUE).alias("session_revenue_usd"),
+            micros_to_ts(F.min("t_min")).alias("first_event_timestamp"), micros_to_ts(F.max("t_max")).alias("last_event_timestamp")]
 
 
-def session_fallback_origin(base: DataFrame) -> DataFrame:
-    """A4: first-touch origin of the earliest origin-less hit of each session."""
-    return (base.where(~_has_origin())
-            .groupBy("session_id")
-            .agg(F.min_by(_first_touch_struct(), _first_touch_order()).alias("o"),
-                 F.min("event_timestamp").alias("event_timestamp"))
-            .select("session_id", "o.source", "o.medium", "o.campaign_name", "event_timestamp",
-                    F.lit(0).alias("f_tp")))
+def _earliest():
+    """The earliest origin of some groups: ties go to the smallest texts."""
+    return F.min(F.struct(F.col("t_min").alias("t"), *ORIGIN, "source_medium"))
 
 
-def _finish_origins(df: DataFrame) -> DataFrame:
-    return df.select(
-        "session_id", "f_tp", "source", "medium", "campaign_name",
-        F.concat("source", F.lit("/"), "medium").alias("source_medium"),
-        micros_to_ts("event_timestamp").alias("event_timestamp"),
-    )
+def session_rollup(groups: DataFrame) -> DataFrame:
+    """A2: one row per session with last cookie, engagement, country and totals."""
+    return groups.groupBy("session_id").agg(*_partial_facts()).groupBy("session_id").agg(*_merged_facts())
 
 
-def session_origins(touchpoints: DataFrame, fallback: DataFrame) -> DataFrame:
-    """J1 + O3: touchpoints, plus the fallback origin of sessions without any.
+def session_touchpoints(groups: DataFrame) -> DataFrame:
+    """A3: earliest hit per (session, source, medium, campaign) among hits with an origin."""
+    return (groups.where("f_tp = 1").groupBy("session_id", *ORIGIN, "f_tp").agg(F.min("t_min").alias("event_timestamp"))
+            .select("session_id", *ORIGIN, "event_timestamp", "f_tp"))
 
-    ``FULL JOIN USING(session_id)`` with per-column COALESCE keeps whole
-    touchpoint rows whenever a session has one, so it equals
-    ``tp UNION (fallback ANTI JOIN tp)``; NULL session ids are dropped.
-    """
-    cols = ["session_id", "f_tp", "source", "medium", "campaign_name", "event_timestamp"]
-    tp = touchpoints.where(F.col("session_id").isNotNull()).select(*cols)
-    fb = (fallback.where(F.col("session_id").isNotNull())
-          .join(tp.select("session_id"), "session_id", "left_anti").select(*cols))
-    return _finish_origins(tp.unionByName(fb))
 
+def session_fallback_origin(groups: DataFrame) -> DataFrame:
+    """A4: first-touch origin of the earliest origin-less hit of each session."""
+    return (groups.where("f_tp = 0").groupBy("session_id").agg(_earliest().alias("o"))
+            .select("session_id", *[f"o.{c}" for c in ORIGIN], F.col("o.t").alias("event_timestamp"), F.lit(0).alias("f_tp")))
 
-_SESSION_FACTS = ["cookie_id", "is_engaged", "country_web", "f_converted", "total_transactions",
-                  "total_item_quantity", "session_revenue_usd", "first_event_timestamp", "last_event_timestamp"]
 
+def _chosen(rows, has_tp):
+    """A session's touchpoints if it has any, else its one earliest fallback."""
+    first = F.array_min(F.transform(rows, lambda r: r["o"]))
+    return F.filter(rows, lambda r: F.when(has_tp == 1, r["f_tp"] == 1).otherwise(r["o"].eqNullSafe(first)))
 
-def session_origins_with_facts(base: DataFrame, classify=None) -> DataFrame:
-    """A2-A4 + J1 from one scan: origins carrying their session's roll-up facts.
 
-    The origin aggregation also keeps partial roll-up measures per origin
-    group (all algebraic: max of (ts, value) structs, sums, min/max). The
-    session window that decides fallback-vs-touchpoint then finishes the
-    roll-up over the same partition, so the separate session aggregation, its
-    exchange and the final roll-up join are not needed. Equal to
-    ``session_origins`` plus ``session_rollup`` joined on session_id.
+def session_origins(groups: DataFrame) -> DataFrame:
+    """J1 + O3: touchpoints, plus the fallback origin of sessions without any.
 
-    ``classify`` (origins -> origins + channel_group) is applied before the
-    session exchange: each row's final origin is known there already (the
-    window only drops fallback rows), and it keeps the classifier in its own
-    code-generated stage.
+    ``FULL JOIN USING(session_id)`` with per-column COALESCE keeps whole
+    touchpoint rows whenever a session has one, so it equals
+    ``tp UNION (fallback ANTI JOIN tp)``; NULL session ids are dropped.
     """
-    tp = _has_origin()
-    ts = F.col("event_timestamp")
-    is_purchase = F.col("event_name") == PURCHASE
-    has_country = F.col("country_web").isNotNull()
-    grouped = (base.where(F.col("session_id").isNotNull())
-               .groupBy(
-                   "session_id",
-                   F.when(tp, 1).otherwise(0).alias("f_tp"),
-                   F.when(tp, F.coalesce("source", F.lit(NONE_LABEL))).alias("tp_source"),
-                   F.when(tp, F.coalesce("medium", F.lit(NONE_LABEL))).alias("tp_medium"),
-                   F.when(tp, F.coalesce("campaign_name", F.lit(NONE_LABEL))).alias("tp_campaign"))
-               .agg(F.min_by(_first_touch_struct(), _first_touch_order()).alias("fb"),
-                    F.min(ts).alias("event_timestamp"),
-                    F.max(ts).alias("ts_max"),
-                    F.max(F.struct(ts.alias("t"), F.col("cookie_id").alias("v"))).alias("cookie_last"),
-                    F.max("is_engaged").alias("engaged"),
-                    F.max(F.when(has_country, F.struct(ts.alias("t"), F.col("country_web").alias("v")))).alias("country_last"),
-                    F.sum(F.when(is_purchase, 1).otherwise(0)).cast("bigint").alias("n_purchase"),
-                    F.sum(F.when(is_purchase, F.col("total_item_quantity")).otherwise(0)).cast("bigint").alias("qty"),
-                    F.sum(F.when(is_purchase, F.col("purchase_revenue_in_usd")).otherwise(0.0)).alias("revenue")))
-    is_tp = F.col("f_tp") == 1
-    source = F.when(is_tp, F.col("tp_source")).otherwise(F.col("fb.source"))
-    medium = F.when(is_tp, F.col("tp_medium")).otherwise(F.col("fb.medium"))
-    origins = grouped.select(
-        "session_id", "f_tp", "event_timestamp", "ts_max", "cookie_last", "engaged", "country_last",
-        "n_purchase", "qty", "revenue",
-        source.alias("source"), medium.alias("medium"),
-        F.when(is_tp, F.col("tp_campaign")).otherwise(F.col("fb.campaign_name")).alias("campaign_name"),
-        F.concat(source, F.lit("/"), medium).alias("source_medium"))
-    if classify is not None:
-        origins = classify(origins)
-    w = Window.partitionBy("session_id")
-    n_purchase = F.sum("n_purchase").over(w)
-    facts = [
-        F.max("cookie_last").over(w)["v"].alias("cookie_id"),
-        F.max("engaged").over(w).alias("is_engaged"),
-        F.max("country_last").over(w)["v"].alias("country_web"),
-        F.when(n_purchase > 0, 1).otherwise(0).alias("f_converted"),
-        n_purchase.alias("total_transactions"),
-        F.sum("qty").over(w).alias("total_item_quantity"),
-        F.sum("revenue").over(w).try_cast(REVENUE).alias("session_revenue_usd"),
-        micros_to_ts(F.min("event_timestamp").over(w)).alias("first_event_timestamp"),
-        micros_to_ts(F.max("ts_max").over(w)).alias("last_event_timestamp"),
-        F.max("f_tp").over(w).alias("has_tp"),
-    ]
-    keep = ["session_id", "f_tp", "source", "medium", "campaign_name", "source_medium"]
-    keep += ["channel_group"] if classify is not None else []
-    return (origins.select("*", *facts)
-            .where(is_tp | (F.col("has_tp") == 0))
-            .select(*keep, micros_to_ts("event_timestamp").alias("event_timestamp"), *_SESSION_FACTS))
+    known = groups.where(F.col("session_id").isNotNull())
+    tp, fallback = session_touchpoints(known), session_fallback_origin(known)
+    alone = fallback.join(tp.select("session_id"), "session_id", "left_anti")
+    return tp.unionByName(alone).select(
+        "session_id", "f_tp", *ORIGIN, F.concat("source", F.lit("/"), "medium").alias("source_medium"),
+        micros_to_ts("event_timestamp").alias("event_timestamp"))
 
 
 def session_channels_with_facts(classified: DataFrame) -> DataFrame:
-    """A5 + J2 on origins that carry session facts: T3 without a join.
+    """A5 + J1 + J2: T3 from classified origin groups.
 
-    The input is already hash-partitioned by session_id (session window), so
-    this (session_id, channel_group) aggregation adds no exchange; session
-    facts are constant per session and taken with ``first``.
+    Groups first collapse to (session, f_tp, channel), map-side, so whatever
+    number of origins a session has, at most two rows per channel of it meet in
+    one task. There the fallback is decided and the roll-up finished.
     """
-    first = F.min_by(F.struct("source", "medium", "campaign_name", "source_medium"),
-                     F.struct("event_timestamp", "source", "medium", "campaign_name"))
-    out = (classified.groupBy("session_id", "channel_group")
-           .agg(first.alias("o"), F.max("f_tp").alias("f_tp"), F.min("event_timestamp").alias("event_timestamp"),
-                *[F.first(c).alias(c) for c in _SESSION_FACTS]))
-    return out.select(*[F.col(f"o.{c}").alias(c) if c in ("source", "medium", "campaign_name", "source_medium")
-                        else F.col(c) for c in T3_COLUMNS])
-
-
-def session_channels(classified: DataFrame) -> DataFrame:
-    """A5: earliest origin per (session, channel), with max(f_tp) and min(timestamp)."""
-    first = F.min_by(F.struct("source", "medium", "campaign_name", "source_medium"),
-                     F.struct("event_timestamp", "source", "medium", "campaign_name"))
-    return (classified.groupBy("session_id", "channel_group")
-            .agg(first.alias("o"), F.max("f_tp").alias("f_tp"), F.min("event_timestamp").alias("event_timestamp"))
-            .select("session_id", "o.source", "o.medium", "o.campaign_name", "o.source_medium",
-                    "channel_group", "f_tp", "event_timestamp"))
-
-
-T3_COLUMNS = [
-    "session_id", "cookie_id", "is_engaged", "country_web", "f_tp", "event_timestamp", "source", "medium",
-    "campaign_name", "source_medium", "channel_group", "f_converted", "total_transactions",
-    "total_item_quantity", "session_revenue_usd", "first_event_timestamp", "last_event_timestamp",
-]
-
-
-def join_sessions(rollup: DataFrame, channels: DataFrame) -> DataFrame:
-    """LEFT JOIN + ``e.session_id IS NOT NULL`` is an inner join."""
-    return rollup.join(channels, "session_id", "inner").select(*T3_COLUMNS)
+    per = (classified.groupBy("session_id", "f_tp", "channel_group").agg(_earliest().alias("o"), *_partial_facts()))
+    sessions = (per.groupBy("session_id")
+                .agg(F.collect_list(F.struct("f_tp", "channel_group", "o")).alias("rows"), F.max("f_tp").alias("has_tp"), *_merged_facts())
+                .withColumn("r", F.explode(_chosen(F.col("rows"), F.col("has_tp")))))
+    return (sessions.withColumns({**{c: F.col(f"r.o.{c}") for c in [*ORIGIN, "source_medium"]}, "f_tp": F.col("r.f_tp"),
+                                  "channel_group": F.col("r.channel_group"), "event_timestamp": micros_to_ts("r.o.t")})
+            .select(*T3_COLUMNS))

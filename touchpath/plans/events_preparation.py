@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from touchpath.config import EventsConfig
 from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
-from touchpath.operators.sessions import session_channels_with_facts, session_origins_with_facts
+from touchpath.operators.sessions import origin_groups, session_channels_with_facts
 
 
 def attribution_events(events: DataFrame, categories: DataFrame, cfg: EventsConfig = EventsConfig()) -> DataFrame:
-    """T1 + T2 -> T3 with one scan and two exchanges.
+    """T1 + T2 -> T3 from one scan.
 
     NULL session ids are dropped before any shuffle: they would form one giant
-    group and never survive the final join anyway. Plan: partial aggregation
-    per (session, origin) -> exchange -> broadcast category join and channel
-    classification -> exchange by session_id -> session window (fallback
-    choice and session roll-up) -> (session, channel) aggregation reusing
-    that partitioning.
+    group and never survive the final join anyway. Plan: hash aggregation per
+    (session, origin) -> broadcast category join and channel classification ->
+    aggregation per (session, f_tp, channel) -> one row set per session, where
+    the fallback is chosen and the roll-up finished.
     """
     base = base_events(events, cfg).where(F.col("session_id").isNotNull())
-    classified = session_origins_with_facts(
-        base, classify=lambda o: classify_channels(o, categories, cfg.broadcast_max_rows))
-    return session_channels_with_facts(classified)
+    return session_channels_with_facts(classify_channels(origin_groups(base), categories, cfg.broadcast_max_rows))
