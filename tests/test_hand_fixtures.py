@@ -16,7 +16,7 @@ from touchpath.operators import models as M
 from touchpath.operators import stats as ST
 from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
-from touchpath.operators.sessions import session_fallback_origin, session_origins, session_touchpoints
+from touchpath.operators.sessions import origin_groups, session_origins
 from touchpath.sources.categories import source_category_lists, source_flags
 from touchpath.sources.testdata import fixture_categories
 
@@ -64,7 +64,7 @@ def test_h4_lookback_boundary(spark):
         ("s_other", "w", "Direct", conv_ts, 0, 0, conv_ts, conv_ts),
     ])
     convs = spark.createDataFrame([("u", conv_ts)], "cookie_id string, conversion_timestamp timestamp_ntz")
-    kept = {r["session_id"] for r in L.in_lookback(cand, convs, lb).collect()}
+    kept = {r["session_id"] for r in L.in_lookback(cand.withColumn("country_web", F.lit(None).cast("string")), convs, lb).collect()}
     assert kept == {"s_after", "s_equal"}
 
 
@@ -130,7 +130,7 @@ def test_h11_case_sensitive_categories(spark):
     rows = [{"ts": 1, "params": [("ga_session_id", None, 1)], "source": "IGShopping", "medium": "social"},
             {"ts": 2, "params": [("ga_session_id", None, 2)], "first_source": "IGShopping", "first_medium": "Social"}]
     b = _base(spark, rows)
-    origins = session_origins(session_touchpoints(b), session_fallback_origin(b))
+    origins = session_origins(origin_groups(b))
     ch = {r["session_id"]: r["channel_group"] for r in classify_channels(origins, fixture_categories(spark)).collect()}
     assert ch == {"u1_1": "Organic Social", "u1_2": "Organic Shopping"}
 
@@ -224,7 +224,15 @@ def test_lookback_semi_join_matches_brute_force(spark, lookback):
                   ("at", cu, "Direct", ct, 0, 0, ct, ct)]
     cand_df = t4_rows(spark, cands)
     conv_df = spark.createDataFrame(convs, "cookie_id string, conversion_timestamp timestamp_ntz")
-    got = {r["session_id"] for r in L.in_lookback(cand_df, conv_df, lookback).collect()}
+    cand_df = cand_df.withColumn("country_web", F.when(F.hash("session_id") % 3 != 0, F.element_at(F.split("session_id", "-"), -1)))
+    rows = L.in_lookback(cand_df, conv_df, lookback).collect()
+    got = {r["session_id"] for r in rows}
+    assert len(rows) == len(got)
+    latest = {}
+    for r in cand_df.collect():  # A6: over all candidates of the cookie
+        if r["country_web"] is not None:
+            latest[r["cookie_id"]] = max(latest.get(r["cookie_id"], (r["event_timestamp"], "")), (r["event_timestamp"], r["country_web"]))
+    assert all(r["country"] == latest.get(r["cookie_id"], (0, None))[1] for r in rows)
     want = {s for s, u, _, _, _, _, f, _ in cands
             if any(cu == u and ct - dt.timedelta(days=lookback) < f <= ct for cu, ct in convs)}
     assert got == want

@@ -1,16 +1,27 @@
 """Documented options: campaign source (D2), chain merge/concatenation variants."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from touchpath.config import ChainConfig, EventsConfig
+from touchpath.config import ChainConfig, EventsConfig, WindowConfig
 from touchpath.plans import registry as R
 from touchpath.plans.attribution import final_chains
 from touchpath.plans.events_preparation import attribution_events
 from touchpath.sources.testdata import fixture_categories
 
 
+RUN = dt.date(2024, 2, 15)
+
+
+def test_dates_have_no_default():
+    for make in (ChainConfig, WindowConfig):
+        with pytest.raises(TypeError):
+            make()
+
+
 def _channels_by_fixture_row(spark, campaign_from):
     """Channel of the touchpoint origin of each fixture traffic row n (sessions with one event)."""
     ga4 = R.ga4(spark, SF_SMALL)
@@ -37,10 +48,10 @@ def test_invalid_options_rejected():
     with pytest.raises(ValueError):
         EventsConfig(campaign_from="name")
     with pytest.raises(ValueError):
-        ChainConfig(concat_input="other")
+        ChainConfig(RUN, concat_input="other")
 
 
-@pytest.mark.parametrize("cfg", [ChainConfig(concat_chains=False), ChainConfig(concat_input="merged"), ChainConfig()])
+@pytest.mark.parametrize("cfg", [ChainConfig(RUN, concat_chains=False), ChainConfig(RUN, concat_input="merged"), ChainConfig(RUN)])
 def test_chain_variants_keep_value(spark, cfg):
     raw = R.raw_chains(spark, SF_SMALL)
     out = final_chains(raw, cfg)

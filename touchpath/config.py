@@ -29,7 +29,9 @@ class EventsConfig:
 class WindowConfig:
     """Conversion and lookback windows of the chains-base preparation (T3 -> T4)."""
 
-    as_of: dt.date = dt.date(2024, 2, 15)
+    # The day of the run: windows end with the month before it. No default, as a
+    # wrong day silently keeps other sessions.
+    as_of: dt.date
     conversion_period: int = 30
     lookback_window: int = 90
 
@@ -55,13 +57,14 @@ class WindowConfig:
 class ChainConfig:
     """Chain building and attribution options (T4 -> T8)."""
 
+    # Stamped on the results.
+    run_date: dt.date
     merge_gap_days: int = 3
     concat_within_days: int = 10
     concat_chains: bool = True
     # 'raw' reproduces the shipped driver (concatenation of unmerged chains);
     # 'merged' concatenates the merged chains instead.
     concat_input: str = "raw"
-    run_date: dt.date = dt.date(2024, 2, 15)
 
     def __post_init__(self):
         if self.concat_input not in ("raw", "merged"):

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Classification rules (must equal the reference for equal
 # results). Regexes use Java syntax; ``\z`` anchors at the true end of text,
-# as RE2's ``$`` does.
+# as RE2's ``$`` does; ``(?d)`` lets ``.`` match every character but a newline,
+# as RE2's does (Java's also stops at other line ends).
 # ---------------------------------------------------------------------------
-PAID_MEDIUM = r"^(.*cp.*|ppc|retargeting|paid.*)\z"
-SHOPPING_CAMPAIGN = r"^(.*(([^a-df-z]|^)shop|shopping).*)\z"
-VIDEO_MEDIUM = r"^(.*video.*)\z"
+PAID_MEDIUM = r"(?d)^(.*cp.*|ppc|retargeting|paid.*)\z"
+SHOPPING_CAMPAIGN = r"(?d)^(.*(([^a-df-z]|^)shop|shopping).*)\z"
+VIDEO_MEDIUM = r"(?d)^(.*video.*)\z"
 CROSS_NETWORK = "cross-network"
 EMAIL = "e[-_ ]?mail"
 SMS = "sms"
@@ -40,13 +41,6 @@ CATEGORIES = {
     "is_video": CATEGORY_VIDEO,
     "is_shopping": CATEGORY_SHOPPING,
 }
-
-CHANNELS = (
-    "Direct", "Cross Network", "Paid Shopping", "Paid Search", "Paid Social",
-    "Paid Video", "Display", "Paid Other", "Organic Shopping", "Organic Social",
-    "Organic Video", "Organic Search", "Referral", "Email", "Affiliates", "Audio",
-    "SMS", "Mobile Push Notifications", "Unassigned",
-)
 # ---------------------------------------------------------------------------
 
 

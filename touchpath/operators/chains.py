@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchpath.functions.dates import months_and_days_between, utc_date
+from touchpath.functions.dates import months_and_days_between, ts_to_micros, utc_date
+from touchpath.session import stage
 
 T5_COLUMNS = ["customer_id", "conversion_id", "conversion_timestamp", "chain", "first_event",
               "purchase_date", "purchase_value", "chain_no"]
@@ -42,6 +43,7 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
     closings in earlier hours (window over one row per customer-hour, at most
     24 per day of the lookback range) plus closings earlier in the same hour
     (window per customer-hour), so no window spans a customer's history.
+    Hours are whole numbers since the epoch: no session time zone is involved.
     """
     last = F.max_by(F.struct("f_purchased", "last_event_timestamp", "session_revenue"),
                     F.struct("event_timestamp", "channel_group"))
@@ -49,10 +51,8 @@ def session_chain_numbers(rows: DataFrame) -> DataFrame:
             .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"),
                  F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"))
             .withColumn("closes", F.when(F.col("last.f_purchased") == 1, 1).otherwise(0))
-            .withColumn("bucket", F.date_trunc("hour", F.col("first_ts")))
-            # Both the local window and the per-hour counts need (customer, hour):
-            # one exchange, shared by the two readers.
-            .repartition("customer_id", "bucket"))
+            .withColumn("bucket", F.floor(ts_to_micros("first_ts") / F.lit(3_600_000_000))))
+    sess = stage(sess, "sessions")  # read by the per-hour counts and by the numbering
     per_bucket = (sess.groupBy("customer_id", "bucket").agg(F.sum("closes").alias("n_bucket"))
                   .withColumn("offset", _running_count_before("n_bucket", ["customer_id"], ["bucket"]))
                   .drop("n_bucket"))
@@ -80,7 +80,7 @@ def conversion_chains(t4: DataFrame) -> DataFrame:
     chain = F.flatten(F.transform("parts", lambda p: F.transform(p["items"], lambda i: i["channel_group"])))
     return grouped.select(
         "customer_id",
-        F.concat(F.col("closing.session_id"), F.lit("."), F.date_format(end_ts, "yyyyMMdd")).alias("conversion_id"),
+        F.concat(F.col("closing.session_id"), F.lit("."), F.replace(utc_date(end_ts).cast("string"), F.lit("-"), F.lit(""))).alias("conversion_id"),
         end_ts.alias("conversion_timestamp"),
         chain.alias("chain"),
         utc_date("first_ts").alias("first_event"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,12 +39,13 @@ def with_rolling_year(weekly: DataFrame, cfg: MediaConfig) -> DataFrame:
 
 def _metric(column: str) -> str:
     """Metric name from a ``<prefix>_<subchannel>_<split>`` column (last suffix wins)."""
-    found = re.findall(r".*_(grp|lea|imp|cli|app|num|inv)", column)
-    if not found:
+    suffix = column.rpartition("_")[2]
+    if suffix not in SPLIT_METRICS:
         raise ValueError(f"no known split suffix in column '{column}'")
-    return SPLIT_METRICS[found[0]]
+    return SPLIT_METRICS[suffix]
 
 
+# How labels and cost columns are named.
 def split_label(subchannel: str) -> str:
     """``'con_tv'`` -> ``'CON TV'``."""
     return " ".join(subchannel.upper().split("_"))
@@ -78,7 +77,7 @@ def is_total_split(split: Column) -> Column:
 
 
 def cost_per_unit_name(metric: str) -> str:
-    return "cost_per_" + re.sub(r"s$", "", metric)
+    return "cost_per_" + metric.removesuffix("s")
 
 
 def channel_recap(weekly: DataFrame, channel: MediaChannel) -> DataFrame:

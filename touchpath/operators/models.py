@@ -1,8 +1,8 @@
 """M1-M8: heuristic and Markov (removal-effect) attribution on the path table.
 
-Input is ``model_paths`` output: ``chain`` (array of channels), ``nr_chains``
-(weight) and ``total_revenue`` (value). Paths are kept as arrays, so channel
-names are never re-split from text.
+Input is ``model_paths`` output, or ``chain_weights`` of the chains themselves:
+``chain`` (array of channels), ``nr_chains`` (weight) and ``total_revenue``
+(value). Every model is linear in its paths, so chains need no grouping by path.
 """
 
 from __future__ import annotations
@@ -23,9 +23,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Absorbing-chain state names.
 START = "(start)"
 CONVERSION = "(conversion)"
-# Transition tables above this many edges mean the states are not channel
-# labels (the classifier emits 19); refuse rather than solve a huge system.
-MAX_EDGES = 250_000
+
+
+def chain_weights(chains: DataFrame) -> DataFrame:
+    """Each chain as a path of weight 1 (0 without a customer, as paths count customers)."""
+    return chains.select("chain", F.when(F.col("customer_id").isNotNull(), 1).otherwise(0).cast("bigint").alias("nr_chains"),
+                         F.col("purchase_value").cast("double").alias("total_revenue"))
 
 
 def heuristic_attribution(paths: DataFrame) -> DataFrame:
@@ -73,17 +76,12 @@ def markov_probabilities(transitions: DataFrame) -> DataFrame:
     return transitions.select("from_state", "to_state", (F.col("nr_transitions") / total).alias("probability"))
 
 
-_EFFECTS_SCHEMA = T.StructType([
-    T.StructField("channel_name", T.StringType()),
-    T.StructField("removal_effect_volume", T.DoubleType()),
-    T.StructField("removal_effect_value", T.DoubleType()),
-    T.StructField("markov_volume", T.DoubleType()),
-    T.StructField("markov_value", T.DoubleType()),
-])
+_SCENARIO_SCHEMA = T.StructType([
+    T.StructField("channel_name", T.StringType()), T.StructField("p_conversion", T.DoubleType()), T.StructField("e_value", T.DoubleType())])
 
 
-def _solve_removal_effects(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Exact absorbing-chain solution for the full model and each removed channel.
+def _solve_scenario(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Conversion probability and expected value of the chain without one channel (none removed: NULL).
 
     With Q the transient-to-transient probabilities, r the probability of
     stepping to conversion and rv the conversion value per visit,
@@ -91,63 +89,44 @@ def _solve_removal_effects(pdf: pd.DataFrame) -> pd.DataFrame:
     expected values. Removing a channel zeroes its row and column without
     renormalising (lost mass goes to the null state).
     """
-    if len(pdf) > MAX_EDGES:
-        raise ValueError(f"transition table has more than {MAX_EDGES} edges; states are not channel labels")
-    channels = sorted(set(pdf["from_state"]) - {START})
-    states = [START] + channels
-    idx = {s: i for i, s in enumerate(states)}
-    m = len(states)
-    counts = np.zeros((m, m))
-    conv = np.zeros(m)
-    value = np.zeros(m)
-    totals = np.zeros(m)
-    for f, t, n, v in pdf[["from_state", "to_state", "nr_transitions", "transition_value"]].itertuples(index=False):
-        i = idx[f]
-        totals[i] += n
-        if t == CONVERSION:
-            conv[i] += n
-            value[i] += v
+    removed = pdf["removed"].iloc[0]
+    total = pdf.groupby("from_state")["nr_transitions"].transform("sum")
+    left = pdf.assign(p=pdf["nr_transitions"] / total, v=pdf["transition_value"] / total)
+    left = left[(left["from_state"] != removed) & (left["to_state"] != removed)]
+    states = {s: i for i, s in enumerate(sorted({START, *left["from_state"], *left["to_state"]} - {CONVERSION}))}
+    q, r = np.zeros((len(states), len(states))), np.zeros((len(states), 2))
+    for edge in left.itertuples(index=False):
+        if edge.to_state == CONVERSION:
+            r[states[edge.from_state]] += edge.p, edge.v
         else:
-            counts[i, idx[t]] += n
-    safe = np.where(totals > 0, totals, 1.0)
-    q, r, rv = counts / safe[:, None], conv / safe, value / safe
-
-    def solve(removed):
-        qq, rr, vv = q.copy(), r.copy(), rv.copy()
-        if removed is not None:
-            qq[removed, :] = 0.0
-            qq[:, removed] = 0.0
-            rr[removed] = 0.0
-            vv[removed] = 0.0
-        a = np.eye(m) - qq
-        sol = np.linalg.lstsq(a, np.column_stack([rr, vv]), rcond=None)[0]
-        return sol[0, 0], sol[0, 1]
-
-    full_p, full_v = solve(None)
-    eff_p, eff_v = [], []
-    for c in channels:
-        p, v = solve(idx[c])
-        eff_p.append(1.0 - p / full_p if full_p else 0.0)
-        eff_v.append(1.0 - v / full_v if full_v else 0.0)
-    eff_p, eff_v = np.array(eff_p), np.array(eff_v)
-    total_conv = conv.sum()
-    total_value = value.sum()
-    vol = eff_p / eff_p.sum() * total_conv if eff_p.sum() else np.zeros(len(channels))
-    val = eff_v / eff_v.sum() * total_value if eff_v.sum() else np.zeros(len(channels))
-    return pd.DataFrame({"channel_name": channels, "removal_effect_volume": eff_p, "removal_effect_value": eff_v,
-                         "markov_volume": vol, "markov_value": val})
+            q[states[edge.from_state], states[edge.to_state]] += edge.p
+    found = np.linalg.lstsq(np.eye(len(states)) - q, r, rcond=None)[0][states[START]]
+    return pd.DataFrame({"channel_name": [removed], "p_conversion": [found[0]], "e_value": [found[1]]})
 
 
 def markov_removal_effects(transitions: DataFrame) -> DataFrame:
     """M6 + M7: removal effects and Markov attribution per channel.
 
     The transition table has at most (states)^2 rows whatever the number of
-    paths (the heavy, data-sized work is M4's explode + aggregation); with the
-    classifier's 19 labels that is at most 21 x 21 edges, so it is solved as
-    one pandas group. The solver refuses tables above ``MAX_EDGES``.
+    paths (the heavy, data-sized work is M4's explode + aggregation). Each
+    removed channel is its own group with a copy of that table, so the solves
+    spread over the cluster; their ratios and shares are plain aggregations.
     """
-    return (transitions.groupBy(F.lit(1).alias("model"))
-            .applyInPandas(lambda _, pdf: _solve_removal_effects(pdf), _EFFECTS_SCHEMA))
+    t = transitions.withColumn("_row", F.lit(1))
+    removed = (t.where(F.col("from_state") != START).groupBy("_row").agg(F.collect_set("from_state").alias("channels"))
+               .select("_row", F.explode(F.concat(F.array(F.lit(None).cast("string")), "channels")).alias("removed")))
+    solved = (t.join(removed, "_row").groupBy("removed")
+              .applyInPandas(lambda _, pdf: _solve_scenario(pdf), _SCENARIO_SCHEMA)).withColumn("_row", F.lit(1))
+    every = Window.partitionBy("_row")
+    whole = [F.max(F.when(F.col("channel_name").isNull(), F.col(c))).over(every) for c in ("p_conversion", "e_value")]
+    effect = [F.coalesce(1 - F.try_divide(F.col(c), w), F.lit(0.0)) for c, w in zip(("p_conversion", "e_value"), whole)]
+    effects = (solved.select("_row", "channel_name", effect[0].alias("removal_effect_volume"), effect[1].alias("removal_effect_value"))
+               .where(F.col("channel_name").isNotNull()))
+    ends = t.where(F.col("to_state") == CONVERSION).groupBy("_row").agg(F.sum("nr_transitions").alias("n"), F.sum("transition_value").alias("v"))
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(c).over(every)), F.lit(0.0))
+    return effects.join(ends, "_row").select(
+        "channel_name", "removal_effect_volume", "removal_effect_value",
+        (share("removal_effect_volume") * F.col("n")).alias("markov_volume"), (share("removal_effect_value") * F.col("v")).alias("markov_value"))
 
 
 def markov_attribution(paths: DataFrame) -> DataFrame:

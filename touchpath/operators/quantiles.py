@@ -1,122 +1,42 @@
-"""Exact order statistics without gathering a group into one task.
+"""Exact medians without gathering a group into one task, as one lazy plan.
 
-``percentile``/``median`` keep every value of a group in one aggregation
-buffer; for a global median over billions of chains that is one task holding
-everything. Here the k-th smallest value is found by histogram refinement:
-each pass is a distributed ``groupBy(bucket).count()`` over the values still
-in range, and only the bucket counts (at most ``buckets`` rows, a fixed-size
-summary) reach the driver. A pass shrinks the candidate range by ~``buckets``x;
-once the range holds at most ``buckets`` distinct values they are counted
-exactly.
+``median`` keeps every value of a group in one aggregation buffer. Here values
+are counted first, approximate quantiles of the distinct values cut them into
+value-ordered bands, the bands' counts tell which band holds the middle ranks,
+and only that band's values are ordered. The quantiles steer the work and never
+the result: ranks are counted exactly, in the value's own type.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _kth_from_counts(counts, below: int, k: int):
-    acc = below
-    for v, c in sorted(counts):
-        acc += c
-        if acc > k:
-            return v
-    return None
-
-
-def kth_smallest(vals: DataFrame, k: int, n: int, buckets: int = 4096, max_passes: int = 64):
-    """0-based k-th smallest of the non-NULL double column ``v`` of ``vals`` (n values).
-
-    First pass: exact value counts when there are at most ``buckets``
-    distinct values (one job). Otherwise histogram passes narrow the range;
-    membership in the kept bucket is always the same expression that was
-    counted, so floating-point edges cannot double count.
-    """
-    if n == 0 or k < 0 or k >= n:
-        return None
-    keep = F.lit(True)
-    below = 0  # values ordered before the kept range
-    lo = hi = None
-    for _ in range(max_passes):
-        cur = vals.where(keep)
-        exact = cur.groupBy("v").agg(F.count("*").alias("c")).limit(buckets + 1).collect()
-        if len(exact) <= buckets:
-            return _kth_from_counts([(r["v"], r["c"]) for r in exact], below, k)
-        if lo is None:
-            st = cur.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-            lo, hi = st["lo"], st["hi"]
-        width = (hi - lo) / buckets
-        b = F.greatest(F.lit(0), F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("int"),
-                                          F.lit(buckets - 1)))
-        hist = sorted(tuple(r) for r in cur.groupBy(b.alias("b"))
-                      .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-        acc = below
-        for bi, c, blo, bhi in hist:
-            if acc + c > k:
-                below, lo, hi = acc, blo, bhi
-                keep = keep & (b == F.lit(bi))
-                break
-            acc += c
-    raise RuntimeError("kth_smallest did not converge")
-
-
-def exact_median(df: DataFrame, col: str, n: int | None = None):
-    """Median with the mean of the two middle values for an even count (pandas rule)."""
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    if n is None:
-        n = vals.count()
-    if n == 0:
-        return None
-    a = kth_smallest(vals, (n - 1) // 2, n)
-    b = a if n % 2 == 1 else kth_smallest(vals, n // 2, n)
-    return (a + b) / 2.0
+BANDS = 512
 
 
-def exact_medians(specs: dict, buckets: int = 4096) -> dict:
-    """Several exact medians with one shared first pass.
+def exact_medians(values: DataFrame, bands: int = BANDS) -> DataFrame:
+    """(tag, median) of ``values`` (tag, v): the middle value, or the mean of the two middle ones.
 
-    ``specs`` maps a name to ``(df, column, n)`` (n = non-NULL count). The
-    value streams are tagged and unioned into one ``groupBy(tag, v).count()``;
-    a per-tag count of its rows (one row per tag) decides which tags have at
-    most ``buckets`` distinct values, and only those value counts are
-    collected. The others fall back to ``kth_smallest`` refinement.
+    NULL values don't count; a tag without values has no row. ``tag`` names a
+    few groups: one row of band limits per tag is broadcast.
     """
-    names = list(specs)
-    if not names:
-        return {}
-    streams = [df.select(F.lit(i).alias("tag"), F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-               for i, (df, col, _) in enumerate(specs[n] for n in names)]
-    union = streams[0]
-    for other in streams[1:]:
-        union = union.unionByName(other)
-    counted = union.groupBy("tag", "v").agg(F.count("*").alias("c"))
-    distinct = {r["tag"]: r["n"] for r in counted.groupBy("tag").agg(F.count("*").alias("n")).collect()}
-    small = [t for t, k in distinct.items() if k <= buckets]
-    # Only tags with at most ``buckets`` distinct values are collected.
-    rows = counted.where(F.col("tag").isin(small)).collect() if small else []
-    per_tag: dict = {}
-    for r in rows:
-        per_tag.setdefault(r["tag"], []).append((r["v"], r["c"]))
-    out = {}
-    for i, name in enumerate(names):
-        df, col, n = specs[name]
-        if not n:
-            out[name] = None
-            continue
-        if i in small:
-            counts = per_tag.get(i, [])
-            a = _kth_from_counts(counts, 0, (n - 1) // 2)
-            b = a if n % 2 == 1 else _kth_from_counts(counts, 0, n // 2)
-        else:
-            vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-            a = kth_smallest(vals, (n - 1) // 2, n, buckets)
-            b = a if n % 2 == 1 else kth_smallest(vals, n // 2, n, buckets)
-        out[name] = (a + b) / 2.0
-    return out
-
-
-def as_decimal(x, scale: int = 9):
-    return None if x is None else Decimal(repr(x)).quantize(Decimal(1).scaleb(-scale))
+    counted = values.where(F.col("v").isNotNull()).groupBy("tag", "v").agg(F.count(F.lit(1)).alias("c"))
+    limits = counted.groupBy("tag").agg(
+        F.percentile_approx("v", [i / bands for i in range(1, bands)], 10 * bands).alias("limits"), F.sum("c").alias("n"))
+    banded = (counted.join(F.broadcast(limits), "tag")
+              .select("tag", "v", "c", "n", F.size(F.filter("limits", lambda x: x < F.col("v"))).alias("band")))
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    in_order = Window.partitionBy("tag").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
+    middle = (banded.groupBy("tag", "band", "n").agg(F.sum("c").alias("held"))
+              .withColumn("before", F.sum("held").over(in_order) - F.col("held"))
+              .where((F.col("before") <= high) & (F.col("before") + F.col("held") > low))
+              .select("tag", "band", "before"))
+    by_value = Window.partitionBy("tag", "band").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("before") + F.sum("c").over(by_value)
+    ranked = banded.join(F.broadcast(middle), ["tag", "band"]).withColumn("upto", upto)  # at most two bands of a tag
+
+    def at(rank):
+        return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (F.col("upto") > rank), F.col("v"))).cast("double")
+
+    return ranked.groupBy("tag").agg(((at(low) + at(high)) / 2).alias("median"))

@@ -77,7 +77,7 @@ def channel_stats(chains: DataFrame) -> DataFrame:
         F.sum("last_value").alias("last_touch_chains_value"),
         F.count(F.when(assisted, 1)).alias("nr_assisted_chains"),
         F.sum(F.when(assisted, F.col("value"))).alias("assisted_chains_value"),
-        F.round(F.avg("chain_len"), 6).alias("mean_chain_len"),
+        F.avg("chain_len").alias("mean_chain_len"),
     )
     # pandas' outer merge leaves channels without assists as NaN (D14: NULL here).
     n_assisted = F.when(F.col("nr_assisted_chains") > 0, F.col("nr_assisted_chains"))
@@ -85,72 +85,56 @@ def channel_stats(chains: DataFrame) -> DataFrame:
         "channel_name", "nr_appearances", "nr_chains", "nr_mono_touch_chains", "nr_first_touch_chains",
         "first_touch_chains_value", "nr_last_touch_chains", "last_touch_chains_value",
         n_assisted.alias("nr_assisted_chains"), "assisted_chains_value", "mean_chain_len",
-        F.round(F.try_divide(n_assisted, F.col("nr_last_touch_chains")), 6).alias("assisted_per_last_touch"),
-        F.round(F.try_divide(F.col("nr_first_touch_chains"), F.col("nr_last_touch_chains")), 6).alias("first_per_last_touch"),
+        F.try_divide(n_assisted, F.col("nr_last_touch_chains")).alias("assisted_per_last_touch"),
+        F.try_divide(F.col("nr_first_touch_chains"), F.col("nr_last_touch_chains")).alias("first_per_last_touch"),
     )
 
 
+def _joined(first: DataFrame, *rest: DataFrame) -> DataFrame:
+    """One-row frames side by side."""
+    out = first.withColumn("_row", F.lit(1))
+    for df in rest:
+        out = out.join(df.withColumn("_row", F.lit(1)), "_row", "left")
+    return out.drop("_row")
+
+
 def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
     """One typed row of perimeter metrics (all chains, and multi-touch ones).
 
-    Counts, sums and means are one distributed aggregation; the medians use
-    ``exact_median`` (distributed histogram refinement), so no task or driver
-    ever holds all values. Dates and counts stay typed; ``perimeter_report``
-    renders the (info, value) sheet.
+    Distinct customers and conversions are counted from one row per id, so no
+    aggregation multiplies rows for several distinct counts, and medians come
+    from ``exact_medians``. The whole row is one lazy plan; ``chains`` is read
+    by several branches, so give it staged. ``perimeter_report`` renders the
+    (info, value) sheet.
     """
-    # Several passes read these narrow columns (one aggregation, then the
-    # median passes): keep them cached; lost blocks are recomputed from lineage.
     c = chains.select("customer_id", "conversion_id", "first_event", "conversion_timestamp", "purchase_value",
-                      F.size("chain").alias("chain_len")).persist()
-    try:
-        multi = F.col("chain_len") > 1
-        row = c.agg(
-            F.min("first_event").alias("events_start_date"),
-            F.max("first_event").alias("events_end_date"),
-            utc_date(F.min("conversion_timestamp")).alias("conversions_start_date"),
-            utc_date(F.max("conversion_timestamp")).alias("conversions_end_date"),
-            F.countDistinct("customer_id").alias("nr_customers"),
-            F.countDistinct("conversion_id").alias("nr_conversions"),
-            F.sum("purchase_value").alias("conversions_value"),
-            F.round(F.avg(F.col("purchase_value").cast("double")), 6).alias("mean_conversions_value"),
-            F.round(F.avg("chain_len"), 6).alias("mean_chain_len"),
-            F.countDistinct(F.when(multi, F.col("customer_id"))).alias("multi_tp_nr_customers"),
-            F.countDistinct(F.when(multi, F.col("conversion_id"))).alias("multi_tp_nr_conversions"),
-            F.sum(F.when(multi, F.col("purchase_value"))).alias("multi_tp_conversions_value"),
-            F.round(F.avg(F.when(multi, F.col("purchase_value").cast("double"))), 6)
-            .alias("multi_tp_mean_conversions_value"),
-            F.round(F.avg(F.when(multi, F.col("chain_len"))), 6).alias("multi_tp_mean_chain_len"),
-            F.count("purchase_value").alias("_n_value"),
-            F.count("chain_len").alias("_n_len"),
-            F.count(F.when(multi, F.col("purchase_value"))).alias("_n_multi_value"),
-            F.count(F.when(multi, F.col("chain_len"))).alias("_n_multi_len"),
-        ).first()
-        mc = c.where(multi)
-        med = exact_medians({
-            "median_conversions_value": (c, "purchase_value", row["_n_value"]),
-            "median_chain_len": (c, "chain_len", row["_n_len"]),
-            "multi_tp_median_conversions_value": (mc, "purchase_value", row["_n_multi_value"]),
-            "multi_tp_median_chain_len": (mc, "chain_len", row["_n_multi_len"]),
-        })
-    finally:
-        c.unpersist()
-    # The result is one row of already computed values; build it on the
-    # executors from a one-row range so the output stays a DataFrame.
-    spark = chains.sparkSession
-    schema_cols = [k for k in row.asDict() if not k.startswith("_")]
-    values = [F.lit(row[k]).alias(k) for k in schema_cols]
-    types = dict(chains.select(F.col("purchase_value")).dtypes)
-    out = spark.range(1).select(*values)
-    for k in ("conversions_value", "multi_tp_conversions_value"):
-        out = out.withColumn(k, F.col(k).cast(types["purchase_value"]))
-    for k in ("nr_customers", "nr_conversions", "multi_tp_nr_customers", "multi_tp_nr_conversions"):
-        out = out.withColumn(k, F.col(k).cast("bigint"))
-    for k in ("mean_conversions_value", "mean_chain_len", "multi_tp_mean_conversions_value", "multi_tp_mean_chain_len"):
-        out = out.withColumn(k, F.col(k).cast("double"))
-    extra = [F.round(F.lit(v).cast("double"), 6).alias(k) for k, v in med.items()]
-    return out.select("*", *extra, F.lit(run_date).alias("run_date"))
-
-
+                      F.size("chain").alias("chain_len"))
+    multi, value = F.col("chain_len") > 1, F.col("purchase_value").cast("double")
+    totals = c.agg(
+        F.min("first_event").alias("events_start_date"), F.max("first_event").alias("events_end_date"),
+        utc_date(F.min("conversion_timestamp")).alias("conversions_start_date"),
+        utc_date(F.max("conversion_timestamp")).alias("conversions_end_date"),
+        F.sum("purchase_value").alias("conversions_value"), F.avg(value).alias("mean_conversions_value"),
+        F.avg("chain_len").alias("mean_chain_len"),
+        F.sum(F.when(multi, F.col("purchase_value"))).alias("multi_tp_conversions_value"),
+        F.avg(F.when(multi, value)).alias("multi_tp_mean_conversions_value"),
+        F.avg(F.when(multi, F.col("chain_len"))).alias("multi_tp_mean_chain_len"))
+
+    def ids(column: str, name: str) -> DataFrame:
+        per = c.where(F.col(column).isNotNull()).groupBy(column).agg(F.max(F.when(multi, 1)).alias("multi"))
+        return per.agg(F.count(column).alias(f"nr_{name}"), F.count("multi").alias(f"multi_tp_nr_{name}"))
+
+    def medians(column: str, name: str) -> DataFrame:
+        tagged = c.select(F.explode(F.when(multi, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("tag"), F.col(column).alias("v"))
+        return exact_medians(tagged).agg(F.max(F.when(F.col("tag") == 0, F.col("median"))).alias(f"median_{name}"),
+                                         F.max(F.when(F.col("tag") == 1, F.col("median"))).alias(f"multi_tp_median_{name}"))
+
+    row = _joined(totals, ids("customer_id", "customers"), ids("conversion_id", "conversions"),
+                  medians("purchase_value", "conversions_value"), medians("chain_len", "chain_len"))
+    return row.withColumn("run_date", F.lit(run_date)).select(*[c for _, c in PERIMETER_LABELS])
+
+
+# The labels of the report.
 PERIMETER_LABELS = [
     ("Events start date", "events_start_date"),
     ("Events end date", "events_end_date"),
@@ -185,37 +169,45 @@ def perimeter_report(recap: DataFrame) -> DataFrame:
 
 
 def chain_summary(rows: DataFrame, raw: DataFrame, merged: DataFrame, final: DataFrame) -> DataFrame:
-    """The driver's log counters as one row, from a single aggregation.
+    """The driver's log counters as one row.
 
-    The four stages are tagged and unioned, then every counter is a filtered
-    aggregate of that one pass.
+    Plain counters are one aggregation over the tagged union of the stages.
+    Distinct ids collapse to one row per (stage, kind, id) first and are then
+    plainly counted. ``rows`` is T4; give all four staged.
     """
-    def tagged(df, tag, session, customer, conversion, chain_len, converted):
-        return df.select(F.lit(tag).alias("stage"), session.alias("session_id"), customer.alias("customer_id"),
-                         conversion.alias("conversion_id"), chain_len.alias("chain_len"), converted.alias("converted"))
-
-    null_s = F.lit(None).cast("string")
-    null_i = F.lit(None).cast("int")
-    u = (tagged(rows, "input", F.col("session_id"), F.col("cookie_id"), null_s, null_i, F.col("f_converted"))
-         .unionByName(tagged(raw, "raw", null_s, F.col("customer_id"), F.col("conversion_id"), F.size("chain"), null_i))
-         .unionByName(tagged(merged, "merged", null_s, F.col("customer_id"), F.col("conversion_id"), F.size("chain"), null_i))
-         .unionByName(tagged(final, "final", null_s, F.col("customer_id"), F.col("conversion_id"), F.size("chain"), null_i)))
-    at = lambda tag, c: F.when(F.col("stage") == tag, c)
-    out = u.agg(
-        F.count(at("input", F.lit(1))).alias("input_rows"),
-        F.countDistinct(at("input", F.col("session_id"))).alias("input_sessions"),
-        F.countDistinct(at("input", F.when(F.col("converted") == 1, F.col("session_id")))).alias("input_conversions"),
-        F.countDistinct(at("input", F.col("customer_id"))).alias("input_customers"),
-        F.count(at("raw", F.lit(1))).alias("nr_chains"),
-        F.round(F.avg(at("raw", F.col("chain_len"))), 6).alias("avg_chain_len"),
-        F.countDistinct(at("raw", F.col("customer_id"))).alias("chain_customers"),
-        F.count(at("merged", F.lit(1))).alias("nr_merged_chains"),
-        F.round(F.avg(at("merged", F.col("chain_len"))), 6).alias("avg_merged_chain_len"),
-        F.countDistinct(at("final", F.col("conversion_id"))).alias("nr_final_chains"),
-        F.round(F.avg(at("final", F.col("chain_len"))), 6).alias("avg_final_chain_len"),
-        F.countDistinct(at("final", F.col("customer_id"))).alias("final_customers"),
-        F.countDistinct(at("final", F.when(F.col("chain_len") == 1, F.col("conversion_id")))).alias("nr_mono_touch_chains"),
-    )
-    return out.select("*", (F.col("nr_chains") - F.col("nr_merged_chains")).alias("nr_merged_away"),
-                      F.round(F.try_divide(F.col("nr_mono_touch_chains") * 100.0, F.col("nr_final_chains")), 6)
-                      .alias("mono_touch_pct"))
+    def tagged(df, tag, length):
+        return df.select(F.lit(tag).alias("stage"), length.alias("chain_len"))
+
+    at = lambda tag, c: F.when(F.col("stage") == tag, c)
+    stages = [("raw", raw), ("merged", merged), ("final", final)]
+    union = tagged(rows, "input", F.lit(None).cast("int"))
+    for tag, df in stages:
+        union = union.unionByName(tagged(df, tag, F.size("chain")))
+    plain = union.agg(
+        F.count(at("input", F.lit(1))).alias("input_rows"), F.count(at("raw", F.lit(1))).alias("nr_chains"),
+        F.avg(at("raw", F.col("chain_len"))).alias("avg_chain_len"), F.count(at("merged", F.lit(1))).alias("nr_merged_chains"),
+        F.avg(at("merged", F.col("chain_len"))).alias("avg_merged_chain_len"), F.avg(at("final", F.col("chain_len"))).alias("avg_final_chain_len"))
+    converted = F.when(F.col("f_converted") == 1, F.col("event_timestamp"))
+    dates = rows.agg(utc_date(F.min("first_event_timestamp")).alias("input_start_date"), utc_date(F.max("last_event_timestamp")).alias("input_end_date"),
+                     utc_date(F.min(converted)).alias("conversions_start_date"), utc_date(F.max(converted)).alias("conversions_end_date"))
+
+    def ids(df, tag, kind, column, flag=None):
+        return df.select(F.lit(tag).alias("stage"), F.lit(kind).alias("kind"), F.col(column).alias("id"),
+                         (flag if flag is not None else F.lit(0)).alias("flag"))
+
+    every = ids(rows, "input", "session", "session_id", F.when(F.col("f_converted") == 1, 1)).unionByName(ids(rows, "input", "customer", "cookie_id"))
+    for tag, df in stages:
+        every = every.unionByName(ids(df, tag, "customer", "customer_id"))
+    every = every.unionByName(ids(final, "final", "conversion", "conversion_id", F.when(F.size("chain") == 1, 1)))
+    once = every.where(F.col("id").isNotNull()).groupBy("stage", "kind", "id").agg(F.max("flag").alias("flag"))
+    of = lambda tag, kind, c=F.lit(1): F.count(F.when((F.col("stage") == tag) & (F.col("kind") == kind), c))
+    flagged = F.when(F.col("flag") == 1, 1)
+    distinct = once.agg(
+        of("input", "session").alias("input_sessions"), of("input", "session", flagged).alias("input_conversions"),
+        of("input", "customer").alias("input_customers"), of("raw", "customer").alias("chain_customers"),
+        of("merged", "customer").alias("merged_customers"), of("final", "customer").alias("final_customers"),
+        of("final", "conversion").alias("nr_final_chains"), of("final", "conversion", flagged).alias("nr_mono_touch_chains"))
+    away = F.col("nr_chains") - F.col("nr_merged_chains")
+    return _joined(plain, distinct, dates).select(
+        "*", away.alias("nr_merged_away"), F.try_divide(away * 100.0, F.col("nr_chains")).alias("merged_pct"),
+        F.try_divide(F.col("nr_mono_touch_chains") * 100.0, F.col("nr_final_chains")).alias("mono_touch_pct"))

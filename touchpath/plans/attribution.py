@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from touchpath.config import ChainConfig, EventsConfig, WindowConfig
 from touchpath.operators.chains import chain_concatenation, chain_measures, chain_merge, conversion_chains
 from touchpath.operators.lookback import chains_base
-from touchpath.operators.models import attribution_results, heuristic_attribution, markov_attribution
-from touchpath.operators.stats import channel_stats, model_paths, perimeter_recap
+from touchpath.operators.models import attribution_results, chain_weights, heuristic_attribution, markov_attribution
+from touchpath.operators.stats import channel_stats, model_paths, perimeter_recap, perimeter_report
 from touchpath.plans.events_preparation import attribution_events
-from touchpath.session import checkpoint_dir
+from touchpath.session import checkpoint_dir, stage
+from touchpath.sinks.writers import write_chains, write_report, write_results
 from touchpath.sources.tables import materialise
 
+# O1: order of T4 rows within a file.
+T4_ORDER = ["cookie_id", "last_event_timestamp", "event_timestamp"]
+
 
-def final_chains(raw: DataFrame, cfg: ChainConfig = ChainConfig()) -> DataFrame:
-    """AT:84-103: merged chains, or concatenated ones (from raw or merged chains, D17)."""
+def final_chains(raw: DataFrame, cfg: ChainConfig) -> DataFrame:
+    """Merged chains, or concatenated ones (from raw or merged chains, D17)."""
     if not cfg.concat_chains:
         return chain_measures(chain_merge(raw, cfg.merge_gap_days))
     source = raw if cfg.concat_input == "raw" else chain_merge(raw, cfg.merge_gap_days).drop("rank")
@@ -23,55 +29,52 @@ def final_chains(raw: DataFrame, cfg: ChainConfig = ChainConfig()) -> DataFrame:
     return chain_measures(concat.drop("chain").withColumnRenamed("concat_chain", "chain"))
 
 
-def run_attribution(chains_base_df: DataFrame, cfg: ChainConfig = ChainConfig()) -> dict[str, DataFrame]:
-    """Entry 3 (``main()``): T4 -> chains, perimeter recap, channel statistics, models, results."""
-    raw = conversion_chains(chains_base_df)
-    chains = final_chains(raw, cfg)
-    paths = model_paths(chains)
-    stats = channel_stats(chains)
-    markov = markov_attribution(paths)
-    heur = heuristic_attribution(paths)
+def _analysis(raw: DataFrame, chains: DataFrame, cfg: ChainConfig) -> dict[str, DataFrame]:
+    """Statistics, models and results of staged chains; all lazy."""
+    weights = chain_weights(chains)
+    stats, markov, heur = channel_stats(chains), markov_attribution(weights), heuristic_attribution(weights)
     return {
         "raw_chains": raw,
         "chains": chains,
         "perimeter": perimeter_recap(chains, cfg.run_date),
         "channel_stats": stats,
-        "paths": paths,
+        "paths": model_paths(chains),
         "markov": markov,
         "heuristics": heur,
         "results": attribution_results(stats, markov, heur, cfg.run_date),
     }
 
 
-def run_pipeline(spark: SparkSession, events: DataFrame, categories: DataFrame,
-                 events_cfg: EventsConfig = EventsConfig(), window_cfg: WindowConfig = WindowConfig(),
-                 chain_cfg: ChainConfig = ChainConfig(), stage_dir: str | None = None,
-                 force: bool = True) -> dict[str, DataFrame]:
+def run_attribution(chains_base_df: DataFrame, cfg: ChainConfig) -> dict[str, DataFrame]:
+    """Entry 3: T4 -> chains, perimeter recap, channel statistics, models, results.
+
+    The raw and the final chains are read by several outputs and are staged.
+    """
+    raw = stage(conversion_chains(chains_base_df), "raw-chains")
+    return _analysis(raw, stage(final_chains(raw, cfg), "chains"), cfg)
+
+
+def run_pipeline(spark: SparkSession, events: DataFrame, categories: DataFrame, window_cfg: WindowConfig, chain_cfg: ChainConfig,
+                 events_cfg: EventsConfig = EventsConfig(), stage_dir: str | None = None, force: bool = True,
+                 output_dir: str | None = None, mode: str = "append") -> dict[str, DataFrame]:
     """T1 -> T8 with T3, T4 and the chains written to shared storage between stages.
 
     The written stages play the role of the reference's warehouse tables and
     local caches; they also cut lineage so a lost executor re-reads a stage
-    instead of recomputing the pipeline. ``stage_dir`` defaults to the
-    cluster's ``spark.checkpoint.dir``.
+    instead of recomputing the pipeline. ``stage_dir`` defaults to a fresh
+    folder in the cluster's ``spark.checkpoint.dir``. With ``output_dir`` the
+    results (S7, ``mode``), the report sheets (S9) and the chains (S6) are
+    written there.
     """
-    base = (stage_dir or checkpoint_dir(spark)).rstrip("/")
+    base = (stage_dir or f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}").rstrip("/")
     t3 = materialise(spark, lambda: attribution_events(events, categories, events_cfg), f"{base}/attribution_events", force)
-    t4 = materialise(spark, lambda: chains_base(t3, window_cfg), f"{base}/attribution_chains_base", force)
-    raw = conversion_chains(t4)
+    t4 = materialise(spark, lambda: chains_base(t3, window_cfg).sortWithinPartitions(*T4_ORDER), f"{base}/attribution_chains_base", force)
+    raw = materialise(spark, lambda: conversion_chains(t4), f"{base}/raw_chains", force)
     chains = materialise(spark, lambda: final_chains(raw, chain_cfg), f"{base}/attribution_chains", force)
-    paths = model_paths(chains)
-    stats = channel_stats(chains)
-    markov = markov_attribution(paths)
-    heur = heuristic_attribution(paths)
-    return {
-        "attribution_events": t3,
-        "chains_base": t4,
-        "raw_chains": raw,
-        "chains": chains,
-        "perimeter": perimeter_recap(chains, chain_cfg.run_date),
-        "channel_stats": stats,
-        "paths": paths,
-        "markov": markov,
-        "heuristics": heur,
-        "results": attribution_results(stats, markov, heur, chain_cfg.run_date),
-    }
+    out = {"attribution_events": t3, "chains_base": t4, **_analysis(raw, chains, chain_cfg)}
+    if output_dir:
+        target = output_dir.rstrip("/")
+        write_chains(chains, f"{target}/preprocessed_chains")
+        write_results(out["results"].drop("_run_date"), f"{target}/attribution_results", chain_cfg.run_date, mode)
+        write_report({"Perimeter": perimeter_report(out["perimeter"]), "Attribution": out["results"]}, f"{target}/report")
+    return out

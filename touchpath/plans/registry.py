@@ -2,8 +2,9 @@
 
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
 the driver ``events`` / ``lineitem`` tables through the fixture adapters.
-Array columns are rendered as ``' > '`` paths and floating results rounded so
-that an independent SQL engine can be compared value by value.
+Array columns are rendered as ``' > '`` paths and floating results rounded here
+(operators don't round) so that an independent SQL engine can be compared value
+by value. A stage that several branches read is written as Parquet first.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
 from touchpath.plans.attribution import final_chains
 from touchpath.plans.events_preparation import attribution_events
-from touchpath.session import checkpoint_dir
+from touchpath.session import stage
 from touchpath.sources.ga4 import ga4_scan
 from touchpath.sources.tables import normalise_columns
 from touchpath.sources.testdata import (FIXTURE_MEDIA, FIXTURE_START_DATE, FIXTURE_WINDOWS, fixture_categories,
@@ -47,18 +48,6 @@ def _round(df: DataFrame, digits: int, cols: list[str]) -> DataFrame:
 
 # --- stage builders -------------------------------------------------------
 
-def staged(df: DataFrame) -> DataFrame:
-    """Materialise a stage that several branches of one query read.
-
-    An eager ``checkpoint()`` into ``spark.checkpoint.dir`` computes the stage
-    once per query (each branch would otherwise recompute it: column pruning
-    makes the branches too different for exchange reuse) and cuts lineage, so
-    a lost executor re-reads the stage instead of recomputing it.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def ga4(spark, d):
     return ga4_events_from_driver(read_driver_table(spark, d, "events"))
 
@@ -72,16 +61,21 @@ def t3(spark, d):
 
 
 def t4(spark, d):
-    return L.chains_base(staged(t3(spark, d)), FIXTURE_WINDOWS)
+    # read three times: candidates, their days, conversions
+    return L.chains_base(stage(t3(spark, d), "t3"), FIXTURE_WINDOWS)
 
 
 def raw_chains(spark, d):
-    # W1 reads T4 twice (sessions and per-hour closing counts): stage it, as run_pipeline does.
-    return staged(CH.conversion_chains(staged(t4(spark, d))))
+    return CH.conversion_chains(t4(spark, d))
 
 
 def chains_final(spark, d):
-    return final_chains(raw_chains(spark, d), CHAIN_CFG)
+    # the concatenation reads the chains twice
+    return final_chains(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG)
+
+
+def weights(spark, d):
+    return M.chain_weights(chains_final(spark, d))
 
 
 def paths(spark, d):
@@ -135,25 +129,17 @@ def q_campaign_name(spark, d):
                     P.campaign_name(campaign_from="campaign").alias("campaign_name_from_campaign"))
 
 
-def q_session_touchpoints(spark, d):
-    return S.session_touchpoints(base(spark, d))
-
-
-def q_session_fallback_origin(spark, d):
-    return S.session_fallback_origin(base(spark, d))
-
-
-def _origins(spark, d):
-    b = base(spark, d)
-    return S.session_origins(S.session_touchpoints(b), S.session_fallback_origin(b))
+def groups(spark, d):
+    return S.origin_groups(base(spark, d))
 
 
 def q_channel_classification(spark, d):
-    return classify_channels(_origins(spark, d), fixture_categories(spark))
+    return classify_channels(S.session_origins(groups(spark, d)), fixture_categories(spark))
 
 
 def q_session_channels(spark, d):
-    return S.session_channels(q_channel_classification(spark, d))
+    """A5 as T3 holds it."""
+    return t3(spark, d).select("session_id", *S.ORIGIN, "source_medium", "channel_group", "f_tp", "event_timestamp")
 
 
 def q_calendar_anchors(spark, d):
@@ -175,11 +161,11 @@ def _chains_out(df: DataFrame) -> DataFrame:
 
 
 def q_chain_merge(spark, d):
-    return _chains_out(CH.chain_merge(raw_chains(spark, d), CHAIN_CFG.merge_gap_days))
+    return _chains_out(CH.chain_merge(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG.merge_gap_days))
 
 
 def q_chain_concatenation(spark, d):
-    return _chains_out(CH.chain_concatenation(raw_chains(spark, d), CHAIN_CFG.concat_within_days))
+    return _chains_out(CH.chain_concatenation(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG.concat_within_days))
 
 
 def q_chain_measures(spark, d):
@@ -194,44 +180,54 @@ def q_touch_positions(spark, d):
     return ST.touch_positions(chains_final(spark, d))
 
 
+STATS_RATIOS = ["mean_chain_len", "assisted_per_last_touch", "first_per_last_touch"]
+
+
 def q_channel_stats(spark, d):
-    return ST.channel_stats(chains_final(spark, d))
+    return _round(ST.channel_stats(chains_final(spark, d)), 6, STATS_RATIOS)
+
+
+PERIMETER_MEANS = [f"{m}{k}_{c}" for m in ("", "multi_tp_") for k in ("mean", "median") for c in ("conversions_value", "chain_len")]
 
 
 def q_perimeter_recap(spark, d):
-    return ST.perimeter_recap(chains_final(spark, d), CHAIN_CFG.run_date)
+    return _round(ST.perimeter_recap(stage(chains_final(spark, d), "chains"), CHAIN_CFG.run_date), 6, PERIMETER_MEANS)
+
+
+SUMMARY_MEANS = ["avg_chain_len", "avg_merged_chain_len", "avg_final_chain_len", "merged_pct", "mono_touch_pct"]
 
 
 def q_chain_summary(spark, d):
-    rows = staged(t4(spark, d))
-    raw = staged(CH.conversion_chains(rows))
-    return ST.chain_summary(rows, raw, CH.chain_merge(raw, CHAIN_CFG.merge_gap_days), final_chains(raw, CHAIN_CFG))
+    rows = stage(t4(spark, d), "t4")
+    raw = stage(CH.conversion_chains(rows), "raw-chains")
+    merged, final = stage(CH.chain_merge(raw, CHAIN_CFG.merge_gap_days), "merged"), stage(final_chains(raw, CHAIN_CFG), "chains")
+    return _round(ST.chain_summary(rows, raw, merged, final), 6, SUMMARY_MEANS)
 
 
 def _heur(spark, d, prefix):
-    h = M.heuristic_attribution(paths(spark, d))
+    h = M.heuristic_attribution(weights(spark, d))
     cols = [f"{prefix}_conversions", f"{prefix}_value"]
     return _round(h.select("channel_name", *cols), 6, cols)
 
 
 def q_markov_transitions(spark, d):
-    return _round(M.markov_transitions(paths(spark, d)), 6, ["transition_value"])
+    return _round(M.markov_transitions(weights(spark, d)), 6, ["transition_value"])
 
 
 def q_markov_probabilities(spark, d):
-    return _round(M.markov_probabilities(M.markov_transitions(paths(spark, d))), 6, ["probability"])
+    return _round(M.markov_probabilities(M.markov_transitions(weights(spark, d))), 6, ["probability"])
 
 
 MARKOV_COLS = ["removal_effect_volume", "removal_effect_value", "markov_volume", "markov_value"]
 
 
 def q_markov_removal_effects(spark, d):
-    eff = M.markov_removal_effects(M.markov_transitions(paths(spark, d)))
+    eff = M.markov_removal_effects(M.markov_transitions(weights(spark, d)))
     return _round(eff.select("channel_name", "removal_effect_volume", "removal_effect_value"), 4, MARKOV_COLS)
 
 
 def q_attr_markov(spark, d):
-    return _round(M.markov_attribution(paths(spark, d)), 4, MARKOV_COLS)
+    return _round(M.markov_attribution(weights(spark, d)), 4, MARKOV_COLS)
 
 
 HEUR_COLS = ["first_touch_conversions", "first_touch_value", "last_touch_conversions", "last_touch_value",
@@ -239,24 +235,24 @@ HEUR_COLS = ["first_touch_conversions", "first_touch_value", "last_touch_convers
 
 
 def q_attribution_results(spark, d):
-    c = staged(chains_final(spark, d))  # read by statistics, Markov and heuristics
-    p = ST.model_paths(c)
+    c = stage(chains_final(spark, d), "chains")  # read by statistics, Markov and heuristics
+    p = M.chain_weights(c)
     out = M.attribution_results(ST.channel_stats(c), M.markov_attribution(p), M.heuristic_attribution(p),
                                 CHAIN_CFG.run_date)
-    return _round(_round(out, 4, ["markov_volume", "markov_value"]), 6, HEUR_COLS)
+    return _round(_round(out, 4, ["markov_volume", "markov_value"]), 6, HEUR_COLS + STATS_RATIOS)
 
 
 def q_check_chain_counts(spark, d):
-    rows = staged(t4(spark, d))
+    rows = stage(t4(spark, d), "t4")
     return Q.check_chain_counts(rows, CH.conversion_chains(rows))
 
 
 def q_check_merge_unique(spark, d):
-    return Q.check_merge_unique(CH.chain_merge(raw_chains(spark, d), CHAIN_CFG.merge_gap_days))
+    return Q.check_merge_unique(CH.chain_merge(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG.merge_gap_days))
 
 
 def q_check_concat_unique(spark, d):
-    return Q.check_concat_unique(CH.chain_concatenation(raw_chains(spark, d), CHAIN_CFG.concat_within_days))
+    return Q.check_concat_unique(CH.chain_concatenation(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG.concat_within_days))
 
 
 def q_weekly_media(spark, d):
@@ -295,10 +291,10 @@ def queries():
         "source_medium_normalise": _base_cols("source", "medium"),
         "campaign_name": q_campaign_name,
         "first_touch_defaults": _base_cols("first_source", "first_medium", "first_campaign_name"),
-        "session_rollup": lambda s, d: S.session_rollup(base(s, d)),
-        "session_touchpoints": q_session_touchpoints,
-        "session_fallback_origin": q_session_fallback_origin,
-        "session_origins": _origins,
+        "session_rollup": lambda s, d: S.session_rollup(groups(s, d)),
+        "session_touchpoints": lambda s, d: S.session_touchpoints(groups(s, d)),
+        "session_fallback_origin": lambda s, d: S.session_fallback_origin(groups(s, d)),
+        "session_origins": lambda s, d: S.session_origins(groups(s, d)),
         "channel_classification": q_channel_classification,
         "session_channels": q_session_channels,
         "attribution_events": t3,

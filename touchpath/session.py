@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage that several branches read, as Parquet in the shared folder, and read it back.
+
+    The copy keeps column pruning and statistics, cuts lineage, and survives a
+    lost executor. A run id in its path keeps concurrent runs apart.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only after proving the side has at most ``max_rows`` rows.
 

@@ -19,20 +19,21 @@ def write_chains(chains: DataFrame, path: str) -> None:
     chains.write.mode("overwrite").parquet(path)
 
 
-def write_results(spark: SparkSession, df: DataFrame, path: str, run_date: dt.date,
-                  mode: str = "append") -> tuple[int, int]:
-    """S7 + P12: stamp ``_run_date``, write day-partitioned, report (rows, columns) of the table.
+def write_results(df: DataFrame, path: str, run_date: dt.date, mode: str = "append") -> None:
+    """S7 + P12: stamp ``_run_date`` and write day-partitioned.
 
-    ``append`` adds a run; ``overwrite`` replaces only the partitions written
-    (dynamic partition overwrite), like a truncating load of that day.
+    ``append`` adds a run, ``replace_day`` replaces the partition of
+    ``run_date``, ``truncate`` replaces the whole table.
     """
-    if mode not in ("append", "overwrite"):
-        raise ValueError("mode must be 'append' or 'overwrite'")
-    stamped = df.withColumn("_run_date", F.lit(run_date))
-    writer = stamped.write.mode(mode).partitionBy("_run_date")
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if mode not in ("append", "replace_day", "truncate"):
+        raise ValueError("mode must be 'append', 'replace_day' or 'truncate'")
+    writer = df.withColumn("_run_date", F.lit(run_date)).write.partitionBy("_run_date")
+    how = "dynamic" if mode == "replace_day" else "static"
+    writer.mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", how).parquet(path)
+
+
+def table_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(rows, columns) of a written table, for the run's log."""
     table = spark.read.parquet(path)
     return table.count(), len(table.columns)
 

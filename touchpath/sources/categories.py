@@ -11,7 +11,7 @@ from touchpath.schemas import SOURCE_CATEGORIES
 
 def read_source_categories(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header ``category,sources`` (one source per row)."""
-    return spark.read.csv(path, header=True, schema=SOURCE_CATEGORIES)
+    return spark.read.csv(path, header=True, schema=SOURCE_CATEGORIES, escape='"')
 
 
 def source_category_lists(categories: DataFrame) -> DataFrame:

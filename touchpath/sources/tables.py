@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,32 +29,40 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFr
     return normalise_columns(df)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _mark(spark: SparkSession, path: str, complete: bool) -> None:
+    spark.range(int(complete)).write.mode("overwrite").parquet(f"{path.rstrip('/')}.complete")
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether the last write to ``path`` has finished."""
+    try:
+        return spark.read.schema("id long").parquet(f"{path.rstrip('/')}.complete").count() == 1
+    except AnalysisException:
+        return False
 
 
 def materialise(spark: SparkSession, build: Callable[[], DataFrame], path: str, force: bool = False) -> DataFrame:
     """Write ``build()`` to Parquet once (or when forced), then read it back.
 
-    The written copy cuts lineage: later stages re-read shared storage instead
-    of recomputing upstream stages after an executor loss.
+    A mark beside the folder is withdrawn before a write and set after it, so a
+    folder whose write was interrupted is built anew. The written copy cuts
+    lineage: later stages re-read shared storage instead of recomputing
+    upstream stages after an executor loss.
     """
-    if force or not _exists(spark, path):
+    if force or not _complete(spark, path):
+        _mark(spark, path, False)
         build().write.mode("overwrite").parquet(path)
+        _mark(spark, path, True)
     return spark.read.parquet(path)
 
 
-def read_weekly_csv(spark: SparkSession, path: str, date_col: str = "week_end_date",
+def read_weekly_csv(spark: SparkSession, path: str, columns: list[str], date_col: str = "week_end_date",
                     date_format: str = "dd/MM/yyyy") -> DataFrame:
     """Weekly media CSV; the date column is parsed with ``date_format``, numbers as DOUBLE.
 
-    The header is read once to build an explicit schema (no inference pass).
+    ``columns`` are the file's columns in order (``MediaConfig.csv_columns``, say); a
+    header that differs is an error when the file is read.
     """
-    header = spark.read.text(path).limit(1).first()[0]
-    names = [c.strip() for c in header.split(",")]
-    schema = T.StructType([T.StructField(c, T.StringType() if c == date_col else T.DoubleType()) for c in names])
-    df = spark.read.csv(path, header=True, schema=schema)
+    schema = T.StructType([T.StructField(c, T.StringType() if c == date_col else T.DoubleType()) for c in columns])
+    df = spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
     return df.withColumn(date_col, F.to_date(F.col(date_col), date_format))
