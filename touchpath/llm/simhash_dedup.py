@@ -64,21 +64,20 @@ def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None =
 
 
 def _cut(points: np.ndarray, bits: int) -> tuple[np.uint64, int] | None:
-    """Vantage and radius that part ``points`` well with few boundary points; None if none does.
+    """Vantage and radius that leave the fewest distances to take on both sides; None if that saves little.
 
-    A few vantages are tried: points of the set and far corners; the radius keeps a fifth of the points on either side.
+    A few vantages are tried: points of the set, and a far corner.
     """
     best, n = None, len(points)
     picks = points[np.linspace(0, n - 1, 6).astype(int)]
     for vantage in [*picks, ~picks[0]]:
-        distance = np.bitwise_count(points ^ vantage)
-        upto = np.cumsum(np.bincount(distance, minlength=65 + bits))
-        for radius in range(64):
-            near, edge = upto[radius], upto[radius] - (upto[radius - bits] if radius >= bits else 0)
-            cost = max(near, n - near + edge)
-            if near * 5 >= n and (n - near) * 5 >= n and (best is None or (edge, cost) < best[0]):
-                best = (edge, cost), (vantage, radius)
-    return best[1] if best and best[0][1] < 0.9 * n else None
+        near = np.cumsum(np.bincount(np.bitwise_count(points ^ vantage), minlength=65)).astype(float)
+        far = n - np.concatenate([np.zeros(bits), near[:-bits]]) if bits else n - near  # with the boundary points
+        work = near**2 + far**2
+        radius = int(work.argmin())
+        if near[radius] < n and (best is None or work[radius] < best[0]):
+            best = work[radius], vantage, radius
+    return best[1:] if best and best[0] < 0.9 * n * n else None
 
 
 def grow(points: np.ndarray, bits: int, leaf: int) -> list[tuple[int, int, int, int]]:
@@ -177,7 +176,8 @@ def links(points: DataFrame, bits: int) -> DataFrame:
         found = np.array(forest(fp.view(np.uint64), bits), dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": fp[found[:, 0]], "b": fp[found[:, 1]]})
 
-    sharded = points.select("fp").mapInArrow(to_shards, "shard long, fp long")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # named, as a shard's work isn't seen in its bytes
+    sharded = points.select("fp").mapInArrow(to_shards, "shard long, fp long").repartition(parts, "shard")
     return sharded.groupBy("shard").applyInPandas(in_shard, "a long, b long").distinct()
 
 
