@@ -27,7 +27,7 @@ def test_matches_oracle(spark, con, key):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() == 753
+    assert df.count() == 733
     assert len(df.columns) == 17
 
 

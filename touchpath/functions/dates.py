@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,15 +41,6 @@ def utc_date(ts) -> Column:
     return F.to_date(_c(ts))
 
 
-def last_day_of_previous_month(d) -> Column:
-    """``DATE_SUB(DATE_TRUNC(d, MONTH), INTERVAL 1 DAY)``."""
-    return F.date_sub(F.trunc(_c(d), "month"), 1)
-
-
-def last_day_of_previous_month_py(d: dt.date) -> dt.date:
-    return d.replace(day=1) - dt.timedelta(days=1)
-
-
 def months_and_days_between(first, last) -> Column:
     """Day remainder after whole months (``relativedelta(last, first).days``).
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from touchpath.config import MediaChannel, MediaConfig, WindowConfig
 from touchpath.functions.channels import CATEGORY_SEARCH, CATEGORY_SHOPPING, CATEGORY_SOCIAL, CATEGORY_VIDEO
 from touchpath.functions.dates import ts_to_micros
+from touchpath.sources.ga4 import PROTOCOL_EVENT_NAME
 from touchpath.schemas import EVENT_PARAM
 
 # Traffic fields of fixture row n = k % 26
@@ -63,7 +64,7 @@ FIXTURE_CATEGORIES = [
 
 # Fixture windows.
 FIXTURE_WINDOWS = WindowConfig(as_of=dt.date(2024, 2, 15), conversion_period=12, lookback_window=10)
-FIXTURE_START_DATE = "20230101"
+FIXTURE_START_DATE = "20240102"  # after the first day of the driver's events
 
 # Media recap fixture over lineitem.
 FIXTURE_MEDIA = MediaConfig(
@@ -74,7 +75,8 @@ FIXTURE_MEDIA = MediaConfig(
         ("year3", dt.date(1996, 12, 30), dt.date(1997, 12, 28)),
         ("year5", dt.date(1998, 12, 28), dt.date(1999, 12, 26)),
     ),
-    channels=(MediaChannel("Lineitems", "li", ("a", "n", "r", "tot"), ("num", "inv")),),
+    channels=(MediaChannel("Lineitems", "li", ("a", "n", "r", "tot"), ("num", "inv")),
+              MediaChannel("Off TV", "off_tv", ("f", "o", "tot"), ("imp", "grp", "inv"))),
 )
 RETURN_FLAGS = ("A", "N", "R")
 
@@ -134,16 +136,18 @@ def ga4_events_from_driver(events: DataFrame) -> DataFrame:
     # The driver files are single row groups, so the scan is one task; spread
     # the per-row adapter work when the scan is narrower than the cluster.
     parallelism = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < parallelism:
+    if len(events.inputFiles()) < parallelism:
         df = df.repartition(parallelism)
     df = df.join(F.broadcast(fixture_dimension(events.sparkSession)), "k_key", "left")
     eid = F.col("event_id")
     day = F.date_format("ts", "yyyyMMdd")
+    session_day = F.date_format(F.col("ts") - F.expr("INTERVAL 6 HOURS"), "yyyyMMdd")  # sessions cross midnight
     session_param = F.struct(
         F.when(eid % 50 != 7, F.lit("ga_session_id")).alias("key"),
-        F.struct(F.lit(None).cast("string").alias("string_value"), day.cast("bigint").alias("int_value")).alias("value"))
+        F.struct(F.lit(None).cast("string").alias("string_value"), session_day.cast("bigint").alias("int_value")).alias("value"))
     params = F.array(session_param, F.col("engaged_param"), F.col("country_param")).cast(T.ArrayType(EVENT_PARAM))
     event_name = (F.when(eid % 97 == 0, F.lit("x_iBQML"))
+                  .when(eid % 89 == 0, F.lit(PROTOCOL_EVENT_NAME))
                   .when((F.col("event_type") == "purchase") & ~F.col("purchase_kept"), F.lit("add_to_cart"))
                   .otherwise(F.col("event_type")))
     storage = F.when(eid % 10 < 5, F.lit(None).cast("string")).when(eid % 10 < 9, F.lit("Yes")).otherwise(F.lit("No"))
@@ -169,7 +173,7 @@ def fixture_categories(spark: SparkSession) -> DataFrame:
 
 
 def weekly_media_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Driver ``lineitem`` -> wide weekly table ``li_<flag>_num`` / ``li_<flag>_inv``.
+    """Driver ``lineitem`` -> wide weekly table ``li_<flag>_<num|inv>`` and ``off_tv_<status>_<imp|grp|inv>``.
 
     One partial aggregation by week; the output has one row per week.
     """
@@ -180,9 +184,13 @@ def weekly_media_from_lineitem(lineitem: DataFrame) -> DataFrame:
         is_flag = F.col("l_returnflag") == flag
         aggs.append(F.sum(F.when(is_flag, F.col("l_quantity")).otherwise(0.0)).alias(f"li_{flag.lower()}_num"))
         aggs.append(F.sum(F.when(is_flag, F.col("l_extendedprice")).otherwise(0.0)).alias(f"li_{flag.lower()}_inv"))
+    for name, is_status in (("f", F.col("l_linestatus") == "F"), ("o", F.col("l_linestatus") == "O"), ("tot", F.lit(True))):
+        aggs += [F.count(F.when(is_status, 1)).alias(f"off_tv_{name}_imp"),
+                 F.sum(F.when(is_status, F.col("l_linenumber")).otherwise(0)).alias(f"off_tv_{name}_grp"),
+                 F.sum(F.when(is_status, F.col("l_extendedprice")).otherwise(0.0)).alias(f"off_tv_{name}_inv")]
     aggs.append(F.sum("l_quantity").alias("li_tot_num"))
     aggs.append(F.sum("l_extendedprice").alias("li_tot_inv"))
-    return (lineitem.select("l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice")
+    return (lineitem.select("l_shipdate", "l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_extendedprice")
             .groupBy(week_end.alias("week_end_date")).agg(*aggs))
 
 
