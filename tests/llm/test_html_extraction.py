@@ -48,3 +48,9 @@ def test_broken_markup_and_edges(spark):
     out = main_text(spark.createDataFrame(data, "page_id long, url string, html string, text string")).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in out) == [(0, 199_999), (1, 0), (2, 0), (3, 1), (3, 1)]
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_classes_that_start_like_boilerplate_and_wrappers():
+    line = " ".join("some words of the article".split() * 8)
+    assert extract(f"<body><div class='commentlist'><p>{'hi all ' * 99}</p></div><article>{PARAGRAPH}</article></body>") == line
+    assert extract(f"<body><div class='page has-sidebar'><article>{PARAGRAPH}</article><nav>menu</nav></div></body>") == line

@@ -43,8 +43,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "tbody": {"tr", "td", "th", "tbody", "thead"}, "tfoot": {"tr", "td", "th", "tbody", "thead"}}
 SCOPE = frozenset("table ul ol dl html body".split())
 NOT_MAIN = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies
-consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification paywall popup promo promoted
+alert alerts consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification paywall popup promo promoted
 promotion related replies responses share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
+NOT_MAIN_START = re.compile(r"(?:advert|adsby|adsense|comment|cookie|sidebar|footer|navbar|navigation|sponsor|newsletter|breadcrumb|consent|disqus|popup)")
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 
@@ -64,8 +65,10 @@ def _left_out(tag: str, attributes: str, parent: Node) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not NOT_MAIN.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        if name in ("class", "id"):
+            words = re.split(r"[^a-z0-9]+", value)
+            if not NOT_MAIN.isdisjoint(words) or any(map(NOT_MAIN_START.match, words)):
+                return True
         if name == "role" and value in NOT_MAIN_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -81,8 +84,11 @@ def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
     return False
 
 
-def parse(page: str) -> list[Node]:
-    """Nodes in page order; the first is the root. Items of a node are texts and child nodes."""
+def parse(page: str, by_class: bool = True) -> list[Node]:
+    """Nodes in page order; the first is the root. Items of a node are texts and child nodes.
+
+    Without ``by_class`` only tags tell which elements are left out.
+    """
     root = Node("body", None, False)
     nodes, top, open_tags, at, size = [root], root, Counter(), 0, len(page)
     last_end = page.rfind(">")  # no markup can end after it
@@ -137,7 +143,7 @@ def parse(page: str) -> list[Node]:
             if name != "hr" or not top.dropped:
                 top.tags += 1
             continue
-        node = Node(name, top, top.dropped or _left_out(name, attributes, top))
+        node = Node(name, top, top.dropped or _left_out(name, attributes if by_class else "", top))
         nodes.append(node)
         top.items.append(node)
         if name in RAW:
@@ -177,10 +183,13 @@ def _measure(nodes: list[Node]) -> None:
 
 def extract(page: str) -> str:
     """Main text of one page, a line per block."""
-    nodes = parse(page)
-    _measure(nodes)
-    kept = [n for n in nodes if not n.dropped and n.chars]
-    if not kept:
+    for by_class in (True, False):  # a page whose outermost element has a boilerplate class is judged by tags alone
+        nodes = parse(page, by_class)
+        _measure(nodes)
+        kept = [n for n in nodes if not n.dropped and n.chars]
+        if kept:
+            break
+    else:
         return ""
     best = max((n for n in kept if n.tag in HOLDERS), key=lambda n: n.total)  # the first of equal sums
     path, node = [], best
