@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become templates: numbers, units and names turn into typed placeholders,
-the rest is lower-cased without outer punctuation. Windows of template words of
+Words become templates: numbers, units after a number, and names turn into typed placeholders,
+the rest is lower-cased (A-Z) without outer punctuation. Windows of template words of
 the benchmark meet the documents' windows by hash. Hits of one item that lie on
 one diagonal of document against item are one alignment; it counts if its
 windows cover enough of the item and its slots are consistent: the same value of
@@ -29,12 +29,12 @@ from collections import Counter, defaultdict
 from collections.abc import Callable
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchpath.llm.common import DOUBLE, LONG, field, map_text
+from touchpath.llm.word_arrays import BASE, Powers, bounds, mix, range_hashes, utf8
 
 WIDTH = 8  # template words in a window
 COVER = 0.5  # share of an item's windows that an alignment must hold
@@ -48,57 +48,68 @@ gallons pint pints ms s sec secs second seconds min mins minute minutes h hr hrs
 mhz ghz v a w kw kwh j kj pa kpa n k c f °c °f degree degrees percent % $ € £ ¥ usd eur gbp dollar dollars euro euros cent cents mph kmh km/h
 kb mb gb tb bit bits byte bytes""".split())
 NUMBER = re.compile(r"[+-]?[$€£¥]?\d+(?:[.,:/]\d+)*(?:%|[a-z°/]{1,4})?")
-OUTER = re.compile(r"^[^\w$€£¥%°+-]+|[^\w$€£¥%°]+$")
-KINDS = ("number", "unit", "name")
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_NUMBER, _UNIT, _NAME = np.uint64(1), np.uint64(2), np.uint64(3)
 
 
-def _code(kind: str, text: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}\x00{text}".encode("utf-8", "surrogatepass")) & ~7
+#: Bytes that outer punctuation doesn't hold (letters, digits, ``_$%`` and all beyond ASCII), and those that end a sentence.
+CORE = np.array([b >= 128 or chr(b).isalnum() or b in b"_$%" for b in range(256)])
+SENTENCE_END = np.isin(np.arange(256), list(b".!?:"))
+NUMBER_START = np.isin(np.arange(256), [*b"0123456789$", 0xC2, 0xE2])  # 0xC2, 0xE2: of the other currencies
+UPPER = np.isin(np.arange(256), range(65, 91))
 
 
-class Codes(dict):
-    """Raw word -> code; the low bits tell a placeholder (1 number, 2 unit) or a possible name (4)."""
+def _stripped(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word bounds without outer punctuation; a word of nothing else keeps its last byte."""
+    starts, ends = starts.copy(), ends.copy()
+    for edge, offset, step in ((starts, 0, 1), (ends, -1, -1)):
+        todo = np.flatnonzero(~CORE[text[edge + offset]])
+        todo = todo[ends[todo] - starts[todo] > 1]
+        while len(todo):
+            edge[todo] += step
+            todo = todo[~CORE[text[edge[todo] + offset]] & (ends[todo] - starts[todo] > 1)]
+    return starts, ends
 
-    LIMIT = 500_000
 
-    def __missing__(self, word: str) -> int:
-        core = OUTER.sub("", word) or word
-        low = core.lower()
-        if NUMBER.fullmatch(low):
-            code = _code("number", "") | 1
-        elif low in UNITS:
-            code = _code("unit", "") | 2
-        else:
-            code = _code("word", low) | (4 if core[0].isupper() and (len(core) == 1 or not core.isupper()) else 0)
-        if len(self) < self.LIMIT:
-            self[word] = code
-        return code
+class Template:
+    """Template words of a text.
 
-
-def template(text: str, codes: Codes) -> tuple[list[str], list[np.ndarray], np.ndarray]:
-    """Raw words, template codes (names as they are; if there are names, also as placeholders) and kinds.
-
-    The kind of a word is 0 for none, 1 number, 2 unit, 3 name.
+    ``variants`` are its codes, with names as they are and, if there are names,
+    also as placeholders; ``kind`` of a word is 0 for none, 1 number, 2 unit, 3 name.
+    A name starts with one of A-Z, not followed by another.
     """
-    words: list[str] = []
-    starts = []
-    for line in text.split("\n"):
-        starts.append(len(words))
-        words += line.split()
-    code = np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
-    low = (code & np.uint64(7)).astype(np.int64)
-    code &= ~np.uint64(7)
-    names = np.flatnonzero(low == 4)
-    kind, variants = np.where(low == 4, 0, low), [code]
-    if len(names):
-        first = set(starts)
-        inner = [i for i in names.tolist() if i not in first and words[i - 1][-1] not in ".!?:"]
-        kind[inner] = 3
-        typed = code.copy()
-        typed[inner] = _code("name", "")
-        variants.append(typed)
-    return words, variants, kind
+
+    def __init__(self, text: str, powers: Powers):
+        self.data = utf8(text)
+        raw = np.frombuffer(self.data, np.uint8)
+        starts, ends = bounds(raw)
+        self.starts, self.ends = _stripped(raw, starts, ends)
+        code = range_hashes(np.frombuffer(self.data.lower(), np.uint8), self.starts, self.ends, powers)
+        self.kind = np.zeros(len(code), dtype=np.int64)
+        self.variants = [code]
+        if not len(code):
+            return
+        first = raw[self.starts]
+        numbers = np.array([i for i in np.flatnonzero(NUMBER_START[first]).tolist() if NUMBER.fullmatch(self.word(i))], dtype=np.int64)
+        units = np.array([i for i in (numbers + 1).tolist() if i < len(code) and self.word(i) in UNITS], dtype=np.int64)
+        self.kind[units], code[units] = 2, _UNIT
+        self.kind[numbers], code[numbers] = 1, _NUMBER
+        capital = UPPER[first]
+        capital[0] = False
+        names = np.flatnonzero(capital)
+        second = raw[np.minimum(self.starts[names] + 1, len(raw) - 1)]
+        names = names[((self.ends[names] - self.starts[names] == 1) | ~UPPER[second]) & (self.kind[names] == 0)]
+        if len(names):
+            lines = np.flatnonzero(raw == 10)
+            same_line = np.searchsorted(lines, starts[names]) == np.searchsorted(lines, starts[names - 1])
+            names = names[same_line & ~SENTENCE_END[raw[ends[names - 1] - 1]]]
+        if len(names):
+            self.kind[names] = 3
+            typed = code.copy()
+            typed[names] = _NAME
+            self.variants.append(typed)
+
+    def word(self, i: int) -> str:
+        return self.data[self.starts[i]:self.ends[i]].decode("utf-8", "replace").lower()
 
 
 def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
@@ -107,27 +118,28 @@ def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     out = code[:n].copy()
     for i in range(1, width):
-        out = out * _MULTIPLIER + (code[i:i + n] ^ (code[i:i + n] >> np.uint64(29)))
-    return out
+        out *= BASE
+        out += code[i:i + n]
+    return mix(out)
 
 
 class Benchmark:
     """Template windows of one chunk of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.codes = Codes()
+        self.powers = Powers()
         self.items, self.windows, self.widths = [], defaultdict(list), set()
         for item_id, text in items:
-            words, variants, kind = template(text, self.codes)
-            if not words:
+            item = Template(text, self.powers)
+            if not len(item.kind):
                 continue
-            width = min(WIDTH, len(words))
-            literal = np.convolve(kind == 0, np.ones(width, dtype=int), "valid") * 2 >= width
+            width = min(WIDTH, len(item.kind))
+            literal = np.convolve(item.kind == 0, np.ones(width, dtype=int), "valid") * 2 >= width
             starts = np.flatnonzero(literal) if literal.any() else np.arange(len(literal))
             at = len(self.items)
-            self.items.append((item_id, words, kind, len(starts), width))
+            self.items.append((item_id, item, len(starts), width))
             self.widths.add(width)
-            for hashed in (window_hashes(code, width) for code in variants):
+            for hashed in (window_hashes(code, width) for code in item.variants):
                 for i in starts.tolist():
                     self.windows[width, int(hashed[i])].append((at, i))
         self.filters = {}
@@ -138,31 +150,31 @@ class Benchmark:
 
     def leaks(self, text: str) -> list[tuple[int, float]]:
         """(item_id, share of its windows) of every item that the text holds."""
-        words, variants, kind = template(text, self.codes)
+        doc = Template(text, self.powers)
         found: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for width, code in itertools.product(self.widths, variants):
+        for width, code in itertools.product(self.widths, doc.variants):
             hashed = window_hashes(code, width)
             for i in np.flatnonzero(self.filters[width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
                 for item, at in self.windows.get((width, int(hashed[i])), ()):
                     found[item, i - at].add(at)
         best: dict[int, float] = {}
-        for (item, shift), starts in found.items():
-            item_id, item_words, item_kind, n, width = self.items[item]
+        for (at, shift), starts in found.items():
+            item_id, item, n, width = self.items[at]
             share = len(starts) / n
-            if share >= COVER and share > best.get(item_id, 0) and self._consistent(words, kind, item_words, item_kind, shift, starts, width):
+            if share >= COVER and share > best.get(item_id, 0) and self._consistent(doc, item, shift, starts, width):
                 best[item_id] = share
         return sorted(best.items(), key=lambda x: (x[0] is None, x[0]))
 
     @staticmethod
-    def _consistent(words, kind, item_words, item_kind, shift, starts, width) -> bool:
+    def _consistent(doc: Template, item: Template, shift: int, starts: set[int], width: int) -> bool:
         covered = sorted({i for s in starts for i in range(s, s + width)})
-        slots = Counter((int(item_kind[i]), OUTER.sub("", item_words[i]).lower(), OUTER.sub("", words[i + shift]).lower())
-                        for i in covered if item_kind[i] and kind[i + shift] == item_kind[i])
+        slots = Counter((int(item.kind[i]), item.word(i), doc.word(i + shift)) for i in covered
+                        if item.kind[i] and doc.kind[i + shift] == item.kind[i])
         explained, used, taken = 0, set(), set()
-        for (k, a, b), n in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
-            if (k, a) not in used and (k, b) not in taken:
-                used.add((k, a))
-                taken.add((k, b))
+        for (kind, a, b), n in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
+            if (kind, a) not in used and (kind, b) not in taken:
+                used.add((kind, a))
+                taken.add((kind, b))
                 explained += n
         return explained >= AGREE * sum(slots.values())
 
