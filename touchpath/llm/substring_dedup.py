@@ -20,8 +20,8 @@ content instead:
 4. An anchor with more than ``HOT`` different contexts is no shard for one task:
    its windows are grouped by their own hashes, with partial aggregation.
 
-The removed ranges of a document meet its text once more, on the same exchange
-of the texts that step 3 reads.
+The texts cross the network twice, compressed: once for step 3 and once to meet
+the removed ranges.
 
 Defined results: null and empty texts have no words and nothing to remove;
 documents shorter than a window keep all words; null ids come before all others;
@@ -36,96 +36,87 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchpath.llm.common import stage
+from touchpath.llm.word_arrays import BASE, Powers, mix, range_hashes, utf8, word_hashes
 
 ANCHOR = 5  # words of an anchor
 HOT = 512  # different contexts of one anchor that an automaton takes
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-class WordHashes(dict):
-    """Word -> 64-bit hash; remembers a bounded number of words."""
-
-    LIMIT = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        code = xxhash.xxh64_intdigest(word)
-        if len(self) < self.LIMIT:
-            self[word] = code
-        return code
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
 def _grams(code: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all ``n``-word grams."""
     out = code[:len(code) - n + 1].copy()
     for i in range(1, n):
-        out = out * _ODD + code[i:len(code) - n + 1 + i]
-    return _mix(out)
+        out = out * BASE + code[i:len(code) - n + 1 + i]
+    return mix(out)
 
 
-def anchors(code: np.ndarray, window: int, powers: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Per anchor: hash, context hash, first window start, anchor offset in it, number of further windows."""
+def anchors(code: np.ndarray, window: int, powers: Powers | None) -> tuple[np.ndarray, ...]:
+    """Per anchor its hash; with ``powers`` also context hash, first window start, offset in it, number of further windows."""
     grams = _grams(code, ANCHOR)
     width = window - ANCHOR + 1
     least = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1) + np.arange(len(grams) - width + 1)
     low = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
-    more = np.diff(np.append(low, len(least))) - 1
     at = least[low]
-    up, down = powers
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * up[:len(code)], dtype=np.uint64)])
-    context = (sums[low + more + window] - sums[low]) * down[low]
-    context = _mix(context + _mix((at - low).astype(np.uint64) << np.uint64(16) | more.astype(np.uint64)))
+    if powers is None:
+        return (grams[at],)
+    more = np.diff(np.append(low, len(least))) - 1
+    context = range_hashes(code, low, low + more + window, powers)
+    context = mix(context + mix((at - low).astype(np.uint64) << np.uint64(16) | more.astype(np.uint64)))
     return grams[at], context, low, at - low, more
 
 
-class Powers:
-    """Powers of the hash base and of its inverse, as long as the longest text so far."""
+def _packed(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with its texts compressed, as they cross the network twice."""
+    schema = T.StructType([*keyed.drop("text").schema.fields, T.StructField("packed", T.BinaryType())])
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [pack(utf8(x)) if x else None for x in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "packed"])
 
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            self.up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, _ODD))]).astype(np.uint64)
-            self.down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, _INVERSE))]).astype(np.uint64)
-        return self.up, self.down
+    return keyed.select(*keyed.drop("text").columns, "text").mapInArrow(run, schema)
 
 
-def _split(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def _unpack(packed: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
 
 
+def anchor_hashes(keyed: DataFrame, window: int) -> DataFrame:
+    """(h): the anchors of every text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            codes = (word_hashes(utf8(text), powers) for text in batch.column(0).to_pylist())
+            parts = [anchors(code, window, None)[0] for code in codes if len(code) >= window]
+            if parts:
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(parts))], names=["h"])
+
+    return keyed.select("text").mapInArrow(run, "h long")
+
+
 def anchor_rows(keyed: DataFrame, window: int) -> DataFrame:
     """(h, c, doc, sub, at): every anchor of every text; ``at`` packs first start, offset and further windows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        hashes, powers = WordHashes(), Powers()
+        powers = Powers()
         for batch in batches:
             parts, counts = [], []
             for text in batch.column(2).to_pylist():
-                words = _split(text)
-                if len(words) < window:
+                code = word_hashes(utf8(text), powers)
+                if len(code) < window:
                     counts.append(0)
                     continue
-                code = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-                h, c, low, offset, more = anchors(code, window, powers(len(words)))
+                h, c, low, offset, more = anchors(code, window, powers)
                 parts.append((h, c, low << 16 | offset << 8 | more))
                 counts.append(len(h))
             if not parts:
@@ -233,22 +224,23 @@ def _contexts(texts: DataFrame, window: int) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        hashes = WordHashes()
+        powers = Powers()
         for batch in batches:
             out: list[tuple] = []
-            for doc, sub, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for doc, sub, packed, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if not asked:
                     continue
-                words, code = _split(text), None
+                data = _unpack(packed)
+                words, code = data.split(), None
                 for a in asked:
                     low, more = a["at"] >> 16, a["at"] & 255
                     if not a["hot"]:
                         out.append((a["h"], doc, sub, a["at"], b" ".join(words[low:low + more + window]).decode("utf-8", "surrogatepass"), None, None))
                         continue
                     if code is None:
-                        code = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+                        code = word_hashes(data, powers)
                     part = code[low:low + more + window]
-                    one, two = _grams(part, window).view(np.int64).tolist(), _grams(_mix(part), window).view(np.int64).tolist()
+                    one, two = _grams(part, window).view(np.int64).tolist(), _grams(mix(part), window).view(np.int64).tolist()
                     out += [(a["h"], doc, sub, low + i, None, v, w) for i, (v, w) in enumerate(zip(one, two))]
             kinds = [pa.int64()] * 4 + [pa.string()] + [pa.int64()] * 2
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
@@ -264,8 +256,8 @@ def _finish(texts: DataFrame, window: int, id_type: T.DataType) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             counts, removed, shas, spans = [], [], [], []
-            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = _split(text)
+            for packed, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                words = _unpack(packed).split()
                 kept, at, gone = [], 0, []
                 for r in sorted((r["lo"], r["hi"] + window) for r in ranges or ()):
                     if gone and r[0] <= gone[-1][1]:
@@ -299,9 +291,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 20) ->
     keyed = base.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), sub.cast("long").alias("sub"), "text")
 
     # 1. anchors that occur twice
-    rows = anchor_rows(keyed, window)
-    twice = stage(rows.select("h").groupBy("h").count().where("count > 1").select("h"), "anchors")
-    found = stage(rows.join(twice, "h"), "occurrences")
+    twice = stage(anchor_hashes(keyed, window).groupBy("h").count().where("count > 1").select("h"), "anchors")
+    found = stage(anchor_rows(keyed, window).join(twice, "h"), "occurrences")
     # 2. whole contexts
     first = stage(found.groupBy("h", "c").agg(F.min(F.struct("doc", "sub", "at")).alias("f")).select("h", "c", "f.*"), "contexts")
     is_first = found.join(first.select("h", "c", *[F.col(x).alias(f"f_{x}") for x in ("doc", "sub", "at")]), ["h", "c"])
@@ -312,8 +303,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 20) ->
     asked = (first.join(many, "h").groupBy("doc", "sub")
              .agg(F.collect_list(F.struct("h", "at", (F.col("count") > HOT).alias("hot"))).alias("asked")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = keyed.repartition(parts, "doc", "sub")
-    cut = _contexts(texts.join(asked, ["doc", "sub"]).select("doc", "sub", "text", "asked"), window)
+    texts = _packed(keyed).repartition(parts, "doc", "sub")
+    cut = _contexts(texts.join(asked, ["doc", "sub"]).select("doc", "sub", "packed", "asked"), window)
     cut = stage(cut, "cut")
     edges = matched_ranges(cut.where("words is not null").select("h", "doc", "sub", "at", "words"), window)
     hot = cut.where("words is null").select("v", "w", "doc", "sub", "at")
@@ -321,5 +312,5 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 20) ->
     windows = (hot.join(hot_first, ["v", "w"]).where("doc != f_doc or sub != f_sub or at != f_at")
                .select("doc", "sub", F.col("at").alias("lo"), F.col("at").alias("hi")))
     ranges = (whole.union(edges).union(windows).distinct().groupBy("doc", "sub").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))
-    out = texts.join(ranges, ["doc", "sub"], "left").select("doc_id", "text", "ranges")
+    out = texts.join(ranges, ["doc", "sub"], "left").select("doc_id", "packed", "ranges")
     return _finish(out, window, docs.schema["doc_id"].dataType)
