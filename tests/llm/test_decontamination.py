@@ -15,6 +15,17 @@ def test_verbatim_and_reparameterised():
     assert leaks(ITEM.upper().lower()) == [7]  # names in lower case still leave enough windows
 
 
+def test_replaced_names_at_sentence_and_line_starts():
+    item = "Alice has 5 apples. Tom gives her 3 more apples. Alice buys 7. How many does Alice have"
+    for alice, tom in (("Clara", "Ben"), ("Élodie", "Ömer"), ("CLARA", "BEN"), ("Ñusta", "Ťomáš")):
+        copy = item.replace("Alice", alice).replace("Tom", tom)
+        for a, b in ((item, copy), (copy, item)):
+            assert leaks(b.replace("5", "8").replace("3", "4"), [(1, a)]) == [1]
+            assert leaks("Exercise:\n" + b.replace(". ", ".\n"), [(1, a)]) == [1]
+    assert leaks("Clara has 5 apples. Ben gives her 3 more apples. Dora buys 7. How many does Eric have. ", [(1, item * 2)]) == []
+    assert leaks("A dog. Runs. Over. It. A cat. Sleeps. Under. It.", [(1, "A man. Walks. Beside. It. A boy. Stands. Behind. It.")]) == []
+
+
 def test_inconsistent_slots_are_no_leak():
     item = "Take 3 apples then add 4 pears then add 3 plums then add 4 nuts then add 3 figs then add 4 dates"
     assert leaks(item.replace("3", "8").replace("4", "6"), [(1, item)]) == [1]

@@ -10,6 +10,9 @@ ones. So verbatim copies are found, and questions with other numbers or names.
 
 A name is a capitalised word that starts no sentence and no line; windows are
 taken with names as placeholders and as they are, so a changed case is met too.
+A wide form takes every capitalised word for a name, also at the start of a
+sentence, in capitals and beyond ASCII; an alignment that needs it must agree
+literally in half of its words.
 
 The benchmark is read in chunks of at most ``chunk_windows`` windows, each small
 enough to send to every task; documents stream past each chunk, nothing is
@@ -23,10 +26,10 @@ reported; repeated documents are judged alike; texts are read whole.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +43,7 @@ WIDTH = 8  # template words in a window
 COVER = 0.5  # share of an item's windows that an alignment must hold
 AGREE = 0.8  # share of an alignment's slots that a one-to-one replacement must explain
 CHUNK_WINDOWS = 1_000_000
+STRICT, WIDE = range(2)  # numbers of the forms
 
 #: Unit words.
 UNITS = frozenset("""mm cm dm m km in ft yd mi mile miles meter meters metre metres kilometer kilometers kilometre kilometres inch inches foot
@@ -56,6 +60,16 @@ CORE = np.array([b >= 128 or chr(b).isalnum() or b in b"_$%" for b in range(256)
 SENTENCE_END = np.isin(np.arange(256), list(b".!?:"))
 NUMBER_START = np.isin(np.arange(256), [*b"0123456789$", 0xC2, 0xE2])  # 0xC2, 0xE2: of the other currencies
 UPPER = np.isin(np.arange(256), range(65, 91))
+CAPITALS = np.array([chr(c).isupper() or chr(c).istitle() for c in range(0x20000)])  # no letter with a case is beyond
+
+
+def _capitals(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether the UTF-8 characters at ``starts`` are capitals."""
+    first, *more = (text[np.minimum(starts + i, len(text) - 1)].astype(np.int64) for i in range(4))
+    a, b, c = (x & 63 for x in more)
+    code = np.select([first < 128, first < 224, first < 240], [first, (first & 31) << 6 | a, (first & 15) << 12 | a << 6 | b],
+                     (first & 7) << 18 | a << 12 | b << 6 | c)
+    return CAPITALS[np.minimum(code, len(CAPITALS) - 1)]
 
 
 def _stripped(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,12 +84,19 @@ def _stripped(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return starts, ends
 
 
+class Form(NamedTuple):
+    """Codes of template words, and their kinds: 0 for none, 1 number, 2 unit, 3 name."""
+
+    code: np.ndarray
+    kind: np.ndarray
+
+
 class Template:
     """Template words of a text.
 
-    ``variants`` are its codes, with names as they are and, if there are names,
-    also as placeholders; ``kind`` of a word is 0 for none, 1 number, 2 unit, 3 name.
-    A name starts with one of A-Z, not followed by another.
+    ``forms[STRICT]`` have names as they are and, if there are names, also as
+    placeholders, where a name starts with one of A-Z, not followed by another;
+    ``forms[WIDE]`` has every capitalised word as a name.
     """
 
     def __init__(self, text: str, powers: Powers):
@@ -85,7 +106,7 @@ class Template:
         self.starts, self.ends = _stripped(raw, starts, ends)
         code = range_hashes(np.frombuffer(self.data.lower(), np.uint8), self.starts, self.ends, powers)
         self.kind = np.zeros(len(code), dtype=np.int64)
-        self.variants = [code]
+        self.forms = [[Form(code, self.kind)], [Form(code, self.kind)]]
         if not len(code):
             return
         first = raw[self.starts]
@@ -106,7 +127,11 @@ class Template:
             self.kind[names] = 3
             typed = code.copy()
             typed[names] = _NAME
-            self.variants.append(typed)
+            self.forms[STRICT].append(Form(typed, self.kind))
+        typed, kind = self.forms[STRICT][-1].code.copy(), self.kind.copy()
+        capitals = (kind == 0) & _capitals(raw, self.starts)
+        typed[capitals], kind[capitals] = _NAME, 3
+        self.forms[WIDE] = [Form(typed, kind)]
 
     def word(self, i: int) -> str:
         return self.data[self.starts[i]:self.ends[i]].decode("utf-8", "replace").lower()
@@ -128,7 +153,7 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.powers = Powers()
-        self.items, self.windows, self.widths = [], defaultdict(list), set()
+        self.items, self.windows = [], defaultdict(lambda: defaultdict(list))  # (form number, width) -> hash -> (item, start)
         for item_id, text in items:
             item = Template(text, self.powers)
             if not len(item.kind):
@@ -137,39 +162,55 @@ class Benchmark:
             literal = np.convolve(item.kind == 0, np.ones(width, dtype=int), "valid") * 2 >= width
             starts = np.flatnonzero(literal) if literal.any() else np.arange(len(literal))
             at = len(self.items)
-            self.items.append((item_id, item, len(starts), width))
-            self.widths.add(width)
-            for hashed in (window_hashes(code, width) for code in item.variants):
-                for i in starts.tolist():
-                    self.windows[width, int(hashed[i])].append((at, i))
+            self.items.append((item_id, item, frozenset(starts.tolist())))
+            for form in item.forms[STRICT]:
+                self._add(at, STRICT, form, width, starts)
+            if literal.any():
+                (form,) = item.forms[WIDE]
+                self._add(at, WIDE, form, width, starts[np.convolve(form.kind == 0, np.ones(width, dtype=int), "valid")[starts] >= 2])
         self.filters = {}
-        for width in self.widths:
+        for key, known in self.windows.items():
             seen = np.zeros(1 << 22, dtype=bool)  # most windows of a text are turned away here
-            seen[[h & 0x3FFFFF for w, h in self.windows if w == width]] = True
-            self.filters[width] = seen
+            seen[[h & 0x3FFFFF for h in known]] = True
+            self.filters[key] = seen
+
+    def _add(self, item: int, number: int, form: Form, width: int, starts: np.ndarray) -> None:
+        known, hashed = self.windows[number, width], window_hashes(form.code, width)
+        for i in starts.tolist():
+            known[int(hashed[i])].append((item, i))
 
     def leaks(self, text: str) -> list[tuple[int, float]]:
         """(item_id, share of its windows) of every item that the text holds."""
         doc = Template(text, self.powers)
-        found: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for width, code in itertools.product(self.widths, doc.variants):
-            hashed = window_hashes(code, width)
-            for i in np.flatnonzero(self.filters[width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
-                for item, at in self.windows.get((width, int(hashed[i])), ()):
-                    found[item, i - at].add(at)
+        found: dict[tuple[int, int], dict[int, tuple[int, int]]] = defaultdict(dict)  # (item, shift) -> start -> (form number, width)
+        for (number, width), known in self.windows.items():  # strict forms come first
+            for form in doc.forms[number]:
+                hashed = window_hashes(form.code, width)
+                for i in np.flatnonzero(self.filters[number, width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
+                    for item, at in known.get(int(hashed[i]), ()):
+                        if found[item, i - at].get(at, (WIDE,))[0] >= number:
+                            found[item, i - at][at] = number, width
         best: dict[int, float] = {}
-        for (at, shift), starts in found.items():
-            item_id, item, n, width = self.items[at]
-            share = len(starts) / n
-            if share >= COVER and share > best.get(item_id, 0) and self._consistent(doc, item, shift, starts, width):
-                best[item_id] = share
+        for (at, shift), hits in found.items():
+            item_id, item, starts = self.items[at]
+            for number in (STRICT, WIDE):
+                held = {a: hit for a, hit in hits.items() if hit[0] <= number}
+                share = len(held) / len(starts)
+                if share >= COVER and share > best.get(item_id, 0) and self._agree(doc, item, shift, held, number):
+                    best[item_id] = share
         return sorted(best.items(), key=lambda x: (x[0] is None, x[0]))
 
     @staticmethod
-    def _consistent(doc: Template, item: Template, shift: int, starts: set[int], width: int) -> bool:
-        covered = sorted({i for s in starts for i in range(s, s + width)})
-        slots = Counter((int(item.kind[i]), item.word(i), doc.word(i + shift)) for i in covered
-                        if item.kind[i] and doc.kind[i + shift] == item.kind[i])
+    def _agree(doc: Template, item: Template, shift: int, hits: dict[int, tuple[int, int]], number: int) -> bool:
+        """Whether the slots of the windows are consistent and, beyond the strict forms, enough of their words equal."""
+        ours, theirs = item.forms[number][-1].kind, doc.forms[number][-1].kind
+        covered = sorted({i for s, (_, width) in hits.items() for i in range(s, s + width)})
+        words = [(int(ours[i]), item.word(i), doc.word(i + shift)) for i in covered if ours[i] and theirs[i + shift] == ours[i]]
+        if number != STRICT:
+            equal = len(covered) - sum(a != b for _, a, b in words)
+            if equal * 2 < len(covered) or equal < WIDTH // 2:
+                return False
+        slots = Counter(words)
         explained, used, taken = 0, set(), set()
         for (kind, a, b), n in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
             if (kind, a) not in used and (kind, b) not in taken:
