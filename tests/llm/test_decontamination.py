@@ -26,6 +26,27 @@ def test_replaced_names_at_sentence_and_line_starts():
     assert leaks("A dog. Runs. Over. It. A cat. Sleeps. Under. It.", [(1, "A man. Walks. Beside. It. A boy. Stands. Behind. It.")]) == []
 
 
+def test_values_of_other_lengths_and_words_put_in():
+    item = ("a truck drives from Boston at 40 km per hour and brings 1,000 boxes to the harbour of Boston where workers unload "
+            "every box by hand before it returns empty to Boston in 5 hours by the same road")
+    for copy in (item.replace("Boston", "New York"), item.replace("40 km", "40km").replace("1,000", "1 000").replace("Boston", "Rio"),
+                 item.replace("harbour", "big harbour"), item.replace("drives", "now drives").replace("where", "where the"),
+                 item.replace("boxes ", "").replace("returns", "soon returns")):
+        assert leaks(copy, [(1, item)]) == [1] and leaks(item, [(1, copy)]) == [1]
+    few = " ".join(f"alpha{i}" for i in range(20))
+    assert leaks(few.replace("alpha10", "very alpha10"), [(1, few)]) == [1]
+    names = item.replace("Boston", "New York").replace("40 km", "70 km").replace("5 hours", "9h")
+    assert leaks(names, [(1, item)]) == [1]
+
+
+def test_a_long_equal_run_counts_whatever_its_share():
+    words = [f"beta{i}" for i in range(59)]
+    for n, want in ((20, [1]), (13, [1]), (12, [])):
+        assert leaks("x y " + " ".join(words[30:30 + n]) + " z", [(1, " ".join(words))]) == want
+    numbers = " ".join(map(str, range(40)))
+    assert leaks(" ".join(numbers.split()[:15]), [(1, f"{numbers} and {' '.join(words)}")]) == []
+
+
 def test_inconsistent_slots_are_no_leak():
     item = "Take 3 apples then add 4 pears then add 3 plums then add 4 nuts then add 3 figs then add 4 dates"
     assert leaks(item.replace("3", "8").replace("4", "6"), [(1, item)]) == [1]

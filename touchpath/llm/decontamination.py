@@ -7,12 +7,17 @@ one diagonal of document against item are one alignment; it counts if its
 windows cover enough of the item and its slots are consistent: the same value of
 the item is always replaced by the same value, and different values by different
 ones. So verbatim copies are found, and questions with other numbers or names.
+Neighbouring diagonals are chained, as after a word put in or left out; the windows
+over such a seam count as held. A run of equal words of some length counts whatever
+its share of the item.
 
 A name is a capitalised word that starts no sentence and no line; windows are
 taken with names as placeholders and as they are, so a changed case is met too.
 A wide form takes every capitalised word for a name, also at the start of a
-sentence, in capitals and beyond ASCII; an alignment that needs it must agree
-literally in half of its words.
+sentence, in capitals and beyond ASCII. Both are also taken with each run of
+numbers and units, or of names, as one slot, for values of another number of
+words. An alignment beyond one diagonal of the first forms must agree literally
+in half of its words.
 
 The benchmark is read in chunks of at most ``chunk_windows`` windows, each small
 enough to send to every task; documents stream past each chunk, nothing is
@@ -28,7 +33,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -43,7 +48,9 @@ WIDTH = 8  # template words in a window
 COVER = 0.5  # share of an item's windows that an alignment must hold
 AGREE = 0.8  # share of an alignment's slots that a one-to-one replacement must explain
 CHUNK_WINDOWS = 1_000_000
-STRICT, WIDE = range(2)  # numbers of the forms
+RUN = 13  # equal words in a row that count whatever their share, if half of them are no slots
+SLACK = 8  # words by which neighbouring diagonals differ at most
+STRICT, WIDE, SLOTS, WIDE_SLOTS = range(4)  # numbers of the forms
 
 #: Unit words.
 UNITS = frozenset("""mm cm dm m km in ft yd mi mile miles meter meters metre metres kilometer kilometers kilometre kilometres inch inches foot
@@ -65,11 +72,15 @@ CAPITALS = np.array([chr(c).isupper() or chr(c).istitle() for c in range(0x20000
 
 def _capitals(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Whether the UTF-8 characters at ``starts`` are capitals."""
-    first, *more = (text[np.minimum(starts + i, len(text) - 1)].astype(np.int64) for i in range(4))
+    out = UPPER[text[starts]]
+    beyond = np.flatnonzero(text[starts] >= 0xC3)
+    if not len(beyond):
+        return out
+    first, *more = (text[np.minimum(starts[beyond] + i, len(text) - 1)].astype(np.int64) for i in range(4))
     a, b, c = (x & 63 for x in more)
-    code = np.select([first < 128, first < 224, first < 240], [first, (first & 31) << 6 | a, (first & 15) << 12 | a << 6 | b],
-                     (first & 7) << 18 | a << 12 | b << 6 | c)
-    return CAPITALS[np.minimum(code, len(CAPITALS) - 1)]
+    code = np.select([first < 224, first < 240], [(first & 31) << 6 | a, (first & 15) << 12 | a << 6 | b], (first & 7) << 18 | a << 12 | b << 6 | c)
+    out[beyond] = CAPITALS[np.minimum(code, len(CAPITALS) - 1)]
+    return out
 
 
 def _stripped(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,10 +96,11 @@ def _stripped(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 class Form(NamedTuple):
-    """Codes of template words, and their kinds: 0 for none, 1 number, 2 unit, 3 name."""
+    """Codes of template words, their kinds (0 for none, 1 number, 2 unit, 3 name), and the word each starts at, with the end."""
 
     code: np.ndarray
     kind: np.ndarray
+    at: np.ndarray
 
 
 class Template:
@@ -96,7 +108,9 @@ class Template:
 
     ``forms[STRICT]`` have names as they are and, if there are names, also as
     placeholders, where a name starts with one of A-Z, not followed by another;
-    ``forms[WIDE]`` has every capitalised word as a name.
+    ``forms[WIDE]`` has every capitalised word as a name. ``forms[SLOTS]`` and
+    ``forms[WIDE_SLOTS]`` are both with runs of slots as one; ``plain`` are the
+    hashes of the words.
     """
 
     def __init__(self, text: str, powers: Powers):
@@ -106,7 +120,9 @@ class Template:
         self.starts, self.ends = _stripped(raw, starts, ends)
         code = range_hashes(np.frombuffer(self.data.lower(), np.uint8), self.starts, self.ends, powers)
         self.kind = np.zeros(len(code), dtype=np.int64)
-        self.forms = [[Form(code, self.kind)], [Form(code, self.kind)]]
+        self.plain = code.copy()
+        at = np.arange(len(code) + 1)
+        self.forms = [[Form(code, self.kind, at)]] * 4
         if not len(code):
             return
         first = raw[self.starts]
@@ -127,14 +143,32 @@ class Template:
             self.kind[names] = 3
             typed = code.copy()
             typed[names] = _NAME
-            self.forms[STRICT].append(Form(typed, self.kind))
-        typed, kind = self.forms[STRICT][-1].code.copy(), self.kind.copy()
+            self.forms[STRICT].append(Form(typed, self.kind, at))
+        wide, kind = self.forms[STRICT][-1].code.copy(), self.kind.copy()
         capitals = (kind == 0) & _capitals(raw, self.starts)
-        typed[capitals], kind[capitals] = _NAME, 3
-        self.forms[WIDE] = [Form(typed, kind)]
+        wide[capitals], kind[capitals] = _NAME, 3
+        strict, wide = self.forms[STRICT], Form(wide, kind, at)
+        ended = SENTENCE_END[raw[ends - 1]]
+        self.forms = [strict, [wide], [_joined(strict[-1], ended)], [_joined(wide, ended)]]
 
     def word(self, i: int) -> str:
-        return self.data[self.starts[i]:self.ends[i]].decode("utf-8", "replace").lower()
+        return self.slot(i, i + 1)
+
+    def slot(self, start: int, end: int) -> str:
+        return self.data[self.starts[start]:self.ends[end - 1]].decode("utf-8", "replace").lower()
+
+
+def _joined(form: Form, ended: np.ndarray) -> Form:
+    """``form`` with each run of numbers and units, or of names, as one; none goes past a word that ends a sentence."""
+    group = np.where(form.kind == 2, 1, form.kind)
+    first = np.ones(len(group), dtype=bool)
+    first[1:] = (group[1:] == 0) | (group[1:] != group[:-1]) | ended[:-1]
+    if first.all():
+        return form
+    at = np.flatnonzero(first)
+    code, kind = form.code[at], group[at]
+    code[kind == 1] = _NUMBER
+    return Form(code, kind, np.append(at, len(first)))
 
 
 def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
@@ -148,6 +182,13 @@ def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+class Hit(NamedTuple):
+    number: int  # of the form
+    item: int  # position in the item's form
+    doc: int  # in the document's
+    width: int
+
+
 class Benchmark:
     """Template windows of one chunk of items."""
 
@@ -165,9 +206,11 @@ class Benchmark:
             self.items.append((item_id, item, frozenset(starts.tolist())))
             for form in item.forms[STRICT]:
                 self._add(at, STRICT, form, width, starts)
-            if literal.any():
-                (form,) = item.forms[WIDE]
-                self._add(at, WIDE, form, width, starts[np.convolve(form.kind == 0, np.ones(width, dtype=int), "valid")[starts] >= 2])
+            for number in (WIDE, SLOTS, WIDE_SLOTS) if literal.any() else ():
+                (form,) = item.forms[number]
+                width = min(WIDTH, len(form.code))
+                words = np.convolve(form.kind == 0, np.ones(width, dtype=int), "valid")
+                self._add(at, number, form, width, np.flatnonzero(words >= 2))
         self.filters = {}
         for key, known in self.windows.items():
             seen = np.zeros(1 << 22, dtype=bool)  # most windows of a text are turned away here
@@ -182,35 +225,64 @@ class Benchmark:
     def leaks(self, text: str) -> list[tuple[int, float]]:
         """(item_id, share of its windows) of every item that the text holds."""
         doc = Template(text, self.powers)
-        found: dict[tuple[int, int], dict[int, tuple[int, int]]] = defaultdict(dict)  # (item, shift) -> start -> (form number, width)
-        for (number, width), known in self.windows.items():  # strict forms come first
+        found: dict[int, dict[tuple[int, int], Hit]] = defaultdict(dict)  # item -> (shift, word of the item) -> hit
+        hashes: dict[tuple[int, int], np.ndarray] = {}
+        for (number, width), known in self.windows.items():
             for form in doc.forms[number]:
-                hashed = window_hashes(form.code, width)
-                for i in np.flatnonzero(self.filters[number, width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
-                    for item, at in known.get(int(hashed[i]), ()):
-                        if found[item, i - at].get(at, (WIDE,))[0] >= number:
-                            found[item, i - at][at] = number, width
+                key = id(form), width
+                if key not in hashes:
+                    hashes[key] = window_hashes(form.code, width)
+                hashed = hashes[key]
+                for j in np.flatnonzero(self.filters[number, width][(hashed & np.uint64(0x3FFFFF)).astype(np.int64)]).tolist():
+                    for at, i in known.get(int(hashed[j]), ()):
+                        _, item, starts = self.items[at]
+                        ours, hits = item.forms[number][-1].at, found[at]
+                        shift = int(form.at[j] - ours[i])
+                        for word in range(ours[i], ours[i + 1]):  # all words of a slot
+                            if word in starts and ((shift, word) not in hits or hits[shift, word].number > number):
+                                hits[shift, word] = Hit(number, i, j, width)
         best: dict[int, float] = {}
-        for (at, shift), hits in found.items():
+        for at, hits in found.items():
             item_id, item, starts = self.items[at]
-            for number in (STRICT, WIDE):
-                held = {a: hit for a, hit in hits.items() if hit[0] <= number}
-                share = len(held) / len(starts)
-                if share >= COVER and share > best.get(item_id, 0) and self._agree(doc, item, shift, held, number):
+            for held, used, strict in self._alignments(doc, item, starts, hits):
+                share = held / len(starts)
+                if share > best.get(item_id, 0) and (used is None or share >= COVER and self._agree(doc, item, used, strict)):
                     best[item_id] = share
         return sorted(best.items(), key=lambda x: (x[0] is None, x[0]))
 
     @staticmethod
-    def _agree(doc: Template, item: Template, shift: int, hits: dict[int, tuple[int, int]], number: int) -> bool:
-        """Whether the slots of the windows are consistent and, beyond the strict forms, enough of their words equal."""
-        ours, theirs = item.forms[number][-1].kind, doc.forms[number][-1].kind
-        covered = sorted({i for s, (_, width) in hits.items() for i in range(s, s + width)})
-        words = [(int(ours[i]), item.word(i), doc.word(i + shift)) for i in covered if ours[i] and theirs[i + shift] == ours[i]]
-        if number != STRICT:
-            equal = len(covered) - sum(a != b for _, a, b in words)
-            if equal * 2 < len(covered) or equal < WIDTH // 2:
+    def _alignments(doc: Template, item: Template, starts: frozenset[int],
+                    hits: dict[tuple[int, int], Hit]) -> Iterable[tuple[int, list[Hit] | None, bool]]:
+        """(windows held, their hits, whether on one diagonal of strict forms); no hits for a run of equal words."""
+        for number in (STRICT, WIDE):
+            by_shift = defaultdict(list)
+            for (shift, _), hit in hits.items():
+                if hit.number <= number:
+                    by_shift[shift].append(hit)
+            for shift, used in by_shift.items():
+                yield len(used), used, number == STRICT
+                if number == STRICT and _equal_run(doc, item, shift):
+                    yield len(used), None, True
+        for number in (STRICT, WIDE_SLOTS):
+            some = {k: hit for k, hit in hits.items() if hit.number <= number}
+            if len({shift for shift, _ in some}) > 1 or number != STRICT:
+                yield *_chain(some, starts), False
+
+    @staticmethod
+    def _agree(doc: Template, item: Template, hits: list[Hit], strict: bool) -> bool:
+        """Whether the slots of the windows are consistent and, unless ``strict``, enough of their words equal."""
+        words: dict[int, tuple[int, str, str] | None] = {}
+        for number, i, j, width in hits:
+            ours, theirs = item.forms[number][-1], doc.forms[number][-1]
+            for a, b in zip(range(i, i + width), range(j, j + width)):
+                if (word := int(ours.at[a])) not in words:
+                    slot = ours.kind[a] and ours.kind[a] == theirs.kind[b]
+                    words[word] = (int(ours.kind[a]), item.slot(word, ours.at[a + 1]), doc.slot(theirs.at[b], theirs.at[b + 1])) if slot else None
+        slots = Counter(x for x in words.values() if x)
+        if not strict:
+            equal = len(words) - sum(n for (_, a, b), n in slots.items() if a != b)
+            if equal * 2 < len(words) or equal < WIDTH // 2:
                 return False
-        slots = Counter(words)
         explained, used, taken = 0, set(), set()
         for (kind, a, b), n in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
             if (kind, a) not in used and (kind, b) not in taken:
@@ -220,6 +292,48 @@ class Benchmark:
         return explained >= AGREE * sum(slots.values())
 
 
+def _equal_run(doc: Template, item: Template, shift: int) -> bool:
+    """Whether a diagonal has RUN equal words in a row, half of them no slots."""
+    low, high = max(0, -shift), min(len(item.plain), len(doc.plain) - shift)
+    if high - low < RUN:
+        return False
+    equal = item.plain[low:high] == doc.plain[low + shift:high + shift]
+    whole = np.convolve(equal, np.ones(RUN, dtype=int), "valid") == RUN
+    return bool((whole & (np.convolve(item.kind[low:high] == 0, np.ones(RUN, dtype=int), "valid") * 2 >= RUN)).any())
+
+
+def _chain(hits: dict[tuple[int, int], Hit], starts: frozenset[int]) -> tuple[int, list[Hit]]:
+    """Windows held by the best chain of hits on neighbouring diagonals, in the order of item and document; and its hits."""
+    runs: list[list[int]] = []  # first word, diagonal, last word
+    for shift, word in sorted(hits):
+        if runs and runs[-1][1] == shift and runs[-1][2] == word - 1:
+            runs[-1][2] = word
+        else:
+            runs.append([word, shift, word])
+    ends: dict[int, tuple] = {}  # diagonal -> best chain that ends there: windows held, last word, first word of its last run, the chain before
+    for first, shift, last in sorted(runs):
+        best = (last - first + 1, last, first, shift, None)
+        for other in range(shift - SLACK, shift + SLACK + 1):
+            before = ends.get(other)
+            if before is None or before[1] >= last:
+                continue
+            start = max(first, before[1] + 1, before[1] + other - shift + 1)  # past the chain's end in both
+            if start > last:
+                continue
+            held = before[0] + last - start + 1
+            if other != shift and start - before[1] <= WIDTH + 1:
+                held += sum(word in starts for word in range(before[1] + 1, start))  # windows over the seam
+            best = max(best, (held, last, start, shift, before), key=lambda x: x[0])
+        if shift not in ends or best[0] >= ends[shift][0]:
+            ends[shift] = best
+    held, used = max(ends.values(), key=lambda x: x[0]), []
+    count = held[0]
+    while held is not None:
+        _, last, first, shift, held = held
+        used += [hits[shift, word] for word in range(first, last + 1)]
+    return count, used
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                chunk_windows: int = CHUNK_WINDOWS) -> DataFrame:
     """``keep`` columns, ``item_ids`` (items that the text holds, ascending) and ``share`` (the largest share held).
@@ -229,7 +343,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ke
     keep = keep if keep is not None else ["doc_id"]
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0  # no text has more windows than characters
-    chunks = max(1, -(-total // (4 * chunk_windows)))
+    chunks = max(1, -(-total * 5 // (8 * chunk_windows)))  # windows are held in up to five forms, not two
     out = docs
     for chunk in range(chunks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk) if chunks > 1 else items
