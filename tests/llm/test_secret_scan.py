@@ -49,6 +49,17 @@ def test_novelty_tells_keys_from_names():
     assert not S.novel_spans("nothing sensitive Zx8vQ1mN0pLr7TyU2wEi", [], novelty)
 
 
+def test_values_after_a_name_and_sign_in_one_run():
+    novelty, value = S.Novelty(), "9fK2xQ7LmZ4rT1vW8bY3nC6pD5sG0hJa/+Xe"
+    for name in ("aws_secret_access_key", "private_key", "auth", "pwd", "passphrase", "signature", "https://a.example/x?id=3&access_key", "A=B=pwd"):
+        for tail in ("", "==", "\n", "== rest"):
+            text = f"export {name}={value}{tail}"
+            want = (text.index(value), 3, text.index(value) + len(value) + 2 * tail.startswith("="))
+            assert S.novel_spans(text, S.base_spans(text), novelty) == [want]
+    assert not S.novel_spans(f"export size={value}", [], novelty)
+    assert not S.novel_spans("pwd=example.com/static/images/1", [], novelty)
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = edge.documents(spark)
     out = S.redact_secrets(df, length_col="n_chars")

@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and dictionary-primed zstandard novelty for the rest.
 
 Each candidate is a long run of key characters with a sensitive word shortly
-before it. Its novelty is the number of bytes that it adds to the compressed
+before it; ``name=value`` in one run is cut at the sign, and the name is context
+of the value. Its novelty is the number of bytes that it adds to the compressed
 size of its surroundings, with a compressor primed by a dictionary of common
 code and identifiers. Words, identifiers, paths and repeats of the surroundings
 compress away; a random key does not, and is reported.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}+")
 KINDS = ("assign", "access", "hex", "novel")
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}+")
+INNER, PADDING = re.compile(r"[^=]++"), re.compile(r"={0,2}")
 SENSITIVE = re.compile(r"password|passwd|passphrase|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|signature", re.I | re.A)
 #: What every match of ASSIGN, and of SENSITIVE, holds in lower case: texts without them are not searched.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -76,6 +78,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _candidates(text: str) -> Iterable[tuple[int, int]]:
+    """Spans of long runs of key characters, cut after each ``=`` that isn't padding."""
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        inner = len(text[start:end].rstrip("="))
+        for piece in INNER.finditer(text, start, start + inner):
+            yield piece.start(), end if piece.end() == start + inner else piece.end()
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     """Candidates in a sensitive context that don't compress; none that touches a base span."""
     found = []
@@ -84,19 +95,18 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         return found
     covered = sorted((s, e) for s, _, e in base)
     at = reach = 0
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
+    for start, end in _candidates(text):
         while at < len(covered) and covered[at][0] < end:
             reach = max(reach, covered[at][1])
             at += 1
         if reach > start or not SENSITIVE.search(text, max(0, start - BEFORE), start):
             continue
-        value = m.group().strip(".=-")
+        value = text[start:end].strip(".=-")
         if len(value) < 16 or not re.search(r"[0-9]", value) or not re.search(r"[A-Za-z]", value):
             continue
         if novelty(value, text[max(0, start - AROUND):start], text[end:end + AROUND]) >= NOVELTY:
             start = text.index(value, start)
-            found.append((start, 3, start + len(value)))
+            found.append((start, 3, start + len(value) + len(PADDING.match(text, start + len(value), end).group())))
     return found
 
 
