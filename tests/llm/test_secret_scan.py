@@ -1,6 +1,10 @@
+import base64
 import hashlib
+import random
 import re
 import secrets as noise
+import string
+import uuid
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,6 +64,29 @@ def test_values_after_a_name_and_sign_in_one_run():
     assert not S.novel_spans("pwd=example.com/static/images/1", [], novelty)
 
 
+def test_recall_by_length_and_alphabet():
+    rng, novelty = random.Random(3), S.Novelty()
+    prose = "The main text of a page is kept and its menus are left out, as they tell nothing about the subject that readers came for. " * 2
+    pools = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567",
+             "base64": string.ascii_letters + string.digits + "+/", "letters": string.ascii_letters}
+
+    def draw(kind, n):
+        return "".join(rng.choice(pools[kind]) for _ in range(n))
+
+    kinds = {f"{kind} {n}": (lambda kind=kind, n=n: draw(kind, n)) for kind in pools for n in (16, 32, 64, 128, 300, 600)}
+    kinds["uuid"] = lambda: str(uuid.UUID(int=rng.getrandbits(128), version=4))
+    kinds["jwt"] = lambda: "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9." + ".".join(base64.urlsafe_b64encode(rng.randbytes(n)).decode().strip("=") for n in (90, 32))
+    for kind, make in kinds.items():
+        found = 0
+        for i in range(20):
+            key, (before, after) = make(), (("bearer ", ""), (prose + "the private key is ", f" and {prose}"))[i % 2]
+            found += any(e - s >= 0.9 * len(key) for s, _, e in S.novel_spans(before + key + after, [], novelty))
+        assert found >= (18 if len(make()) > 16 else 16), (kind, found)
+    names = ("application/json/text/html", "UserRepositoryFactoryBuilder", "static/images/assets/scripts", "createElementinnerHTMLtoString",
+             "your_token_here_placeholder", "getElementByIdaddEventListener", "config_settings_environment")
+    assert not [x for x in names if S.novel_spans(f"{prose}the private key is {x} and {prose}", [], novelty)]
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = edge.documents(spark)
     out = S.redact_secrets(df, length_col="n_chars")

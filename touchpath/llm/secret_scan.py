@@ -5,7 +5,11 @@ before it; ``name=value`` in one run is cut at the sign, and the name is context
 of the value. Its novelty is the number of bytes that it adds to the compressed
 size of its surroundings, with a compressor primed by a dictionary of common
 code and identifiers. Words, identifiers, paths and repeats of the surroundings
-compress away; a random key does not, and is reported.
+compress away; a random key does not, and is reported. As a long key, or one of a
+small alphabet, costs fewer bytes a character, the bytes are also held against
+those of noise of the same alphabet, length and separators in the same place;
+there the dictionary goes before the surroundings, so its letters count as well.
+Runs of letters alone are judged by the noise only.
 
 Defined results: a null or empty text has no spans; spans are code points with
 an exclusive end; repeated rows give repeated results; texts are scanned whole,
@@ -15,7 +19,9 @@ whatever their length.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Callable, Iterable
 
 import zstandard
@@ -38,6 +44,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 SENSITIVE_WORDS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "signature")
 
 BEFORE, AROUND = 48, 256  # code points searched for a sensitive word, and taken as surroundings
+NOISE, NOISE_WORDS = 0.88, 0.95  # share of the bytes of noise: in general, and for a candidate with a part that looks like words
 NOVELTY = 0.95  # compressed bytes a byte of the candidate; names made of known words have less, noise 1.0 and more
 
 #: What the compressor knows beforehand.
@@ -54,18 +61,47 @@ abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcde
 your_token_here your-api-key changeme placeholder_value REPLACE_ME example_secret test_password dummy-credential-value""".encode()
 
 
+PART = re.compile(r"[A-Za-z0-9]+")
+WORDS = re.compile(r"[A-Z]{3,}|(?=[A-Za-z]{3})(?:[A-Z]?[a-z]{2,})+")
+ALPHABETS = [(re.compile(f"[{chars}._=/+-]+"), pool) for chars, pool in (
+    ("0-9", "0123456789"), ("0-9a-f", "0123456789abcdef"), ("0-9A-F", "0123456789ABCDEF"), ("A-Z2-7", string.ascii_uppercase + "234567"))]
+
+
+def noise(value: str, seed: int) -> str:
+    """``value`` with random letters and digits of its alphabet."""
+    pool = next((pool for chars, pool in ALPHABETS if chars.fullmatch(value)), None)
+    if pool is None or not re.search(r"[0-9]", value):
+        pool = "".join(p for p in (string.ascii_lowercase, string.ascii_uppercase, string.digits) if not set(p).isdisjoint(value))
+    draw = random.Random(seed)
+    return "".join(draw.choice(pool) if c.isalnum() else c for c in value)
+
+
 class Novelty:
     """Marginal compressed size against surroundings, with the identifiers as dictionary."""
 
     def __init__(self):
         words = zstandard.ZstdCompressionDict(IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compressor = zstandard.ZstdCompressor(level=19, dict_data=words, write_content_size=False, write_checksum=False)
+        self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False, write_checksum=False)
 
     def __call__(self, candidate: str, before: str, after: str) -> float:
         around = (before + "\n" + after).encode("utf-8", "surrogatepass")
         size = lambda data: len(self.compressor.compress(data))
         return (size(around + b"\n" + candidate.encode()) - size(around)) / len(candidate)
 
+    def to_noise(self, candidate: str, before: str, after: str) -> float:
+        """Bytes that the candidate adds, as a share of what noise in its place does."""
+        around = IDENTIFIERS + b"\n" + (before + "\n" + after).encode("utf-8", "surrogatepass") + b"\n"
+        size = lambda value: len(self.plain.compress(around + value.encode()))
+        base = size("")
+        return (size(candidate) - base) / max(sum(size(noise(candidate, seed)) - base for seed in range(3)) / 3, 1)
+
+    def is_key(self, candidate: str, before: str, after: str) -> bool:
+        if re.search(r"[0-9]", candidate) and self(candidate, before, after) >= NOVELTY:
+            return True
+        words = any(WORDS.fullmatch(part) for part in PART.findall(candidate))
+        return self.to_noise(candidate, before, after) >= (NOISE_WORDS if words else NOISE)
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns; failing matches are dropped, not retried."""
@@ -102,9 +138,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         if reach > start or not SENSITIVE.search(text, max(0, start - BEFORE), start):
             continue
         value = text[start:end].strip(".=-")
-        if len(value) < 16 or not re.search(r"[0-9]", value) or not re.search(r"[A-Za-z]", value):
+        if len(value) < 16 or not re.search(r"[A-Za-z]", value):
             continue
-        if novelty(value, text[max(0, start - AROUND):start], text[end:end + AROUND]) >= NOVELTY:
+        if novelty.is_key(value, text[max(0, start - AROUND):start], text[end:end + AROUND]):
             start = text.index(value, start)
             found.append((start, 3, start + len(value) + len(PADDING.match(text, start + len(value), end).group())))
     return found
