@@ -110,3 +110,14 @@ def test_representatives(spark):
     assert out.columns == df.columns
     want = brute_components([(r[0], brute_fingerprint(r[1])) for r in edge.rows()])
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(want.values()))
+
+
+def test_representatives_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in ("ab", "cd", "ef", "gh", "ij")]
+    rows = [(None, texts[0], "a"), (None, texts[1], "b"), (None, texts[1], "c"), (None, texts[2], "d"), (7, texts[2], "e"), (7, texts[3], "f"), (8, texts[3], "g"),
+            (9, texts[4], "h"), (9, texts[4], "h"), (9, texts[4], None)]
+    kept = {tuple(sorted(map(str, S.representatives(spark.createDataFrame(x, "doc_id long, text string, mark string").repartition(n)).collect())))
+            for x, n in ((rows, 1), (rows[::-1], 3), (rows, 7))}
+    assert len(kept) == 1
+    out = S.representatives(spark.createDataFrame(rows, "doc_id long, text string, mark string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(0, texts[0]), (0, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4])])

@@ -222,9 +222,26 @@ def hex_digits(fp):
 
 
 def representatives(docs: DataFrame, text_col: str = "text", words_in_shingle: int = 3, bits: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id, and one row of an id."""
-    found = stage(near_duplicates(docs, text_col, words_in_shingle, bits), "near-duplicates")
-    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    out = docs.join(best.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    """``docs`` with one row of each component: the first by doc_id (nulls last), fingerprint, hash of the text and of the row.
+
+    Rows meet their component by fingerprint, so neither null nor repeated ids bring components together.
+    """
+    known = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row_hash = F.xxhash64(*known, *[c.isNull() for c in known])  # a null alone leaves the hash as it is
+    text = F.col(f"`{text_col}`")
+    marked = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), row_hash.alias("row_hash"), text.alias("__text"))
+    found = stage(fingerprints(marked, "__text", ["doc_id", "text_hash", "row_hash"], words_in_shingle), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_hash", "row_hash")
+    equal = found.groupBy("doc_id", "fp", "text_hash", "row_hash").count()
+    points = stage(equal.groupBy("fp").agg(F.min(F.struct(order.alias("row"), "count")).alias("first")), "points")
+    groups = components(stage(links(points, bits), "links"))
+    chosen = (points.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
+              .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first")))
+    chosen = stage(chosen.select(F.col("first.row.doc_id").alias("__id"), F.col("first.row.row_hash").alias("__row"),
+                                 (F.col("first.count") > 1).alias("__again")), "representatives")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (row_hash == F.col("__row"))
+    once = docs.join(chosen.where("not __again"), same, "left_semi")
+    if not chosen.where("__again").limit(1).count():
+        return once
+    again = docs.join(chosen.where("__again"), same).dropDuplicates(["__id", "__row"])  # rows equal in all columns
+    return once.union(again.select(*[F.col(f"`{c}`") for c in docs.columns]))
