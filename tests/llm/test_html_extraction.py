@@ -54,3 +54,16 @@ def test_classes_that_start_like_boilerplate_and_wrappers():
     line = " ".join("some words of the article".split() * 8)
     assert extract(f"<body><div class='commentlist'><p>{'hi all ' * 99}</p></div><article>{PARAGRAPH}</article></body>") == line
     assert extract(f"<body><div class='page has-sidebar'><article>{PARAGRAPH}</article><nav>menu</nav></div></body>") == line
+
+
+def test_wrappers_with_a_boilerplate_word_keep_their_article():
+    line = " ".join("some words of the article".split() * 8)
+    skip, copyright = "<a href=#c>Skip to content</a>", "<div>Copyright Example</div>"
+    for wrapper in ("class='content has-sidebar'", "class='post no-comments'", "class='layout-with-menu'", "class=commentary", "id=related-research"):
+        menu = "<div class=menu><a href=1>one</a></div><div class=sidebar>about us</div>"
+        assert extract(f"<body>{skip}<div {wrapper}>{menu}<article>{PARAGRAPH * 2}</article></div>{copyright}</body>") == f"{line}\n{line}"
+        assert extract(f"<body>{skip}<div {wrapper}>{menu}<div>{PARAGRAPH * 2}</div></div>{copyright}</body>") == f"{line}\n{line}"
+        assert extract(f"<body>{skip}<div {wrapper}><main>{PARAGRAPH}</main></div><article>{PARAGRAPH}</article></body>").endswith(f"{line}\n{line}")
+    halves = f"<div class=with-menu>{PARAGRAPH}</div><div class=no-sidebar>{PARAGRAPH}</div>"
+    assert line in extract(f"<body>{skip}{halves}{copyright}</body>")
+    assert extract(f"<body><article>{PARAGRAPH}</article><ol class=comment-list><li><article class=comment><p>{'nice ' * 99}</p></article></ol></body>") == line

@@ -7,7 +7,11 @@ The container with the largest sum of its children's densities holds the main
 text. The smallest density on the path from it to the body is the threshold
 that text beside the path must reach. Elements that by their tag, role or class
 are menus, headers, footers, sidebars, notices, adverts, forms or comments, as
-well as scripts and styles, are left out before densities are taken.
+well as scripts and styles, are left out before densities are taken. An element
+isn't left out for its class if it holds a main element, or if it holds an article
+or most of the page's unlinked text and no article outside such elements holds a
+quarter as much; and classes count for nothing if they would leave out more
+unlinked text than they leave, unless such an article is left.
 
 Defined results: a null or empty page, or one without text, gives an empty
 text; malformed markup (unclosed, stray or deeply nested tags) is repaired as
@@ -21,7 +25,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -50,10 +54,10 @@ NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search d
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "dropped", "by_class", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.items, self.dropped = tag, parent, [], dropped
+        self.tag, self.parent, self.items, self.dropped, self.by_class = tag, parent, [], dropped, False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -65,10 +69,6 @@ def _left_out(tag: str, attributes: str, parent: Node) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id"):
-            words = re.split(r"[^a-z0-9]+", value)
-            if not NOT_MAIN.isdisjoint(words) or any(map(NOT_MAIN_START.match, words)):
-                return True
         if name == "role" and value in NOT_MAIN_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -76,6 +76,53 @@ def _left_out(tag: str, attributes: str, parent: Node) -> bool:
     return False
 
 
+def _boilerplate_class(tag: str, attributes: str) -> bool:
+    if not attributes or tag in ("body", "html", "article", "main"):
+        return False
+    for name, value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            words = re.split(r"[^a-z0-9]+", value.strip("\"'").lower())
+            if not NOT_MAIN.isdisjoint(words) or any(map(NOT_MAIN_START.match, words)):
+                return True
+    return False
+
+
+def _drop_by_class(nodes: list[Node]) -> None:
+    """Leave out the elements with a boilerplate class and all below them, but none that may hold the main text."""
+    flagged = {id(n) for n in nodes if n.by_class and not n.dropped}
+    if not flagged:
+        return
+    unlinked, holds, within = Counter(), defaultdict(set), set()
+    for node in reversed(nodes):  # children follow their parents
+        if node.dropped or node.tag == "a":
+            continue
+        unlinked[id(node)] += sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str))
+        if node.parent is not None:
+            unlinked[id(node.parent)] += unlinked[id(node)]
+            holds[id(node.parent)] |= holds[id(node)]
+            if node.tag in ("article", "main") and unlinked[id(node)]:
+                holds[id(node.parent)].add(node.tag)
+    outside = 0
+    for node in nodes:
+        if id(node) in flagged or node.parent is not None and id(node.parent) in within:
+            within.add(id(node))
+        elif node.tag in ("article", "main") and not node.dropped:
+            outside = max(outside, unlinked[id(node)])
+    total, out = unlinked[id(nodes[0])], set()
+    for node in nodes:
+        if node.parent is not None and id(node.parent) in out:
+            out.add(id(node))
+        elif id(node) in flagged:
+            n, inner = unlinked[id(node)], holds[id(node)]
+            if not ("main" in inner or ("article" in inner or 2 * n > total) and 4 * outside < n):
+                out.add(id(node))
+    removed = sum(unlinked[id(n)] for n in nodes if id(n) in out and id(n.parent) not in out)
+    if 2 * removed > total and 4 * outside < removed:
+        return
+    for node in nodes:
+        node.dropped = node.dropped or id(node) in out
+
+
 def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
     while node is not None:
         if node.tag in tags:
@@ -140,10 +187,10 @@ def parse(page: str, by_class: bool = True) -> list[Node]:
                 top = close(last)
         if name in VOID:
             top.items.append(" ")
-            if name != "hr" or not top.dropped:
-                top.tags += 1
+            top.tags += 1
             continue
         node = Node(name, top, top.dropped or _left_out(name, attributes if by_class else "", top))
+        node.by_class = by_class and _boilerplate_class(name, attributes)
         nodes.append(node)
         top.items.append(node)
         if name in RAW:
@@ -152,6 +199,7 @@ def parse(page: str, by_class: bool = True) -> list[Node]:
             continue
         open_tags[name] += 1
         top = node
+    _drop_by_class(nodes)
     return nodes
 
 
