@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import (decontamination, html_extraction, mixing, pii, quality_rules, secret_scan, simhash_dedup, substring_dedup,
+from touchpath.llm import (collocations, decontamination, html_extraction, mixing, pii, quality_rules, secret_scan, simhash_dedup, substring_dedup,
                            token_counts, url_filter)
 from touchpath.llm.common import stage
 
@@ -78,7 +78,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (counted.n_tokens > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pii, op2_url_filter, op3_quality_rules, op4_mixing, op5_simhash_dedup, op6_html_extraction, op7_decontamination, op8_secret_scan,
-        op9_substring_dedup, op10_token_counts)}
+        op9_substring_dedup, op10_token_counts, op12_collocations)}
