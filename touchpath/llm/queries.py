@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import (collocations, decontamination, html_extraction, mixing, pii, quality_rules, secret_scan, simhash_dedup, substring_dedup,
-                           token_counts, url_filter)
+from touchpath.llm import (alignment, collocations, decontamination, html_extraction, mixing, pii, quality_rules, secret_scan, simhash_dedup,
+                           substring_dedup, token_counts, url_filter)
 from touchpath.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1_024
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -83,7 +84,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens by two tokenizers, and how common the links are."""
+    import public_tokenizers
+
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER_TOKENIZER))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pii, op2_url_filter, op3_quality_rules, op4_mixing, op5_simhash_dedup, op6_html_extraction, op7_decontamination, op8_secret_scan,
-        op9_substring_dedup, op10_token_counts, op12_collocations)}
+        op9_substring_dedup, op10_token_counts, op12_collocations, op13_token_alignment)}
