@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchpath.llm import (alignment, collocations, decontamination, html_extraction, mixing, pii, quality_rules, secret_scan, simhash_dedup,
-                           substring_dedup, token_counts, url_filter)
+                           substring_dedup, token_counts, toxicity, url_filter)
 from touchpath.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,6 +80,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (counted.n_tokens > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest phrases of two and three words of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -94,4 +102,4 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pii, op2_url_filter, op3_quality_rules, op4_mixing, op5_simhash_dedup, op6_html_extraction, op7_decontamination, op8_secret_scan,
-        op9_substring_dedup, op10_token_counts, op12_collocations, op13_token_alignment)}
+        op9_substring_dedup, op10_token_counts, op11_toxicity, op12_collocations, op13_token_alignment)}
