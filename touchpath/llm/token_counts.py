@@ -16,22 +16,37 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
+from tokenizers.pre_tokenizers import ByteLevel
 
 from touchpath.llm.common import BINARY, LONG, field, map_text
 
-#: Fixed value: the public split pattern of byte-level BPE.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-#: The same for texts of ASCII characters alone.
-SPLIT_ASCII = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+#: Fixed value: the public split pattern of byte-level BPE, for texts whose characters stand for their class (see ``Classes``).
+SPLIT = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
 NEVER = 1 << 30
-SPACES = regex.compile(r"\s\s").search
+SPACES = re.compile(r"\s\s").search
+
+
+class Classes(dict):
+    """What a character is to the library's split: an ASCII character of its class, for ``str.translate``.
+
+    Letters, numbers and white space differ between Unicode versions, so each
+    character that isn't printable ASCII is asked of the library itself once.
+    """
+
+    def __init__(self):
+        super().__init__((c, c) for c in range(32, 127))
+        self.pieces = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+
+    def __missing__(self, code: int) -> int:
+        joins = (shown for beside, shown in (("a", "Z"), ("1", "0"), ("#", "#")) if len(self.pieces(beside + chr(code))) == 1)
+        self[code] = found = ord(next(joins, "\t" if code != 10 else "\n"))
+        return found
 
 
 def load_vocabulary(path: str) -> tuple[dict[tuple[bytes, bytes], int], list[str]]:
@@ -61,8 +76,8 @@ class PrefixCounter:
         for token, i in ids.items():
             self.ends.add_word(token.decode("latin-1"), i)
         self.ends.make_automaton()
-        self.split, self.split_ascii = regex.compile(SPLIT).findall, re.compile(SPLIT_ASCII).findall
-        self.specials = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
+        self.split, self.classes = re.compile(SPLIT).findall, Classes()
+        self.specials = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.seams: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
 
@@ -139,21 +154,27 @@ class PrefixCounter:
         return known
 
     def plain(self, text: str) -> bytes:
-        pieces, deltas = (self.split_ascii if text.isascii() else self.split)(text), self.deltas
+        shown, deltas = text.translate(self.classes), self.deltas
+        shapes = self.split(shown)
+        if shown == text:
+            pieces = shapes
+        else:
+            ends = list(accumulate(map(len, shapes)))
+            pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
         known = list(map(self.cache.get, pieces))
         if None in known:
             known = [k if k is not None else deltas(p) for k, p in zip(known, pieces)]
         store = b"".join(known)
-        if SPACES(text):
-            store = self._spaces(pieces, bytearray(store))
+        if SPACES(shown):
+            store = self._spaces(pieces, shapes, bytearray(store))
         return bytes(store)
 
-    def _spaces(self, pieces: list[str], store: bytearray) -> bytes:
+    def _spaces(self, pieces: list[str], shapes: list[str], store: bytearray) -> bytes:
         """In a run of white space that the next pre-token cuts, a prefix ends in the whole run."""
         at = 0
-        for piece, after in zip(pieces, [*pieces[1:], ""]):
+        for piece, shape, after, next_shape in zip(pieces, shapes, [*pieces[1:], ""], [*shapes[1:], ""]):
             size = len(piece.encode())
-            if piece[-1].isspace() and piece.isspace() and after and after[0].isspace():
+            if shape.isspace() and next_shape and next_shape[0].isspace():
                 run = piece + after[0]
                 end, whole = at + len(run.encode()), self.prefixes(run.encode())
                 normal = np.frombuffer(bytes(store[at:end]), np.int8).sum()
