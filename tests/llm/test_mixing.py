@@ -60,9 +60,20 @@ def test_hot_source_many_levels(spark, fan):
     assert sorted(map(key, out)) == sorted(map(key, again))
     taken = check(out, [(i, "w " * n, s) for i, s, n in rows])
     for (size, target), words in taken.items():
-        assert abs(words - target) <= 40  # a repeated unit in part is rounded row by row
+        assert abs(words - target) <= 1
     whole = [r for r in out if r.size]
-    assert sum(r.taken % r.size != 0 for r in whole) <= 5 + 30  # one unit of each source at most is taken in part
+    assert sum(r.taken % r.size != 0 for r in whole) <= 5  # one row of each source at most is taken in part
+
+
+@pytest.mark.parametrize("repeats", [65_536, 7])
+@pytest.mark.parametrize("rows", [[(7, "s", 1)] * 1_000, [(7, "s", 3)] * 333 + [(None, "s", 5)] * 101, [(None, "s", 2)] * 64 + [(1, "t", 9)] * 3])
+def test_repeated_rows_meet_the_target(spark, monkeypatch, rows, repeats):
+    monkeypatch.setattr(mixing, "REPEATS", repeats)
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(3)).collect()
+    taken = check(out, [(i, "w " * n, s) for i, s, n in rows])
+    for (_, target), words in taken.items():
+        assert abs(words - target) <= 1
+    assert len(out) == len(rows) and all(r.taken <= 2 * r.size for r in out)
 
 
 def test_copies_are_unbiased(spark):

@@ -15,9 +15,11 @@ Only column expressions are used. Chances come from hashes of the documents, so
 reruns agree.
 
 Defined results: a null or empty text has size 0 and is taken 0 times its
-words; null sources are one source, last in order; rows that repeat a source,
-id and size are one unit of that many rows and share its copies; an empty table
-gives an empty result; null ids are rows like others.
+words; null sources are one source, last in order; rows that repeat a source, id and
+size are one unit: its whole copies are dealt over its rows at once and only one
+of them can be left as a fraction, so a unit of any number of rows moves the mix
+by less than one document; an empty table gives an empty result; null ids are
+rows like others.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from touchpath.llm.common import WORD, stage
 from touchpath.session import broadcast_if_small
 
 MAX_BROADCAST_SOURCES = 50_000
+REPEATS = 65_536  # rows of one repeated unit that one task writes
 RESULT = ["doc_id", "size", "source_size", "target", "taken"]
 
 
@@ -78,8 +81,8 @@ def _meet(i: Column, x: Column, seed: int) -> Column:
     return _let(F.struct(up.alias("up"), down.alias("down"), (chance * (up + down) < down).alias("rise")), moved)
 
 
-#: An undecided unit: order key, id, words, rows, mass at fraction 1, fraction.
-ITEM = ("k", "doc_id", "size", "rows", "a", "p")
+#: An undecided row: order key, id, words, mass at fraction 1, fraction.
+ITEM = ("k", "doc_id", "size", "a", "p")
 
 
 def _round_block(items: Column, seed: int) -> Column:
@@ -109,11 +112,16 @@ def mix(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     units = (units.join(small.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
              .withColumn("due", due).withColumn("whole", F.floor("due"))
-             .withColumn("p", F.col("due") - F.col("whole")).withColumn("a", (F.col("size") * F.col("rows")).cast("double"))
-             .withColumn("k", F.xxhash64(F.lit(seed), "doc_id", "size")))
-    fixed = (F.col("p") <= 0) | (F.col("size") == 0)
+             # copies due beyond the whole ones to all rows of the unit: full ones for some rows, a fraction for one more
+             .withColumn("more", F.when(F.col("size") == 0, F.lit(0.0)).otherwise((F.col("due") - F.col("whole")) * F.col("rows")))
+             .withColumn("full", F.least(F.floor("more"), F.col("rows"))).withColumn("p", F.col("more") - F.col("full"))
+             .withColumn("a", F.col("size").cast("double")).withColumn("k", F.xxhash64(F.lit(seed), "doc_id", "size")))
+    fixed = (F.col("p") <= 0) | (F.col("full") == F.col("rows"))
     group = ["source", "source_size", "target", "whole"]
-    plain = units.where(fixed).select("doc_id", "size", "rows", "source_size", "target", (F.col("whole") * F.col("size")).alias("taken"))
+    dealt = F.explode(F.array(F.struct(F.col("full").alias("rows"), (F.col("whole") + 1).alias("copies")),
+                              F.struct((F.col("rows") - F.col("full") - F.when(fixed, 0).otherwise(1)).alias("rows"), F.col("whole").alias("copies"))))
+    plain = (units.select("doc_id", "size", "source_size", "target", dealt.alias("d")).where("d.rows > 0")
+             .select("doc_id", "size", F.col("d.rows").alias("rows"), "source_size", "target", (F.col("d.copies") * F.col("size")).alias("taken")))
 
     blocks = F.ceil(F.col("n_units") / F.lit(float(fan)))
     level = units.where(~fixed).select(*group, blocks.cast("long").alias("blocks"), F.pmod(F.col("k"), blocks).cast("long").alias("block"),
@@ -133,12 +141,24 @@ def mix(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     taken = parts[0]
     for part in parts[1:]:
         taken = taken.unionByName(part)
-    return taken.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).select(*RESULT)
+    return _rows(taken)
+
+
+def _rows(counted: DataFrame) -> DataFrame:
+    """Every row of its ``rows``; a unit of very many rows is written by several tasks."""
+    def times(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(1), n.cast("int")))
+
+    few = counted.where(F.col("rows") <= REPEATS).withColumn("row", times(F.col("rows")))
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / F.lit(REPEATS)).cast("int")))
+    many = (counted.where(F.col("rows") > REPEATS).withColumn("part", part).repartition("doc_id", "size", "taken", "part")
+            .withColumn("row", times(F.least(F.lit(REPEATS), F.col("rows") - F.col("part").cast("long") * REPEATS))))
+    return few.select(*RESULT).union(many.select(*RESULT))
 
 
 def _taken(decided: DataFrame, copy: Column) -> DataFrame:
     words = F.round((F.col("whole") + copy) * F.col("u.size")).cast("long")
-    return decided.select(F.col("u.doc_id").alias("doc_id"), F.col("u.size").alias("size"), F.col("u.rows").alias("rows"), "source_size", "target",
+    return decided.select(F.col("u.doc_id").alias("doc_id"), F.col("u.size").alias("size"), F.lit(1).cast("long").alias("rows"), "source_size", "target",
                           words.alias("taken"))
 
 
