@@ -24,7 +24,7 @@ def rule(host, path):
 
 URLS = [None, "", "x", "http://", "HTTP://EXAMPLE.com", "http://EXAMPLE.com/en/", "a://b://c/d?e#f", "https://www.Example.COM/en/x\ny?z", "https://a.www.example.com/en/",
         "https://notexample.com/en/", "https://a.net/fr/1", "http://net/es/", "http://x.org/?a://b.com/", "http://É.Com/É", "http://x.org#/fr/", "http://a.net/frx",
-        "http://b.net/" + "p" * 100_000, "http://x.org/a", "http://x.org/a"]
+        "http://b.net/" + "p" * 100_000, "http://x.org/a", "http://x.org/a", "http://a\x00b.com/x\x00y", "http://\x00", "http://?/a", "http://a.com#/b/c"]
 
 
 @pytest.fixture(scope="module")

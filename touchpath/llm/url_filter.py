@@ -120,7 +120,8 @@ def judge_urls(df: DataFrame, rules: list[Rule], model: tuple[np.ndarray, float]
         def compute(pairs: list[str]) -> list[list]:
             hosts, paths, names, verdicts, scores = [], [], [], [], []
             for pair in pairs:
-                h, _, p = pair.partition("\x00")
+                at = pair.find("/")  # a host holds none, a path starts with one
+                h, p = (pair[:at], pair[at:]) if at >= 0 else (pair, "")
                 slots = grams(h, p)
                 z = weights[slots].sum() / max(len(slots), 1) ** 0.5 + bias
                 score = float(1 / (1 + np.exp(-np.clip(z, -500, 500)))) if h else 0.0
@@ -131,6 +132,6 @@ def judge_urls(df: DataFrame, rules: list[Rule], model: tuple[np.ndarray, float]
 
         return compute
 
-    cut = df.select(*keep, F.concat(F.translate(host, "\x00", ""), F.lit("\x00"), path).alias("__pair"))
+    cut = df.select(*keep, F.concat(host, path).alias("__pair"))
     fields = [field("host", STRING), field("path", STRING), field("rule", STRING), field("verdict", STRING), field("block_score", DOUBLE)]
     return map_text(cut, "__pair", keep, fields, make)
