@@ -159,7 +159,9 @@ def forest(points: np.ndarray, bits: int) -> list[tuple[int, int]]:
 def links(points: DataFrame, bits: int) -> DataFrame:
     """(a, b): fingerprints of one component, enough links to connect each; ``points`` has distinct ``fp``."""
     spark = points.sparkSession
-    sample = points.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
+    share = min(1.0, 0.9 * SAMPLE / max(points.count(), 1))  # by hash before the limit, so no task sends more than its part
+    drawn = points.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(1 << 40)) < int(share * (1 << 40))).limit(SAMPLE)
+    sample = drawn.toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
     nodes = grow(np.sort(sample), bits, SHARD)
     tree = spark.sparkContext.broadcast(nodes)  # at most SAMPLE nodes
 
