@@ -63,13 +63,16 @@ def test_spills_bursts_and_new_ids_change_nothing(spark, monkeypatch):
     whole = found(C.collocations(docs(spark, rows)))
     assert whole == brute(rows)
     assert found(C.collocations(docs(spark, rows), limit=50, max_ids=20)) == whole
+    monkeypatch.setattr(C, "PARTITION", 100)  # many prefix partitions
+    assert found(C.collocations(docs(spark, rows), limit=50, max_ids=20)) == whole
 
 
 def counted(batches):
     out = Counter()
     for b in batches:
         for r in b.to_pylist():
-            out[" ".join(x for x in (r["prefix"], r["last"]) if x)] += r["n"]
+            for phrase, n in zip(*(x.to_pylist() for x in C.unpack(r["run"]))):
+                out[phrase] += n
     return out
 
 
@@ -83,12 +86,23 @@ def test_long_texts_are_cut_into_blocks_without_loss(monkeypatch):
     assert counted(_count(texts, limit=30, max_ids=5)) == want
 
 
-def _count(texts, limit=1_000_000, max_ids=100_000):
-    c = C.Counter(limit, max_ids)
+def _count(texts, limit=1_000_000, max_ids=100_000, partitions=3):
+    c = C.Counter(limit, max_ids, partitions)
     yield from c.add("en", texts)
     yield from c.flush()
 
 
+def test_a_phrase_always_goes_to_one_partition():
+    texts = [t.encode() for t, _ in random_rows(5)]
+    parts = {}
+    for order in (texts, texts[::-1]):
+        for b in _count(order, limit=40, max_ids=9, partitions=5):
+            for r in b.to_pylist():
+                for phrase in C.unpack(r["run"])[0].to_pylist():
+                    assert parts.setdefault(phrase, r["part"]) == r["part"]
+    assert len(set(parts.values())) == 5
+
+
 def test_products_beyond_64_bits(spark):
     big = 9_000_000_000
     df = spark.createDataFrame([(big, big + 1, big * 2), (7, 7, 7)], "a long, l long, r long")

@@ -3,10 +3,11 @@
 Each task counts the phrases of its texts in a HAT-trie of word ids: one level
 of first words, under each a hash container of (second, third) word counts that
 bursts into one container per second word once it is full. When the trie holds
-``limit`` entries, its largest subtrees leave as runs sorted by word id; after
-the last text all do. Spark deals the runs to prefix partitions (language, all
-words but the last, and a salt of the last, so a hot prefix spreads) and merges
-equal phrases there. What reaches the minimum count is all that later steps
+``limit`` entries, its largest subtrees leave as sorted, compressed runs; after
+the last text all do. A run is cut by prefix partition (language, first two
+words, and a salt of the third, so a hot prefix spreads); there are as many
+partitions as the texts have ``PARTITION`` bytes, so each is merged in bounded
+memory at every size. What reaches the minimum count is all that later steps
 read: a phrase that frequent has only parts that are as frequent.
 
 Defined results: null and empty texts hold no words; a null language is
@@ -18,12 +19,15 @@ score and count go to the smaller phrase by UTF-8 bytes.
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +38,12 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BREAK = b"\xff"  # in no UTF-8 text
 _TO_BLOCK = bytes(0xFF if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLOCK = 2 << 20  # bytes of text taken at once
-BURST = 8_192
+BURST = 32_768
 WORD_BITS = 21  # of a word id in a packed key: ids of one trie stay below 2^21
 _LOW = (1 << WORD_BITS) - 1
-RUN_SCHEMA = "lang string, prefix string, last string, n long"
+PARTITION = 8 << 20  # bytes of text whose phrases are merged together
+SALTS = 64
+RUN_SCHEMA = "lang string, part long, run binary"
 
 
 class WordIds(dict):
@@ -45,9 +51,11 @@ class WordIds(dict):
 
     def __init__(self):
         super().__init__({BREAK: 0})
+        self.hashes = [0]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = new = len(self)
+        self.hashes.append(zlib.crc32(word))
         return new
 
 
@@ -154,11 +162,27 @@ def _words(texts: list[bytes]) -> list[bytes]:
     return BREAK.join(texts).translate(_TO_BLOCK).replace(BREAK, b" \xff ").split()
 
 
+def pack(phrases: pa.Array, counts: np.ndarray) -> bytes:
+    """A run as bytes: its length, counts, phrase ends and phrases, compressed together."""
+    ends, data = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset:phrases.offset + len(phrases) + 1], phrases.buffers()[2]
+    body = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data else b""
+    return zstandard.compress(struct.pack("<q", len(phrases)) + counts.tobytes() + np.diff(ends).astype(np.int32).tobytes() + body, 1)
+
+
+def unpack(run: bytes) -> tuple[pa.Array, pa.Array]:
+    """The phrases and counts of a run."""
+    data = zstandard.decompress(run)
+    n, = struct.unpack_from("<q", data)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.int32, n, 8 + 8 * n), dtype=np.int64)])
+    phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[8 + 12 * n:])])
+    return phrases, pa.array(np.frombuffer(data, np.int64, n, 8))
+
+
 class Counter:
     """The tries of one task, by language, and the runs that leave them."""
 
-    def __init__(self, limit: int, max_ids: int):
-        self.limit, self.max_ids = limit, max_ids
+    def __init__(self, limit: int, max_ids: int, partitions: int):
+        self.limit, self.max_ids, self.partitions = limit, max_ids, partitions
         self.tries: dict[str, HatTrie] = {}
         self.totals: dict[str, int] = {}
         self.ids = WordIds()
@@ -203,33 +227,52 @@ class Counter:
     def flush(self) -> Iterator[pa.RecordBatch]:
         for lang, trie in self.tries.items():
             yield from self._run(lang, trie.take(trie.size))
-        langs, totals = list(self.totals), list(self.totals.values())
-        if langs:
-            yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array([""] * len(langs)), pa.array([""] * len(langs)), pa.array(totals)],
-                                             names=["lang", "prefix", "last", "n"])
+        for lang, n in self.totals.items():  # a language's words are the count of the empty phrase
+            yield _rows(lang, [0], [pack(pa.array([b""]), np.array([n], np.int64))])
         self.tries, self.totals, self.ids = {}, {}, WordIds()
 
     def _run(self, lang: str, entries: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """A sorted run: (lang, prefix, last, n) rows; a phrase of one word is its own prefix and has an empty last word."""
+        """The entries sorted and cut by prefix partition."""
         first, rest, counts = entries
+        if not len(first):
+            return
         second, third = rest >> WORD_BITS, rest & _LOW
-        order = np.argsort(first << 2 * WORD_BITS | rest)
+        hashes = np.array(self.ids.hashes, np.uint64)
+        mixed = (hashes[first] * _ODD[0] + hashes[second] * _ODD[1] + (hashes[third] % np.uint64(SALTS)) * _ODD[2])
+        part = ((mixed ^ mixed >> np.uint64(29)) * _ODD[0] >> np.uint64(20)).astype(np.int64) % self.partitions
+        order = np.lexsort((first << 2 * WORD_BITS | rest, part))
         words = pa.array([b"", *islice(self.ids, 1, None)], pa.binary())
-        for at in range(0, len(order), 100_000):
-            part = order[at:at + 100_000]
-            a, b, c = (words.take(pa.array(x[part])) for x in (first, second, third))
-            long = pa.array(third[part] > 0)
-            prefix = pc.if_else(long, pc.binary_join_element_wise(a, b, b" "), a)
-            last = pc.if_else(long, c, b)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), prefix.cast(pa.string()), last.cast(pa.string()), pa.array(counts[part])],
-                                             names=["lang", "prefix", "last", "n"])
+        cuts = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(order))
+        parts, runs, size = [], [], 0
+        for at, to in zip(cuts[:-1], cuts[1:]):
+            a, b, c = (words.take(pa.array(x[order[at:to]])) for x in (first, second, third))
+            double = pc.binary_join_element_wise(a, b, b" ")
+            phrases = pc.if_else(pa.array(third[order[at:to]] > 0), pc.binary_join_element_wise(double, c, b" "),
+                                 pc.if_else(pa.array(second[order[at:to]] > 0), double, a))
+            parts.append(int(part[order[at]]))
+            runs.append(pack(phrases, counts[order[at:to]]))
+            size += len(runs[-1])
+            if size > BLOCK:
+                yield _rows(lang, parts, runs)
+                parts, runs, size = [], [], 0
+        yield _rows(lang, parts, runs)
+
+
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
+
+def _rows(lang: str, parts: list[int], runs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(parts), pa.string()), pa.array(parts, pa.int64()), pa.array(runs, pa.binary())],
+                                      names=["lang", "part", "run"])
 
 
 def phrase_runs(docs: DataFrame, text_col: str, lang: Column, limit: int, max_ids: int) -> DataFrame:
-    """Pre-counted phrases (lang, prefix, last, n) of one to three words; a phrase may stand in several runs."""
+    """(lang, part, run): counted phrases of one to three words; a phrase may stand in several runs of its partition."""
+    size = docs.agg(F.sum(F.octet_length(f"`{text_col}`"))).first()[0] or 0
+    partitions = int(size // PARTITION) + 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        counter = Counter(limit, max_ids)
+        counter = Counter(limit, max_ids, partitions)
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -242,8 +285,8 @@ def phrase_runs(docs: DataFrame, text_col: str, lang: Column, limit: int, max_id
     return docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, RUN_SCHEMA)
 
 
-def phrase_counts(docs: DataFrame, min_count: int, text_col: str = "text", lang: Column | None = None, limit: int = 1_500_000,
-                  max_ids: int = 500_000) -> DataFrame:
+def phrase_counts(docs: DataFrame, min_count: int, text_col: str = "text", lang: Column | None = None, limit: int = 600_000,
+                  max_ids: int = 250_000) -> DataFrame:
     """(lang, phrase, n) of every phrase of one to three words with ``n >= min_count``, and each language's words as phrase ''.
 
     ``limit`` is the entries a task's tries hold before subtrees leave, ``max_ids`` the words before all of them leave.
@@ -251,10 +294,18 @@ def phrase_counts(docs: DataFrame, min_count: int, text_col: str = "text", lang:
     if not 0 < max_ids <= 500_000:
         raise ValueError("max_ids must leave room for the words of one more block")
     runs = phrase_runs(docs, text_col, lang if lang is not None else F.coalesce(F.col("lang"), F.lit("und")), limit, max_ids)
-    dealt = runs.withColumn("salt", F.pmod(F.hash("last"), F.lit(64))).repartition("lang", "prefix", "salt")
-    merged = dealt.groupBy("lang", "prefix", "salt", "last").agg(F.sum("n").alias("n"))
-    phrase = F.when(F.col("last") == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit(" "), "last"))
-    return merged.where((F.col("n") >= min_count) | (F.col("prefix") == "")).select("lang", phrase.alias("phrase"), "n")
+
+    def merge(table: pa.Table) -> pa.Table:
+        merged = None
+        for at in range(0, table.num_rows, 64):
+            parts = [unpack(r.as_py()) for r in table.column("run").slice(at, 64)]
+            held = pa.table({"phrase": pa.chunked_array([p for p, _ in parts]), "n": pa.chunked_array([c for _, c in parts])})
+            merged = (held if merged is None else pa.concat_tables([merged, held])).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+        wanted = merged.filter(pc.or_(pc.greater_equal(merged["n"], min_count), pc.equal(merged["phrase"], pa.scalar(b"", pa.large_binary()))))
+        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * wanted.num_rows, pa.string()),
+                         "phrase": wanted["phrase"].cast(pa.binary()).cast(pa.string()), "n": wanted["n"]})
+
+    return runs.groupBy("lang", "part").applyInArrow(merge, "lang string, phrase string, n long")
 
 
 def collocations(docs: DataFrame, min_count: int = 10, cover_percent: int = 50, scale: int = 1_000_000, top: int = 2_000, **counting) -> DataFrame:
