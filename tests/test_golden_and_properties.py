@@ -114,14 +114,48 @@ def test_exact_medians(spark):
     from decimal import Decimal
     groups = {1: [10.0 ** (i / 20 - 300) for i in range(12_000)], 2: [3.0], 3: [1.0, 1.0, 2.0, 9.0], 4: [7.0] * 500 + [8.0] * 500, 5: [None]}
     rows = [(t, v) for t, vs in groups.items() for v in vs]
-    for bands in (512, 2):
-        got = dict(exact_medians(spark.createDataFrame(rows, "tag int, v double").repartition(5), bands).collect())
+    for margin in (0.0005, 0.4):
+        got = dict(exact_medians(spark.createDataFrame(rows, "tag int, v double").repartition(5), margin).collect())
         assert got == {t: statistics.median(vs) for t, vs in groups.items() if vs != [None]}
     big = [Decimal(f"{10**20 + i}.000000001") for i in range(5)]  # ranks need more digits than a double has
     got = exact_medians(spark.createDataFrame([(0, v) for v in big], "tag int, v decimal(38,9)")).first()
     assert got.median == float(big[2])
 
 
+def test_one_factorisation_equals_a_solve_per_removed_channel(spark):
+    """A thousand states, some of which never convert: each channel's effect against a system without it."""
+    import random
+
+    import numpy as np
+    r, n = random.Random(4), 1_000
+    edges = {(f"c{i}", f"c{r.randrange(n)}"): r.randint(1, 9) for i in range(n) for _ in range(3)}
+    edges |= {("(start)", f"c{r.randrange(n)}"): r.randint(1, 9) for _ in range(40)}
+    edges |= {(f"c{i}", "(conversion)"): r.randint(1, 3) for i in range(0, n, 4)} | {("dead", "dead"): 2, ("c1", "dead"): 1}
+    rows = [(a, b, k, 5.0 * k if b == "(conversion)" else 0.0) for (a, b), k in edges.items()]
+    out = {x.channel_name: x for x in M.markov_removal_effects(
+        spark.createDataFrame(rows, "from_state string, to_state string, nr_transitions bigint, transition_value double").repartition(4)).collect()}
+    names = sorted({x[0] for x in rows})
+    at = {s: i for i, s in enumerate(names)}
+    total = {s: sum(k for a, _, k, _ in rows if a == s) for s in names}
+    q, step = np.zeros((len(names), len(names))), np.zeros(len(names))
+    for a, b, k, _ in rows:
+        if b == "(conversion)":
+            step[at[a]] += k / total[a]
+        else:
+            q[at[a], at[b]] += k / total[a]
+    alive = [i for s, i in at.items() if s != "dead"]
+
+    def start_converts(without=None):
+        left = [i for i in alive if names[i] != without]
+        return np.linalg.solve(np.eye(len(left)) - q[np.ix_(left, left)], step[left])[left.index(at["(start)"])]
+
+    whole = start_converts()
+    for name in ["c0", "c1", "c17", "c500", "c999"]:
+        assert out[name].removal_effect_volume == pytest.approx(1 - start_converts(name) / whole, abs=1e-9)
+        assert out[name].removal_effect_value == pytest.approx(out[name].removal_effect_volume, abs=1e-9)  # all conversions are worth the same
+    assert out["dead"].removal_effect_volume == 0 and "(start)" not in out
+
+
 def test_markov_with_many_states(spark):
     """No bound on states: a long cycle of labels, solved and split by removed channel."""
     n = 40

@@ -1,5 +1,7 @@
 """End-to-end plan (written stages) and report views."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,15 +10,19 @@ from touchpath.operators.stats import PERIMETER_LABELS, perimeter_report
 from touchpath.plans import registry as R
 from touchpath.plans.attribution import T4_ORDER, run_pipeline
 from touchpath.session import checkpoint_dir
+from touchpath.sinks.versioned import read_current
 from touchpath.sources.testdata import FIXTURE_WINDOWS, fixture_categories
 
+# the fixture holds sessions with two flags
+REPORTING = dataclasses.replace(R.CHAIN_CFG, on_violation="report")
+
 
 def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
 def test_run_pipeline_matches_stage_queries(spark, tmp_dir):
-    out = run_pipeline(spark, R.ga4(spark, SF_SMALL), fixture_categories(spark), FIXTURE_WINDOWS, R.CHAIN_CFG,
+    out = run_pipeline(spark, R.ga4(spark, SF_SMALL), fixture_categories(spark), FIXTURE_WINDOWS, REPORTING,
                        R.EVENTS_CFG, stage_dir=tmp_dir, output_dir=f"{tmp_dir}/out")
     assert rows(out["attribution_events"]) == rows(R.t3(spark, SF_SMALL))
     assert rows(out["chains_base"]) == rows(R.t4(spark, SF_SMALL))
@@ -26,18 +32,18 @@ def test_run_pipeline_matches_stage_queries(spark, tmp_dir):
     total = res.agg(F.sum("markov_volume")).first()[0]
     assert total == pytest.approx(out["paths"].agg(F.sum("nr_chains")).first()[0])
     # results, report and chains are written
-    table = spark.read.parquet(f"{tmp_dir}/out/attribution_results")
+    table = read_current(spark, f"{tmp_dir}/out/attribution_results")
     assert table.count() == 19 and table.select("_run_date").distinct().count() == 1
     assert spark.read.parquet(f"{tmp_dir}/out/report/Perimeter").count() == len(PERIMETER_LABELS)
     assert spark.read.parquet(f"{tmp_dir}/out/report/Attribution").count() == 19
-    assert spark.read.parquet(f"{tmp_dir}/out/preprocessed_chains").count() == out["chains"].count()
+    assert read_current(spark, f"{tmp_dir}/out/preprocessed_chains").count() == out["chains"].count()
     # written stages are re-read from storage, not recomputed
-    assert spark.read.parquet(f"{tmp_dir}/attribution_chains_base").count() == out["chains_base"].count()
+    assert read_current(spark, f"{tmp_dir}/attribution_chains_base").count() == out["chains_base"].count()
 
 
 def test_t4_files_are_sorted(spark, tmp_dir):
-    run_pipeline(spark, R.ga4(spark, SF_SMALL), fixture_categories(spark), FIXTURE_WINDOWS, R.CHAIN_CFG, R.EVENTS_CFG, stage_dir=tmp_dir)
-    t4 = spark.read.parquet(f"{tmp_dir}/attribution_chains_base")
+    run_pipeline(spark, R.ga4(spark, SF_SMALL), fixture_categories(spark), FIXTURE_WINDOWS, REPORTING, R.EVENTS_CFG, stage_dir=tmp_dir)
+    t4 = read_current(spark, f"{tmp_dir}/attribution_chains_base")
     by_file = {}
     for r in t4.select(F.input_file_name().alias("f"), *T4_ORDER).collect():
         by_file.setdefault(r["f"], []).append(tuple(r)[1:])

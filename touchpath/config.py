@@ -65,8 +65,22 @@ class ChainConfig:
     # 'raw' reproduces the shipped driver (concatenation of unmerged chains);
     # 'merged' concatenates the merged chains instead.
     concat_input: str = "raw"
+    # 'raise' stops a run on a violated check (Q1-Q6), 'report' goes on.
+    on_violation: str = "raise"
+
+    @property
+    def window_days(self) -> int:
+        """Days whose chains stand in front of a conversion's own; 0 without concatenation."""
+        return self.concat_within_days if self.concat_chains else 0
+
+    @property
+    def merges(self) -> bool:
+        """Whether the final chains are made from merged ones."""
+        return not self.concat_chains or self.concat_input == "merged"
 
     def __post_init__(self):
+        if self.on_violation not in ("raise", "report"):
+            raise ValueError("on_violation must be 'raise' or 'report'")
         if self.concat_input not in ("raw", "merged"):
             raise ValueError("concat_input must be 'raw' or 'merged'")
 
@@ -90,3 +104,8 @@ class MediaConfig:
     years: tuple[tuple[str, dt.date, dt.date], ...]
     channels: tuple[MediaChannel, ...] = field(default_factory=tuple)
     date_col: str = "week_end_date"
+
+    @property
+    def csv_columns(self) -> list[str]:
+        """The date and the columns of all channels, in order of the channels."""
+        return [self.date_col, *[f"{c.prefix}_{sub}_{split}" for c in self.channels for sub in c.subchannels for split in c.splits]]

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchpath.functions.dates import months_and_days_between, ts_to_micros, utc_date
-from touchpath.session import stage
 
 T5_COLUMNS = ["customer_id", "conversion_id", "conversion_timestamp", "chain", "first_event",
               "purchase_date", "purchase_value", "chain_no"]
@@ -26,63 +25,72 @@ def to_customer_rows(t4: DataFrame) -> DataFrame:
             .withColumnRenamed("session_revenue_usd", "session_revenue"))
 
 
-def _running_count_before(flag: str, partition: list, order: list):
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(F.col(flag)).over(w), F.lit(0)).cast("bigint")
+def _running_before(value, window):
+    """Sum of the window's earlier rows."""
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint")
 
 
-def session_chain_numbers(rows: DataFrame) -> DataFrame:
-    """Per (customer, session): its touches, whether it closes a chain, its chain number.
+def numbered_sessions(t4: DataFrame) -> DataFrame:
+    """Per (customer, session): its channels, whether it closes a chain, its chain number and what comes before it.
 
     Rows are ordered by (first_event_timestamp, session_id, event_timestamp,
     channel_group) (D10), so each session is contiguous and a chain closes on
     the last row of a session whose flag is 1. T4 has one row per (session,
-    channel), so a session's touch list is bounded by the number of channels.
-    The chain number is the count of closing sessions before the session,
-    computed as a two-level prefix sum over hour buckets of the session start:
-    closings in earlier hours (window over one row per customer-hour, at most
-    24 per day of the lookback range) plus closings earlier in the same hour
-    (window per customer-hour), so no window spans a customer's history.
+    channel), so a session's channels are bounded by their number.
+    The chain number is the count of closing sessions before the session, and
+    ``touches_before`` the customer's touches before it. Both are two-level
+    prefix sums over hour buckets of the session start: sums of earlier hours
+    (window over one row per customer-hour, at most 24 per day of the lookback
+    range) plus sums earlier in the same hour (window per customer-hour), so no
+    window spans a customer's history. ``previous`` is the session before, found
+    the same way: the one before in its hour, or the last of the hour before.
     Hours are whole numbers since the epoch: no session time zone is involved.
     """
+    rows = to_customer_rows(t4)
     last = F.max_by(F.struct("f_purchased", "last_event_timestamp", "session_revenue"),
                     F.struct("event_timestamp", "channel_group"))
     sess = (rows.groupBy("customer_id", "session_id")
             .agg(F.min("first_event_timestamp").alias("first_ts"), last.alias("last"),
-                 F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"))
+                 F.array_sort(F.collect_list(F.struct("event_timestamp", "channel_group"))).alias("items"),
+                 (F.min(utc_date("last_event_timestamp")) < F.max(utc_date("last_event_timestamp"))).alias("mixed_dates"),
+                 (F.min("f_purchased") < F.max("f_purchased")).alias("mixed_flags"))
             .withColumn("closes", F.when(F.col("last.f_purchased") == 1, 1).otherwise(0))
+            .withColumn("channels", F.col("items.channel_group")).drop("items")
+            .withColumn("end", F.struct("first_ts", "session_id", F.element_at("channels", -1).alias("channel"), "closes"))
             .withColumn("bucket", F.floor(ts_to_micros("first_ts") / F.lit(3_600_000_000))))
-    sess = stage(sess, "sessions")  # read by the per-hour counts and by the numbering
-    per_bucket = (sess.groupBy("customer_id", "bucket").agg(F.sum("closes").alias("n_bucket"))
-                  .withColumn("offset", _running_count_before("n_bucket", ["customer_id"], ["bucket"]))
-                  .drop("n_bucket"))
-    local = _running_count_before("closes", ["customer_id", "bucket"], ["first_ts", "session_id"])
-    return (sess.withColumn("local", local)
-            .join(per_bucket, ["customer_id", "bucket"])
-            .select("customer_id", "session_id", "first_ts", "closes", "last", "items",
-                    (F.col("offset") + F.col("local")).alias("chain_no")))
+    by_hour = Window.partitionBy("customer_id").orderBy("bucket")
+    hours = (sess.groupBy("customer_id", "bucket")
+             .agg(F.sum("closes").alias("n_closes"), F.sum(F.size("channels")).alias("n_touches"), F.max("end").alias("tail"))
+             .select("customer_id", "bucket", F.lag("tail").over(by_hour).alias("before"),
+                     _running_before("n_closes", by_hour).alias("closes_before"), _running_before("n_touches", by_hour).alias("hour_touches")))
+    in_hour = Window.partitionBy("customer_id", "bucket").orderBy("first_ts", "session_id")
+    local = sess.select("*", _running_before("closes", in_hour).alias("n"), _running_before(F.size("channels"), in_hour).alias("t"),
+                        F.lag("end").over(in_hour).alias("p"))
+    return (local.join(hours, ["customer_id", "bucket"])
+            .select("customer_id", "session_id", "first_ts", "closes", "last", "channels", "mixed_dates", "mixed_flags", (F.col("closes_before") + F.col("n")).alias("chain_no"),
+                    (F.col("hour_touches") + F.col("t")).alias("touches_before"), F.coalesce("p", "before").alias("previous")))
 
 
 def conversion_chains(t4: DataFrame) -> DataFrame:
     """T4 -> T5, one row per closed chain (an unclosed tail is dropped).
 
     ``first_event`` is the date of the chain's first session start; id,
-    timestamp, date and value come from the closing session.
+    timestamp, date and value come from the closing session. The chain is one
+    array, as the table holds it; ``units`` has the same chains as long rows.
     """
-    sess = session_chain_numbers(to_customer_rows(t4))
+    sess = numbered_sessions(t4)
     closing = F.when(F.col("closes") == 1, F.struct("session_id", "last"))
     grouped = sess.groupBy("customer_id", "chain_no").agg(
-        F.array_sort(F.collect_list(F.struct("first_ts", "session_id", "items"))).alias("parts"),
+        F.array_sort(F.collect_list(F.struct("first_ts", "session_id", "channels"))).alias("parts"),
         F.min("first_ts").alias("first_ts"),
         F.max(closing).alias("closing"),
     ).where(F.col("closing").isNotNull())
     end_ts = F.col("closing.last.last_event_timestamp")
-    chain = F.flatten(F.transform("parts", lambda p: F.transform(p["items"], lambda i: i["channel_group"])))
     return grouped.select(
         "customer_id",
         F.concat(F.col("closing.session_id"), F.lit("."), F.replace(utc_date(end_ts).cast("string"), F.lit("-"), F.lit(""))).alias("conversion_id"),
         end_ts.alias("conversion_timestamp"),
-        chain.alias("chain"),
+        F.flatten("parts.channels").alias("chain"),
         utc_date("first_ts").alias("first_event"),
         utc_date(end_ts).alias("purchase_date"),
         F.col("closing.last.session_revenue").alias("purchase_value"),

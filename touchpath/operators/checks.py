@@ -1,8 +1,12 @@
-"""Q1-Q6: data-quality checks as violation DataFrames (empty means the check passes)."""
+"""Q1-Q6: data-quality checks as violation DataFrames (empty means the check passes), and as gates of a run.
+
+A gate is a count of violations that the write of a stage takes as it goes
+(``DataFrame.observe``), so a run is stopped without another scan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchpath.functions.dates import utc_date
@@ -50,3 +54,35 @@ def check_merge_unique(merged: DataFrame) -> DataFrame:
 def check_concat_unique(concatenated: DataFrame) -> DataFrame:
     """Q6: conversion ids assigned to several concatenated chains."""
     return _duplicate_ids(concatenated)
+
+
+class QualityError(ValueError):
+    """A stage breaks a data-quality check."""
+
+
+def raise_violations(counts: dict[str, int]) -> None:
+    """Stop on the checks of a stage that counted violations."""
+    broken = {name: n for name, n in counts.items() if n}
+    if broken:
+        raise QualityError(", ".join(f"{name}: {n}" for name, n in sorted(broken.items())))
+
+
+def session_gates() -> dict[str, Column]:
+    """Q2, Q3 over ``numbered_sessions``."""
+    return {"sessions with several dates (Q2)": F.count_if("mixed_dates"), "sessions with several flags (Q3)": F.count_if("mixed_flags")}
+
+
+def base_gates() -> dict[str, Column]:
+    """Q1 over T4."""
+    return {"touchpoints without a channel (Q1)": F.count_if(F.col("channel_group").isNull())}
+
+
+def with_id_counts(heads: DataFrame) -> DataFrame:
+    """Conversions with how many share their id."""
+    return heads.withColumn("same_id", F.count(F.lit(1)).over(Window.partitionBy("conversion_id")))
+
+
+def id_gates(check: str) -> dict[str, Column]:
+    """Q4-Q6 over conversions ``with_id_counts``. A converted session closes one chain, so Q4 is that ids are unique and known."""
+    return {f"conversion ids of several chains ({check})": F.count_if(F.col("same_id") > 1),
+            f"conversions without an id ({check})": F.count_if(F.col("conversion_id").isNull())}

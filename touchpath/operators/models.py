@@ -76,57 +76,64 @@ def markov_probabilities(transitions: DataFrame) -> DataFrame:
     return transitions.select("from_state", "to_state", (F.col("nr_transitions") / total).alias("probability"))
 
 
-_SCENARIO_SCHEMA = T.StructType([
-    T.StructField("channel_name", T.StringType()), T.StructField("p_conversion", T.DoubleType()), T.StructField("e_value", T.DoubleType())])
+EFFECTS = ["channel_name", "removal_effect_volume", "removal_effect_value", "markov_volume", "markov_value"]
+_EFFECTS_SCHEMA = T.StructType([T.StructField(c, T.StringType() if c == "channel_name" else T.DoubleType()) for c in EFFECTS])
 
 
-def _solve_scenario(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Conversion probability and expected value of the chain without one channel (none removed: NULL).
+def _can_convert(edges: pd.DataFrame) -> set[str]:
+    """States from which the conversion can be reached: without the others, ``I - Q`` has an inverse."""
+    into = edges.groupby("to_state")["from_state"].agg(list).to_dict()
+    found, work = set(), [CONVERSION]
+    while work:
+        for state in into.get(work.pop(), ()):
+            if state not in found:
+                found.add(state)
+                work.append(state)
+    return found
+
+
+def _solve(edges: pd.DataFrame) -> pd.DataFrame:
+    """Effects of all channels from one factorisation of ``I - Q``.
 
     With Q the transient-to-transient probabilities, r the probability of
-    stepping to conversion and rv the conversion value per visit,
-    ``(I - Q) f = r`` gives conversion probabilities and ``(I - Q) g = rv``
-    expected values. Removing a channel zeroes its row and column without
-    renormalising (lost mass goes to the null state).
+    stepping to conversion and rv the conversion value per visit, ``f = G r``
+    and ``g = G rv`` with ``G = (I - Q)^-1`` are conversion probability and
+    expected value from each state. Removing a channel sends its visitors to the
+    null state, which is a rank-one change: of the start's ``f``, the paths
+    through channel k are ``G[start, k] / G[k, k] * f[k]`` (the chance to reach k
+    times what follows), so no channel needs a solve of its own.
     """
-    removed = pdf["removed"].iloc[0]
-    total = pdf.groupby("from_state")["nr_transitions"].transform("sum")
-    left = pdf.assign(p=pdf["nr_transitions"] / total, v=pdf["transition_value"] / total)
-    left = left[(left["from_state"] != removed) & (left["to_state"] != removed)]
-    states = {s: i for i, s in enumerate(sorted({START, *left["from_state"], *left["to_state"]} - {CONVERSION}))}
-    q, r = np.zeros((len(states), len(states))), np.zeros((len(states), 2))
-    for edge in left.itertuples(index=False):
-        if edge.to_state == CONVERSION:
-            r[states[edge.from_state]] += edge.p, edge.v
-        else:
-            q[states[edge.from_state], states[edge.to_state]] += edge.p
-    found = np.linalg.lstsq(np.eye(len(states)) - q, r, rcond=None)[0][states[START]]
-    return pd.DataFrame({"channel_name": [removed], "p_conversion": [found[0]], "e_value": [found[1]]})
+    total = edges.groupby("from_state")["nr_transitions"].transform("sum")
+    edges = edges.assign(p=edges["nr_transitions"] / total, v=edges["transition_value"] / total)
+    channels = sorted(set(edges["from_state"]) - {START})
+    kept = _can_convert(edges[edges["nr_transitions"] > 0]) | {START}
+    states = {s: i for i, s in enumerate(sorted(kept))}
+    ends = edges[edges["to_state"] == CONVERSION]
+    inner = edges[edges["from_state"].isin(kept) & edges["to_state"].isin(kept - {CONVERSION})]
+    at = lambda names: names.map(states).to_numpy()
+    left, step = np.eye(len(states)), np.zeros((len(states), 2))
+    np.subtract.at(left, (at(inner["from_state"]), at(inner["to_state"])), inner["p"].to_numpy())
+    np.add.at(step, at(ends["from_state"]), ends[["p", "v"]].to_numpy())
+    inverse = np.linalg.inv(left)
+    found, start = inverse @ step, states[START]
+    places = np.array([states.get(c, -1) for c in channels], int)
+    lost = np.where(places[:, None] >= 0, (inverse[start, places] / np.diag(inverse)[places])[:, None] * found[places], 0.0)
+    whole = found[start]
+    effect = np.divide(lost, whole, out=np.zeros_like(lost), where=whole != 0)
+    sums = effect.sum(axis=0)
+    share = np.divide(effect, sums, out=np.zeros_like(effect), where=sums != 0) * ends[["nr_transitions", "transition_value"]].sum().to_numpy()
+    return pd.DataFrame(dict(zip(EFFECTS, [channels, *effect.T, *share.T])))
 
 
 def markov_removal_effects(transitions: DataFrame) -> DataFrame:
     """M6 + M7: removal effects and Markov attribution per channel.
 
-    The transition table has at most (states)^2 rows whatever the number of
-    paths (the heavy, data-sized work is M4's explode + aggregation). Each
-    removed channel is its own group with a copy of that table, so the solves
-    spread over the cluster; their ratios and shares are plain aggregations.
+    The data-sized work is M4's; what is solved here has one row per pair of
+    states, whatever the number of paths (21 states with the classifier's
+    labels). One task inverts a dense matrix of states squared, so a few
+    thousand states are the limit.
     """
-    t = transitions.withColumn("_row", F.lit(1))
-    removed = (t.where(F.col("from_state") != START).groupBy("_row").agg(F.collect_set("from_state").alias("channels"))
-               .select("_row", F.explode(F.concat(F.array(F.lit(None).cast("string")), "channels")).alias("removed")))
-    solved = (t.join(removed, "_row").groupBy("removed")
-              .applyInPandas(lambda _, pdf: _solve_scenario(pdf), _SCENARIO_SCHEMA)).withColumn("_row", F.lit(1))
-    every = Window.partitionBy("_row")
-    whole = [F.max(F.when(F.col("channel_name").isNull(), F.col(c))).over(every) for c in ("p_conversion", "e_value")]
-    effect = [F.coalesce(1 - F.try_divide(F.col(c), w), F.lit(0.0)) for c, w in zip(("p_conversion", "e_value"), whole)]
-    effects = (solved.select("_row", "channel_name", effect[0].alias("removal_effect_volume"), effect[1].alias("removal_effect_value"))
-               .where(F.col("channel_name").isNotNull()))
-    ends = t.where(F.col("to_state") == CONVERSION).groupBy("_row").agg(F.sum("nr_transitions").alias("n"), F.sum("transition_value").alias("v"))
-    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(c).over(every)), F.lit(0.0))
-    return effects.join(ends, "_row").select(
-        "channel_name", "removal_effect_volume", "removal_effect_value",
-        (share("removal_effect_volume") * F.col("n")).alias("markov_volume"), (share("removal_effect_value") * F.col("v")).alias("markov_value"))
+    return transitions.groupBy().applyInPandas(_solve, _EFFECTS_SCHEMA)
 
 
 def markov_attribution(paths: DataFrame) -> DataFrame:

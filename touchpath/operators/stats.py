@@ -91,24 +91,28 @@ def channel_stats(chains: DataFrame) -> DataFrame:
 
 
 def _joined(first: DataFrame, *rest: DataFrame) -> DataFrame:
-    """One-row frames side by side."""
-    out = first.withColumn("_row", F.lit(1))
-    for df in rest:
-        out = out.join(df.withColumn("_row", F.lit(1)), "_row", "left")
-    return out.drop("_row")
+    """One-row frames side by side, the others as scalar subqueries."""
+    held = first.select("*", *[df.select(F.struct("*")).scalar().alias(f"_row{i}") for i, df in enumerate(rest)])
+    return held.select(*first.columns, *[F.col(f"_row{i}")[c].alias(c) for i, df in enumerate(rest) for c in df.columns])
+
+
+def _length(chains: DataFrame):
+    """A chain's number of touches: known, or its array's."""
+    return F.col("chain_len") if "chain_len" in chains.columns else F.size("chain").alias("chain_len")
 
 
 def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
     """One typed row of perimeter metrics (all chains, and multi-touch ones).
 
-    Distinct customers and conversions are counted from one row per id, so no
-    aggregation multiplies rows for several distinct counts, and medians come
-    from ``exact_medians``. The whole row is one lazy plan; ``chains`` is read
-    by several branches, so give it staged. ``perimeter_report`` renders the
+    ``chains`` needs its conversions and their ``chain_len`` alone, no touches
+    (``units.with_prefixes``; else the length of its array). Distinct customers
+    and conversions are counted from one row per id, so no aggregation
+    multiplies rows for several distinct counts, and the four medians come from
+    one ``exact_medians``. The whole row is one lazy plan; ``chains`` is read by
+    several branches, so give it staged. ``perimeter_report`` renders the
     (info, value) sheet.
     """
-    c = chains.select("customer_id", "conversion_id", "first_event", "conversion_timestamp", "purchase_value",
-                      F.size("chain").alias("chain_len"))
+    c = chains.select("customer_id", "conversion_id", "first_event", "conversion_timestamp", "purchase_value", _length(chains))
     multi, value = F.col("chain_len") > 1, F.col("purchase_value").cast("double")
     totals = c.agg(
         F.min("first_event").alias("events_start_date"), F.max("first_event").alias("events_end_date"),
@@ -120,18 +124,20 @@ def perimeter_recap(chains: DataFrame, run_date: dt.date) -> DataFrame:
         F.avg(F.when(multi, value)).alias("multi_tp_mean_conversions_value"),
         F.avg(F.when(multi, F.col("chain_len"))).alias("multi_tp_mean_chain_len"))
 
-    def ids(column: str, name: str) -> DataFrame:
-        per = c.where(F.col(column).isNotNull()).groupBy(column).agg(F.max(F.when(multi, 1)).alias("multi"))
-        return per.agg(F.count(column).alias(f"nr_{name}"), F.count("multi").alias(f"multi_tp_nr_{name}"))
-
-    def medians(column: str, name: str) -> DataFrame:
-        tagged = c.select(F.explode(F.when(multi, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("tag"), F.col(column).alias("v"))
-        return exact_medians(tagged).agg(F.max(F.when(F.col("tag") == 0, F.col("median"))).alias(f"median_{name}"),
-                                         F.max(F.when(F.col("tag") == 1, F.col("median"))).alias(f"multi_tp_median_{name}"))
+    names = {"customer_id": "customers", "conversion_id": "conversions"}
+    id_rows = c.select(F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(col).cast("string").alias("id")) for col, n in names.items()])).alias("i"),
+                       F.when(multi, 1).alias("multi"))
+    once = id_rows.where(F.col("i.id").isNotNull()).groupBy("i").agg(F.max("multi").alias("multi"))
+    distinct = once.agg(*[F.count(F.when(F.col("i.kind") == n, v)).alias(f"{k}nr_{n}") for n in names.values()
+                          for k, v in (("", F.lit(1)), ("multi_tp_", F.col("multi")))])
 
-    row = _joined(totals, ids("customer_id", "customers"), ids("conversion_id", "conversions"),
-                  medians("purchase_value", "conversions_value"), medians("chain_len", "chain_len"))
-    return row.withColumn("run_date", F.lit(run_date)).select(*[c for _, c in PERIMETER_LABELS])
+    # doubles keep the order of values and lengths, and a median is a double
+    kinds = {"conversions_value": value, "chain_len": F.col("chain_len").cast("double")}
+    tagged = F.explode(F.array(*[F.struct(F.lit(f"{k}median_{n}").alias("tag"), F.when(multi | F.lit(k == ""), v).alias("v"))
+                                 for n, v in kinds.items() for k in ("", "multi_tp_")])).alias("t")
+    middle = exact_medians(c.select(tagged).select("t.*")).agg(*[
+        F.max(F.when(F.col("tag") == f"{k}median_{n}", F.col("median"))).alias(f"{k}median_{n}") for n in kinds for k in ("", "multi_tp_")])
+    return _joined(totals, distinct, middle).withColumn("run_date", F.lit(run_date)).select(*[c for _, c in PERIMETER_LABELS])
 
 
 # The labels of the report.
@@ -173,7 +179,8 @@ def chain_summary(rows: DataFrame, raw: DataFrame, merged: DataFrame, final: Dat
 
     Plain counters are one aggregation over the tagged union of the stages.
     Distinct ids collapse to one row per (stage, kind, id) first and are then
-    plainly counted. ``rows`` is T4; give all four staged.
+    plainly counted. ``rows`` is T4; give all four staged. The chains need no
+    touches, their ``chain_len`` is enough.
     """
     def tagged(df, tag, length):
         return df.select(F.lit(tag).alias("stage"), length.alias("chain_len"))
@@ -182,7 +189,7 @@ def chain_summary(rows: DataFrame, raw: DataFrame, merged: DataFrame, final: Dat
     stages = [("raw", raw), ("merged", merged), ("final", final)]
     union = tagged(rows, "input", F.lit(None).cast("int"))
     for tag, df in stages:
-        union = union.unionByName(tagged(df, tag, F.size("chain")))
+        union = union.unionByName(tagged(df, tag, _length(df).cast("int")))
     plain = union.agg(
         F.count(at("input", F.lit(1))).alias("input_rows"), F.count(at("raw", F.lit(1))).alias("nr_chains"),
         F.avg(at("raw", F.col("chain_len"))).alias("avg_chain_len"), F.count(at("merged", F.lit(1))).alias("nr_merged_chains"),
@@ -198,7 +205,7 @@ def chain_summary(rows: DataFrame, raw: DataFrame, merged: DataFrame, final: Dat
     every = ids(rows, "input", "session", "session_id", F.when(F.col("f_converted") == 1, 1)).unionByName(ids(rows, "input", "customer", "cookie_id"))
     for tag, df in stages:
         every = every.unionByName(ids(df, tag, "customer", "customer_id"))
-    every = every.unionByName(ids(final, "final", "conversion", "conversion_id", F.when(F.size("chain") == 1, 1)))
+    every = every.unionByName(ids(final, "final", "conversion", "conversion_id", F.when(_length(final) == 1, 1)))
     once = every.where(F.col("id").isNotNull()).groupBy("stage", "kind", "id").agg(F.max("flag").alias("flag"))
     of = lambda tag, kind, c=F.lit(1): F.count(F.when((F.col("stage") == tag) & (F.col("kind") == kind), c))
     flagged = F.when(F.col("flag") == 1, 1)

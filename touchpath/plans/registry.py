@@ -23,9 +23,10 @@ from touchpath.operators import media as MD
 from touchpath.operators import models as M
 from touchpath.operators import sessions as S
 from touchpath.operators import stats as ST
+from touchpath.operators import units as U
 from touchpath.operators.channels import classify_channels
 from touchpath.operators.events import base_events
-from touchpath.plans.attribution import final_chains
+from touchpath.plans.attribution import chain_units, final_chains
 from touchpath.plans.events_preparation import attribution_events
 from touchpath.session import stage
 from touchpath.sources.ga4 import ga4_scan
@@ -74,8 +75,17 @@ def chains_final(spark, d):
     return final_chains(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG)
 
 
-def weights(spark, d):
-    return M.chain_weights(chains_final(spark, d))
+def units(spark, d):
+    """(conversions, steps) of the final chains, as long rows."""
+    return chain_units(t4(spark, d), CHAIN_CFG)
+
+
+def measures(spark, d):
+    return U.channel_measures(*units(spark, d), CHAIN_CFG.window_days)
+
+
+def transitions(spark, d):
+    return U.transitions_of(*units(spark, d))
 
 
 def paths(spark, d):
@@ -183,14 +193,14 @@ STATS_RATIOS = ["mean_chain_len", "assisted_per_last_touch", "first_per_last_tou
 
 
 def q_channel_stats(spark, d):
-    return _round(ST.channel_stats(chains_final(spark, d)), 6, STATS_RATIOS)
+    return _round(U.stats_of(measures(spark, d)), 6, STATS_RATIOS)
 
 
 PERIMETER_MEANS = [f"{m}{k}_{c}" for m in ("", "multi_tp_") for k in ("mean", "median") for c in ("conversions_value", "chain_len")]
 
 
 def q_perimeter_recap(spark, d):
-    return _round(ST.perimeter_recap(stage(chains_final(spark, d), "chains"), CHAIN_CFG.run_date), 6, PERIMETER_MEANS)
+    return _round(ST.perimeter_recap(units(spark, d)[0], CHAIN_CFG.run_date), 6, PERIMETER_MEANS)
 
 
 SUMMARY_MEANS = ["avg_chain_len", "avg_merged_chain_len", "avg_final_chain_len", "merged_pct", "mono_touch_pct"]
@@ -198,35 +208,44 @@ SUMMARY_MEANS = ["avg_chain_len", "avg_merged_chain_len", "avg_final_chain_len",
 
 def q_chain_summary(spark, d):
     rows = stage(t4(spark, d), "t4")
-    raw = stage(CH.conversion_chains(rows), "raw-chains")
-    merged, final = stage(CH.chain_merge(raw, CHAIN_CFG.merge_gap_days), "merged"), stage(final_chains(raw, CHAIN_CFG), "chains")
-    return _round(ST.chain_summary(rows, raw, merged, final), 6, SUMMARY_MEANS)
+    heads, steps = U.raw_units(stage(CH.numbered_sessions(rows), "sessions"))
+    heads = stage(heads, "heads")
+    size = F.col("own_len").alias("chain_len")
+    merged = stage(U.merged_units(heads, steps, CHAIN_CFG.merge_gap_days)[0], "merged")
+    final = stage(U.with_prefixes(heads, CHAIN_CFG.window_days), "conversions")
+    return _round(ST.chain_summary(rows, heads.select("*", size), merged.select("*", size), final), 6, SUMMARY_MEANS)
+
+
+def q_chain_touches(spark, d):
+    """W1 + W5: every touch of every chain as a row."""
+    sessions = stage(CH.numbered_sessions(t4(spark, d)), "sessions")
+    return U.chain_touches(sessions, U.chain_heads(sessions))
 
 
 def _heur(spark, d, prefix):
-    h = M.heuristic_attribution(weights(spark, d))
+    h = U.heuristics_of(measures(spark, d))
     cols = [f"{prefix}_conversions", f"{prefix}_value"]
     return _round(h.select("channel_name", *cols), 6, cols)
 
 
 def q_markov_transitions(spark, d):
-    return _round(M.markov_transitions(weights(spark, d)), 6, ["transition_value"])
+    return _round(transitions(spark, d), 6, ["transition_value"])
 
 
 def q_markov_probabilities(spark, d):
-    return _round(M.markov_probabilities(M.markov_transitions(weights(spark, d))), 6, ["probability"])
+    return _round(M.markov_probabilities(transitions(spark, d)), 6, ["probability"])
 
 
 MARKOV_COLS = ["removal_effect_volume", "removal_effect_value", "markov_volume", "markov_value"]
 
 
 def q_markov_removal_effects(spark, d):
-    eff = M.markov_removal_effects(M.markov_transitions(weights(spark, d)))
+    eff = M.markov_removal_effects(transitions(spark, d))
     return _round(eff.select("channel_name", "removal_effect_volume", "removal_effect_value"), 4, MARKOV_COLS)
 
 
 def q_attr_markov(spark, d):
-    return _round(M.markov_attribution(weights(spark, d)), 4, MARKOV_COLS)
+    return _round(M.markov_removal_effects(transitions(spark, d)).select("channel_name", "markov_volume", "markov_value"), 4, MARKOV_COLS)
 
 
 HEUR_COLS = ["first_touch_conversions", "first_touch_value", "last_touch_conversions", "last_touch_value",
@@ -234,10 +253,10 @@ HEUR_COLS = ["first_touch_conversions", "first_touch_value", "last_touch_convers
 
 
 def q_attribution_results(spark, d):
-    c = stage(chains_final(spark, d), "chains")  # read by statistics, Markov and heuristics
-    p = M.chain_weights(c)
-    out = M.attribution_results(ST.channel_stats(c), M.markov_attribution(p), M.heuristic_attribution(p),
-                                CHAIN_CFG.run_date)
+    conversions, steps = units(spark, d)
+    m = stage(U.channel_measures(conversions, steps, CHAIN_CFG.window_days), "measures")  # read by statistics and heuristics
+    effects = M.markov_removal_effects(U.transitions_of(conversions, steps))
+    out = M.attribution_results(U.stats_of(m), effects.select("channel_name", "markov_volume", "markov_value"), U.heuristics_of(m), CHAIN_CFG.run_date)
     return _round(_round(out, 4, ["markov_volume", "markov_value"]), 6, HEUR_COLS + STATS_RATIOS)
 
 
@@ -310,6 +329,7 @@ def queries():
         "last_country": q_last_country,
         "chains_base": t4,
         "conversion_chains": lambda s, d: _chains_out(raw_chains(s, d)),
+        "chain_touches": q_chain_touches,
         "chain_merge": q_chain_merge,
         "chain_concatenation": q_chain_concatenation,
         "chain_measures": q_chain_measures,

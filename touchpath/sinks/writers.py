@@ -1,40 +1,43 @@
-"""S3, S6, S7, S9 (+ P12): writers. All writes are distributed Spark writes."""
+"""S3, S6, S7, S9 (+ P12): writers. All writes are distributed Spark writes, seen by readers in one step (``versioned``)."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchpath.sinks.versioned import commit, read_current
+
 
 def create_or_replace(df: DataFrame, path: str, sort_within: list[str] | None = None) -> None:
-    """S3 (+ O1): full refresh of a Parquet table; optional per-file sort, no global sort."""
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.mode("overwrite").parquet(path)
+    """S3 (+ O1): full refresh of a table; optional per-file sort, no global sort."""
+    commit(df.sortWithinPartitions(*sort_within) if sort_within else df, path)
 
 
 def write_chains(chains: DataFrame, path: str) -> None:
     """Preprocessed chains as Parquet; the chain stays a native array column."""
-    chains.write.mode("overwrite").parquet(path)
+    commit(chains, path)
 
 
-def write_results(df: DataFrame, path: str, run_date: dt.date, mode: str = "append") -> None:
-    """S7 + P12: stamp ``_run_date`` and write day-partitioned.
+def write_results(df: DataFrame, path: str, run_date: dt.date, mode: str = "append", run_id: str | None = None) -> None:
+    """S7 + P12: stamp ``_run_date`` and add the run to the table.
 
-    ``append`` adds a run, ``replace_day`` replaces the partition of
-    ``run_date``, ``truncate`` replaces the whole table.
+    ``append`` adds a run (a ``run_id`` that is there already is replaced, so a
+    retry changes nothing), ``replace_day`` replaces all runs of ``run_date``,
+    ``truncate`` replaces the whole table.
     """
-    if mode not in ("append", "replace_day", "truncate"):
+    keep = {"append": lambda e: e.run_id != run_id, "replace_day": lambda e: e.run_date != run_date, "truncate": lambda e: False}
+    if mode not in keep:
         raise ValueError("mode must be 'append', 'replace_day' or 'truncate'")
-    writer = df.withColumn("_run_date", F.lit(run_date)).write.partitionBy("_run_date")
-    how = "dynamic" if mode == "replace_day" else "static"
-    writer.mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", how).parquet(path)
+    run_id = run_id or uuid.uuid4().hex
+    commit(df.withColumn("_run_date", F.lit(run_date)), path, run_date, run_id, keep[mode])
 
 
 def table_size(spark: SparkSession, path: str) -> tuple[int, int]:
     """(rows, columns) of a written table, for the run's log."""
-    table = spark.read.parquet(path)
+    table = read_current(spark, path)
     return table.count(), len(table.columns)
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from typing import Callable
+import hashlib
+import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchpath.operators.checks import raise_violations
+from touchpath.sinks.versioned import commit, entries, read_current
+
 
 def normalise_name(name: str) -> str:
     """``'Session ID'`` -> ``'session_id'`` (lower case, whitespace runs -> '_')."""
@@ -29,38 +33,41 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFr
     return normalise_columns(df)
 
 
-def _mark(spark: SparkSession, path: str, complete: bool) -> None:
-    spark.range(int(complete)).write.mode("overwrite").parquet(f"{path.rstrip('/')}.complete")
-
+def fingerprint(*parts: object) -> str:
+    """A digest of what a stage is made from: configurations by their repr, DataFrames by schema and input files.
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether the last write to ``path`` has finished."""
-    try:
-        return spark.read.schema("id long").parquet(f"{path.rstrip('/')}.complete").count() == 1
-    except AnalysisException:
-        return False
+    Files that Spark writes have names of their own, so a rewritten input has others.
+    """
+    said = [f"{p.schema.json()} {sorted(p.inputFiles())}" if isinstance(p, DataFrame) else repr(p) for p in parts]
+    return hashlib.sha256("\n".join(said).encode()).hexdigest()
 
 
-def materialise(spark: SparkSession, build: Callable[[], DataFrame], path: str, force: bool = False) -> DataFrame:
-    """Write ``build()`` to Parquet once (or when forced), then read it back.
+def materialise(spark: SparkSession, build: Callable[[], DataFrame], path: str, force: bool = False, key: str = "",
+                gates: dict[str, Column] | None = None) -> DataFrame:
+    """Write ``build()`` once (or when forced, or made from something else), then read it back.
 
-    A mark beside the folder is withdrawn before a write and set after it, so a
-    folder whose write was interrupted is built anew. The written copy cuts
-    lineage: later stages re-read shared storage instead of recomputing
-    upstream stages after an executor loss.
+    ``key`` says what the table is made from (``fingerprint``); a table of
+    another key, or one whose write was interrupted, is built anew. ``gates``
+    counts violations while the rows are written: if any isn't zero, the write
+    fails and the table stays as it was. The written copy cuts lineage: later
+    stages re-read shared storage instead of recomputing upstream stages after
+    an executor loss.
     """
-    if force or not _complete(spark, path):
-        _mark(spark, path, False)
-        build().write.mode("overwrite").parquet(path)
-        _mark(spark, path, True)
-    return spark.read.parquet(path)
+    held = entries(spark, path)
+    if force or not held or held[0].run_id != key:
+        df, check = build(), lambda: None
+        if gates:
+            seen = Observation(f"gates-{uuid.uuid4().hex}")
+            df, check = df.observe(seen, *[c.alias(name) for name, c in gates.items()]), lambda: raise_violations(seen.get)
+        commit(df, path, run_id=key, before=check)
+    return read_current(spark, path)
 
 
 def read_weekly_csv(spark: SparkSession, path: str, columns: list[str], date_col: str = "week_end_date",
                     date_format: str = "dd/MM/yyyy") -> DataFrame:
     """Weekly media CSV; the date column is parsed with ``date_format``, numbers as DOUBLE.
 
-    ``columns`` are the file's columns in order (``MediaConfig.csv_columns``, say); a
+    ``columns`` are the file's columns in order (``MediaConfig.csv_columns`` gives a recap's); a
     header that differs is an error when the file is read.
     """
     schema = T.StructType([T.StructField(c, T.StringType() if c == date_col else T.DoubleType()) for c in columns])
