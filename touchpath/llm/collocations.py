@@ -19,6 +19,7 @@ score and count go to the smaller phrase by UTF-8 bytes.
 
 from __future__ import annotations
 
+import gc
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -43,6 +44,7 @@ WORD_BITS = 21  # of a word id in a packed key: ids of one trie stay below 2^21
 _LOW = (1 << WORD_BITS) - 1
 PARTITION = 8 << 20  # bytes of text whose phrases are merged together
 SALTS = 64
+MERGE = 4_000_000  # entries of runs read before they are merged with what is there
 RUN_SCHEMA = "lang string, part long, run binary"
 
 
@@ -272,6 +274,7 @@ def phrase_runs(docs: DataFrame, text_col: str, lang: Column, limit: int, max_id
     partitions = int(size // PARTITION) + 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        gc.disable()  # the tries are many small acyclic dicts, which a full collection would walk again and again
         counter = Counter(limit, max_ids, partitions)
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
@@ -281,8 +284,11 @@ def phrase_runs(docs: DataFrame, text_col: str, lang: Column, limit: int, max_id
             for name, texts in by_lang.items():
                 yield from counter.add(name, texts)
         yield from counter.flush()
+        gc.enable()
 
-    return docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, RUN_SCHEMA)
+    runs = docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, RUN_SCHEMA)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions // 8 + 1)  # tasks grow with the texts, too
+    return runs.repartition(tasks, "lang", "part")
 
 
 def phrase_counts(docs: DataFrame, min_count: int, text_col: str = "text", lang: Column | None = None, limit: int = 600_000,
@@ -296,11 +302,13 @@ def phrase_counts(docs: DataFrame, min_count: int, text_col: str = "text", lang:
     runs = phrase_runs(docs, text_col, lang if lang is not None else F.coalesce(F.col("lang"), F.lit("und")), limit, max_ids)
 
     def merge(table: pa.Table) -> pa.Table:
-        merged = None
-        for at in range(0, table.num_rows, 64):
-            parts = [unpack(r.as_py()) for r in table.column("run").slice(at, 64)]
-            held = pa.table({"phrase": pa.chunked_array([p for p, _ in parts]), "n": pa.chunked_array([c for _, c in parts])})
-            merged = (held if merged is None else pa.concat_tables([merged, held])).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+        merged, held, size = None, [], 0
+        for at, run in enumerate(table.column("run"), 1):
+            held.append(pa.table(unpack(run.as_py()), ["phrase", "n"]))
+            size += held[-1].num_rows
+            if size > MERGE or at == table.num_rows:
+                merged = pa.concat_tables(held).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+                held, size = [merged], 0
         wanted = merged.filter(pc.or_(pc.greater_equal(merged["n"], min_count), pc.equal(merged["phrase"], pa.scalar(b"", pa.large_binary()))))
         return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * wanted.num_rows, pa.string()),
                          "phrase": wanted["phrase"].cast(pa.binary()).cast(pa.string()), "n": wanted["n"]})
@@ -328,8 +336,11 @@ def collocations(docs: DataFrame, min_count: int = 10, cover_percent: int = 50,
     weakest = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     best = (weakest.join(covered, ["lang", "phrase"], "left")
             .where(F.col("longer").isNull() | (F.lit(100) * F.col("longer") < F.lit(cover_percent) * F.col("a"))))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)  # each task passes on its own top only
+    order = [F.desc("cut.score"), F.desc("a"), F.col("phrase")]
+    salted = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(SALTS))).orderBy(*order)  # a common language's tops come from several tasks
+    tops = best.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= top)
+    ranked = (tops.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+              .where(F.col("rank") <= top))
     total = counts.where(F.col("phrase") == "").select("lang", F.col("n"))
     return (ranked.join(total, "lang").select("lang", "rank", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
                                               F.col("cut.score").alias("score")))
