@@ -59,7 +59,7 @@ def test_operator_on_edge_rows(spark):
 
 
 def test_binomial_tail_is_exact():
-    for k, n, p in ((0, 10, 0.01), (3, 50, 0.05), (7, 400, 0.02)):
+    for k, n, p in ((0, 10, 0.01), (3, 50, 0.05), (7, 400, 0.02), (40, 400, 0.02), (9, 10, 0.5), (10, 10, 0.5), (0, 2_000, 0.03)):
         q = Fraction(p).limit_denominator(1000)
         assert abs(Q.binomial_tail(k, n, float(q)) - float(sum(comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(k + 1)))) < 1e-9
 
@@ -80,6 +80,41 @@ def test_cutoffs_keep_their_promise(spark):
         assert r.kept >= 0.95 if r.quality else r.kept <= 0.2
 
 
+def made(spark, goods, bads, lang="en", again=1):
+    """Labelled measures: good documents at 0, bad ones at 0.6 symbols a word; each row ``again`` times."""
+    rows = [(i, lang, False, *[0.6 if i >= goods and r == "symbols_per_word" else 0.0 for r in Q.RULES], int(i < goods)) for i in range(goods + bads)]
+    df = spark.createDataFrame(rows * again, "doc_id long, lang string, base_failed boolean, " + ", ".join(f"{r} double" for r in Q.RULES) + ", quality int")
+    return df, df.select("doc_id", "quality")
+
+
+def test_repeated_rows_and_labels_are_one_trial(spark):
+    few = made(spark, 40, 20)
+    assert Q.select_cutoffs(*few) == {}  # 20 good holdout documents can't rule out a rate of 3 %
+    assert Q.select_cutoffs(*made(spark, 40, 20, again=60)) == {}
+    assert Q.labelled_measures(*made(spark, 40, 20, again=7)).count() == 60
+    assert Q.select_cutoffs(*made(spark, 700, 60)) == {"en": {"symbols_per_word": 0.5}}
+
+
+def test_holm_and_fixed_order_over_strata(spark):
+    """Many good labels in one language, few in another, almost none in a third: each by its own bound."""
+    parts = [made(spark, n, 40, lang) for lang, n in (("en", 2_000), ("es", 330), ("fr", 60))]
+    shift = [(m.withColumn("doc_id", F.col("doc_id") + i * 10_000), q.withColumn("doc_id", F.col("doc_id") + i * 10_000)) for i, (m, q) in enumerate(parts)]
+    measured, labels = shift[0]
+    for m, q in shift[1:]:
+        measured, labels = measured.union(m), labels.union(q)
+    assert set(Q.select_cutoffs(measured, labels)) == {"en", "es"}
+
+
+def test_false_rejections_stop_the_chain(spark):
+    """A rule that looks harmless on the tuning half but rejects good holdout documents isn't certified."""
+    df, labels = made(spark, 900, 80)
+    holdout = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    bad = df.withColumn("shouts_per_word", F.when((F.col("quality") == 0) | (holdout & (F.col("doc_id") % 10 == 0)), F.lit(2.5)).otherwise(F.lit(0.0)))
+    assert Q.rule_chains(Q.labelled_measures(bad, labels).where("not holdout"), 0.01, 0.98)["en"][0][0] in ("shouts_per_word", "symbols_per_word")
+    cut = Q.select_cutoffs(bad, labels)
+    assert "shouts_per_word" not in cut.get("en", {})
+
+
 def test_given_labels_keep_good_documents(spark):
     measured = Q.with_measures(spark.read.parquet(f"{SF_ORACLE}/documents.parquet"), keep=["doc_id", "lang"])
     labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")

@@ -1,24 +1,27 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
 Every document gets a few rule values (high is suspect). Labelled documents are
-split by a hash: on the holdout half, each stratum and rule tests its cutoffs in
-a fixed order, from lenient to strict, and stops at the first that fails. A
-cutoff passes if the exact binomial tail of its false rejections among good
-documents rules out a rate above the rule's share of ``risk``. Fixed-sequence
-testing needs no correction within a rule; over strata and rules the level is
-divided by their number (Bonferroni). So with chance ``1 - level`` no stratum
-loses more than ``risk`` of its good documents to all rules together. The other
-half then picks, among the passed cutoffs, the most lenient that still catches
-nearly all bad documents that the strictest one catches; a rule that catches
-more good than bad ones isn't used.
-
-Only counts by stratum, rule and cutoff reach the driver; their number is fixed
-by the parameters. All labelled documents count.
+split by a hash of their id. The tuning half chooses, per stratum, a cutoff for
+each rule and an order of the rules, from the one that rejects the fewest good
+documents on. That gives one chain of growing rule sets, and the holdout half
+tests the sets in order: a set passes if the exact binomial bound of its false
+rejections among good documents rules out a rate above ``risk``, and the first
+that fails ends the chain. Testing in a fixed order needs no correction within a
+stratum; over the strata Holm's step-down correction is applied: the stratum
+with the smallest bound is tested at ``level`` divided by the number of strata,
+the next at ``level`` divided by one less. So with chance ``1 - level`` no
+stratum loses more than ``risk`` of its good documents to its rules.
+
+Only counts by stratum, rule and cutoff, and by stratum and rule set, reach the
+driver; their number is fixed by the parameters. All labelled documents count,
+each id once: its rule values are the largest of its rows, so repeated rows are
+one trial.
 
 Defined results: null and empty texts have no words and fail the base; a
 stratum other than those named is pooled as "other"; without enough labels no
 cutoff passes and only the base rejects; an id labelled twice counts once, as
-bad if any label says so; repeated documents are judged alike.
+bad if any label says so; null ids have no label; repeated documents are judged
+alike.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import BOOL, DOUBLE, LONG, field, map_text
+from touchpath.llm.common import BOOL, DOUBLE, LONG, field, map_text, stage
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RULES = ("symbols_per_word", "shouts_per_word", "capital_words", "duplicate_lines", "repeated_words")
@@ -90,45 +93,99 @@ def stratum(lang: Column) -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """Exact P(X <= k) of n trials with chance p."""
-    i = np.arange(k + 1)
-    choose = math.lgamma(n + 1) - np.array([math.lgamma(x + 1) + math.lgamma(n - x + 1) for x in i])
-    return float(min(1.0, np.exp(choose + i * math.log(p) + (n - i) * math.log1p(-p)).sum()))
+    """Exact P(X <= k) of n trials with chance p, as a regularised incomplete beta function (Lentz's continued fraction)."""
+    if k >= n:
+        return 1.0
+    a, b, x = n - k, k + 1, 1 - p  # P(X <= k) = I_x(a, b)
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _beta(b, a, p)
+    return _beta(a, b, x)
+
+
+def _beta(a: float, b: float, x: float) -> float:
+    tiny = 1e-300
+    c, d = 1.0, 1 / max(1 - (a + b) * x / (a + 1), tiny)
+    h = d
+    for m in range(1, 100_000):
+        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 + num * d
+            d = 1 / (d if abs(d) > tiny else tiny)
+            c = 1 + num / c
+            c = c if abs(c) > tiny else tiny
+            h *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return min(1.0, math.exp(front) * h / a)
+
+
+def labelled_measures(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """(stratum, good, holdout, rule values) of every labelled id once, of its rows that pass the base."""
+    judged = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return (measured.where(~F.col("base_failed")).select("doc_id", stratum(F.col("lang")).alias("stratum"), *RULES).join(judged, "doc_id")
+            .groupBy("doc_id").agg(F.min("stratum").alias("stratum"), (F.first("quality") > 0).alias("good"), *[F.max(r).alias(r) for r in RULES])
+            .withColumn("holdout", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).drop("doc_id"))
 
 
-def select_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.05, level: float = 0.05, nearly: float = 0.98) -> Cutoffs:
-    """stratum -> rule -> cutoff, for the rules that passed.
+def rule_chains(tuning: DataFrame, spare: float, nearly: float) -> dict[str, list[tuple[str, float]]]:
+    """Per stratum, (rule, cutoff) in the order in which they join the rule set.
 
-    ``measured`` has doc_id, lang and the rule values; ``labels`` doc_id and quality (0 is bad).
+    A rule's cutoff is, among those that reject at most ``spare`` of the good
+    tuning documents, the most lenient that still catches nearly all bad ones
+    that the strictest of them catches; a rule that catches fewer bad than it
+    loses good ones isn't used. Rules that lose less come first.
     """
-    judged = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     grid = F.array(*[F.lit(c) for c in CUTOFFS])
     values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])).alias("v")
-    counted = (measured.where(~F.col("base_failed")).select("doc_id", stratum(F.col("lang")).alias("stratum"), *RULES).join(judged, "doc_id")
-               .select("stratum", (F.col("quality") > 0).alias("good"), (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("holdout"), values)
-               .groupBy("stratum", "good", "holdout", F.col("v.rule").alias("rule"),
-                        F.size(F.filter(grid, lambda c: c < F.col("v.value"))).alias("above")).count().collect())
+    counted = (tuning.select("stratum", "good", values)
+               .groupBy("stratum", "good", F.col("v.rule").alias("rule"), F.size(F.filter(grid, lambda c: c < F.col("v.value"))).alias("above"))
+               .count().collect())
     over: dict[tuple, np.ndarray] = {}
-    for r in counted:  # documents above the first r.above cutoffs
-        row = over.setdefault((r.stratum, r.rule, r.good, r.holdout), np.zeros(len(CUTOFFS) + 1, dtype=np.int64))
+    for r in counted:  # documents above the first r.above cutoffs; the last entry is all of them
+        row = over.setdefault((r.stratum, r.rule, r.good), np.zeros(len(CUTOFFS) + 1, dtype=np.int64))
         row[len(CUTOFFS)] += r["count"]
         row[:r.above] += r["count"]
     none, out = np.zeros(len(CUTOFFS) + 1, dtype=np.int64), {}
-    strata = (*STRATA, "other")
-    for s in strata:
+    for s in (*STRATA, "other"):
+        found = []
         for rule in RULES:
-            good, bad = over.get((s, rule, True, True), none), over.get((s, rule, False, False), none)
-            lost = over.get((s, rule, True, False), none)
-            passed = []
-            for i in reversed(range(len(CUTOFFS))):
-                if not good[-1] or binomial_tail(int(good[i]), int(good[-1]), risk / len(RULES)) > level / (len(strata) * len(RULES)):
-                    break
-                passed.append(i)
-            if not passed or not bad[passed[-1]]:
+            good, bad = over.get((s, rule, True), none), over.get((s, rule, False), none)
+            fair = [i for i in range(len(CUTOFFS)) if good[i] <= spare * good[-1]]
+            if not fair or not bad[fair[0]]:
                 continue
-            chosen = next(i for i in passed if bad[i] >= nearly * bad[passed[-1]])
-            if bad[chosen] > lost[chosen]:
-                out.setdefault(s, {})[rule] = CUTOFFS[chosen]
+            chosen = max(i for i in fair if bad[i] >= nearly * bad[fair[0]])
+            if bad[chosen] > good[chosen]:
+                found.append((good[chosen] / max(good[-1], 1), -int(bad[chosen]), rule, CUTOFFS[chosen]))
+        if found:
+            out[s] = [(rule, cutoff) for _, _, rule, cutoff in sorted(found)]
+    return out
+
+
+def select_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.03, level: float = 0.05, nearly: float = 0.98) -> Cutoffs:
+    """stratum -> rule -> cutoff, for the rule sets that passed.
+
+    ``measured`` has doc_id, lang and the rule values; ``labels`` doc_id and quality (0 is bad).
+    """
+    judged = stage(labelled_measures(measured, labels), "labelled-measures")
+    chains = rule_chains(judged.where(~F.col("holdout")), risk / 4, nearly)
+    if not chains:
+        return {}
+    joins = F.lit(None).cast("int")  # the first rule set of its stratum that rejects a document
+    for s, chain in chains.items():
+        place = F.coalesce(*[F.when(F.col(rule) > F.lit(cutoff), F.lit(i)) for i, (rule, cutoff) in enumerate(chain)], F.lit(len(chain)))
+        joins = F.when(F.col("stratum") == s, place).otherwise(joins)
+    tested = judged.where(F.col("holdout") & F.col("good")).groupBy("stratum", joins.alias("set")).count().collect()
+    bounds: dict[str, list[float]] = {}
+    for s, chain in chains.items():
+        counts = [sum(r["count"] for r in tested if r.stratum == s and r.set == i) for i in range(len(chain) + 1)]
+        bounds[s] = [binomial_tail(int(lost), sum(counts), risk) if sum(counts) else 1.0 for lost in np.cumsum(counts[:-1])]
+    out, left = {}, len(STRATA) + 1
+    for s in sorted(bounds, key=lambda s: (bounds[s][0], s)):
+        passed = next((i for i, b in enumerate(bounds[s]) if b > level / left), len(bounds[s]))
+        if not passed:
+            break  # Holm: no stratum with a larger bound passes
+        out[s] = dict(chains[s][:passed])
+        left -= 1
     return out
 
 
