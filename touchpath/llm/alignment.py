@@ -25,6 +25,7 @@ import hashlib
 import json
 import os
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchpath.llm.common import LONG, STRING, field, map_text, stage
+from touchpath.llm.token_counts import Splitter
 
 PIECE = 1 << 16  # ends merged in one piece
 BLOCK = 1 << 20  # characters of text encoded at once
+KNOWN = 500_000  # distinct pre-tokens whose ids a worker keeps
 SPACE = "▁"
 
 
@@ -56,13 +59,27 @@ class ByteBpe:
         self.tokenizer.encode_special_tokens = True
         chars = byte_level()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.cut, self.known = Splitter().pieces, {}
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         added = {t["content"] for t in json.loads(data)["added_tokens"]}
         for token, i in vocabulary.items():
             self.bytes[i] = token.encode() if token in added else bytes(chars[c] for c in token)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def _new(self, pieces: list[str]) -> dict[str, list[int]]:
+        """What the library makes of pre-tokens."""
+        return dict(zip(pieces, (e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of space + text; the library encodes each distinct pre-token, which stands for itself in every text."""
+        cut = [self.cut(" " + t) for t in texts]
+        known = self.known
+        more = self._new(list({p for pieces in cut for p in pieces if p not in known}))
+        if len(known) + len(more) <= KNOWN:
+            known.update(more)
+            more = known
+        else:  # what doesn't fit is kept for this block alone
+            more = {**more, **{p: known[p] for pieces in cut for p in pieces if p in known}}
+        return [np.fromiter(chain.from_iterable(map(more.__getitem__, pieces)), np.int64) for pieces in cut]
 
 
 class Pieces:
@@ -76,8 +93,8 @@ class Pieces:
         self.bytes = [bytes([int(self.model.id_to_piece(i)[3:-1], 16)]) if self.model.is_byte(i)
                       else self.model.id_to_piece(i).replace(SPACE, " ").encode("utf-8") for i in pieces]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
 
 
 def most_pairs(a: list[bytes], b: list[bytes]) -> int:
@@ -137,8 +154,9 @@ class Aligner:
         # a token's text by its side and by whether it ends its group
         self.shown = [f"{i}{end}" for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
 
-    def _joins(self, side: ByteBpe | Pieces, ids: list[int], data: bytes) -> bool:
-        return b"".join(map(side.bytes.__getitem__, ids)) == data
+    def _joins(self, side: int, ids: np.ndarray, data: bytes) -> bool:
+        of = (self.a, self.b)[side].bytes
+        return int(self.sizes[side][ids].sum()) == len(data) and b"".join(map(of.__getitem__, ids.tolist())) == data
 
     def block(self, texts: list[str]) -> list[list]:
         """Per text: n_a, n_b, n_groups, groups text, sorted id pairs ``a * n_b + b`` and how often each is linked."""
@@ -146,10 +164,10 @@ class Aligner:
         held = [i for i, t in enumerate(texts) if t]
         sent = [texts[i] for i in held]
         both = [(i, x, y) for i, t, x, y in zip(held, sent, self.a.encode(sent), self.b.encode(sent))
-                if self._joins(self.a, x, data := b" " + t.encode("utf-8")) and self._joins(self.b, y, data)]
+                if self._joins(0, x, data := b" " + t.encode("utf-8")) and self._joins(1, y, data)]
         if not both:
             return out
-        ids = [np.concatenate([np.array(r[side], np.int64) for r in both]) for side in (1, 2)]
+        ids = [np.concatenate([r[side] for r in both]) for side in (1, 2)]
         ends = [np.cumsum(sizes[x]) for sizes, x in zip(self.sizes, ids)]
         at_a, at_b = links(*ends)
         last_a = np.cumsum([len(r[1]) for r in both]) - 1

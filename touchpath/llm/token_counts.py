@@ -49,6 +49,25 @@ class Classes(dict):
         return found
 
 
+class Splitter:
+    """Cuts texts into the library's pre-tokens."""
+
+    def __init__(self):
+        self.classes, self.find = Classes(), re.compile(SPLIT).findall
+
+    def shapes(self, text: str) -> tuple[str, list[str], list[str]]:
+        """(the text by classes, its pre-tokens by classes, its pre-tokens)."""
+        shown = text.translate(self.classes)
+        shapes = self.find(shown)
+        if shown == text:
+            return shown, shapes, shapes
+        ends = list(accumulate(map(len, shapes)))
+        return shown, shapes, [text[a:b] for a, b in zip([0, *ends], ends)]
+
+    def pieces(self, text: str) -> list[str]:
+        return self.shapes(text)[2]
+
+
 def load_vocabulary(path: str) -> tuple[dict[tuple[bytes, bytes], int], list[str]]:
     """Merge ranks and special strings of a ``tokenizers`` byte-level BPE file."""
     with open(path, encoding="utf-8") as f:
@@ -76,7 +95,7 @@ class PrefixCounter:
         for token, i in ids.items():
             self.ends.add_word(token.decode("latin-1"), i)
         self.ends.make_automaton()
-        self.split, self.classes = re.compile(SPLIT).findall, Classes()
+        self.split = Splitter().shapes
         self.specials = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.seams: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
@@ -154,13 +173,7 @@ class PrefixCounter:
         return known
 
     def plain(self, text: str) -> bytes:
-        shown, deltas = text.translate(self.classes), self.deltas
-        shapes = self.split(shown)
-        if shown == text:
-            pieces = shapes
-        else:
-            ends = list(accumulate(map(len, shapes)))
-            pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
+        (shown, shapes, pieces), deltas = self.split(text), self.deltas
         known = list(map(self.cache.get, pieces))
         if None in known:
             known = [k if k is not None else deltas(p) for k, p in zip(known, pieces)]
