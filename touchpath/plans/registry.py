@@ -1,10 +1,11 @@
 """Query registry: every stage over the driver tables, keyed as in the survey inventory.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the driver ``events`` / ``lineitem`` tables through the fixture adapters.
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame built from the
+driver ``events`` / ``lineitem`` tables through the fixture adapters.
 Array columns are rendered as ``' > '`` paths and floating results rounded here
 (operators don't round) so that an independent SQL engine can be compared value
-by value. A stage that several branches read is written as Parquet first.
+by value. A stage that several branches read is written as Parquet while the
+query is built; what follows it is lazy.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from touchpath.config import ChainConfig, EventsConfig
 from touchpath.functions import params as P
+from touchpath.functions.dates import minus_days
 from touchpath.operators import chains as CH
 from touchpath.operators import checks as Q
 from touchpath.operators import lookback as L
@@ -273,6 +275,35 @@ def q_check_concat_unique(spark, d):
     return Q.check_concat_unique(CH.chain_concatenation(stage(raw_chains(spark, d), "raw-chains"), CHAIN_CFG.concat_within_days))
 
 
+# --- checks over rows that break them: the given rows, broken by a rule that SQL can follow
+
+def q_null_channel_planted(spark, d):
+    """Q1 where SMS sessions lost their channel."""
+    return Q.check_null_channel(t4(spark, d).withColumn("channel_group", F.when(F.col("channel_group") != "SMS", F.col("channel_group"))))
+
+
+def q_session_dates_planted(spark, d):
+    """Q2 where the last event of Email touchpoints is a day late."""
+    late = F.when(F.col("channel_group") == "Email", minus_days("last_event_timestamp", -1)).otherwise(F.col("last_event_timestamp"))
+    return Q.check_session_dates(t4(spark, d).withColumn("last_event_timestamp", late))
+
+
+def _by_day(chains: DataFrame) -> DataFrame:
+    """Chains whose conversion id is their purchase day alone."""
+    return chains.withColumn("conversion_id", F.col("purchase_date").cast("string"))
+
+
+def q_merge_unique_planted(spark, d):
+    """Q5 where ids are days, so merged chains of several customers share them."""
+    heads, steps = U.raw_units(stage(CH.numbered_sessions(t4(spark, d)), "sessions"))
+    return Q.check_merge_unique(_by_day(U.merged_units(heads, steps, CHAIN_CFG.merge_gap_days)[0]))
+
+
+def q_concat_unique_planted(spark, d):
+    """Q6 where ids are days."""
+    return Q.check_concat_unique(_by_day(units(spark, d)[0]))
+
+
 def q_weekly_media(spark, d):
     w = weekly(spark, d)
     return _round(w, 2, [c for c in w.columns if c.endswith(("_inv", "_num"))])
@@ -352,6 +383,10 @@ def queries():
         "check_chain_counts": q_check_chain_counts,
         "check_merge_unique": q_check_merge_unique,
         "check_concat_unique": q_check_concat_unique,
+        "check_null_channel_planted": q_null_channel_planted,
+        "check_session_dates_planted": q_session_dates_planted,
+        "check_merge_unique_planted": q_merge_unique_planted,
+        "check_concat_unique_planted": q_concat_unique_planted,
         "weekly_media": q_weekly_media,
         "rolling_year": q_rolling_year,
         "channel_recap": q_channel_recap,
