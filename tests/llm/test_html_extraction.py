@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from tests.conftest import SF_SMALL
 from touchpath.llm.html_extraction import extract, main_text
@@ -50,6 +51,18 @@ def test_broken_markup_and_edges(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_deeply_nested_pages_take_time_in_proportion():
+    def seconds(n):
+        page = "<div>" * n + "<header>" * n + "<h2>deep</h2>" * n + "words of the text " * 20
+        start = time.perf_counter()
+        extract(page)
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(20_000) < 40 * max(seconds(2_000), 0.02)
+    assert extract("<article><header><h1>Head</h1></header><p>" + "text " * 50 + "</p></article>").startswith("Head\n")
+
+
 def test_classes_that_start_like_boilerplate_and_wrappers():
     line = " ".join("some words of the article".split() * 8)
     assert extract(f"<body><div class='commentlist'><p>{'hi all ' * 99}</p></div><article>{PARAGRAPH}</article></body>") == line

@@ -54,16 +54,17 @@ NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search d
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "by_class", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "dropped", "by_class", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_article")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
         self.tag, self.parent, self.items, self.dropped, self.by_class = tag, parent, [], dropped, False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
 
 
 def _left_out(tag: str, attributes: str, parent: Node) -> bool:
-    if tag in DROPPED and not (tag == "header" and _inside(parent, ("article", "main"))):
+    if tag in DROPPED and not (tag == "header" and parent.in_article):
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
@@ -123,14 +124,6 @@ def _drop_by_class(nodes: list[Node]) -> None:
         node.dropped = node.dropped or id(node) in out
 
 
-def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
-
-
 def parse(page: str, by_class: bool = True) -> list[Node]:
     """Nodes in page order; the first is the root. Items of a node are texts and child nodes.
 
@@ -249,7 +242,7 @@ def extract(page: str) -> str:
     for n in kept:  # text beside the path that is as dense as the path, and the headings of its article
         if n.parent is not None and id(n.parent) in above and id(n) not in above and n is not best:
             dense = n.density >= threshold and n.link_chars * 3 <= n.chars
-            if dense or n.tag in HEADINGS and _inside(n.parent, ("article", "main")):
+            if dense or n.tag in HEADINGS and n.parent.in_article:
                 chosen.add(id(n))
     blocks, inline = [], []
 
