@@ -41,15 +41,25 @@ chemistry physics mathematics grammar language translate archive gallery orchest
 window trade exact context textile express additional address pillar expert betty tibet alphabet winter winner""".split()
 
 
-def seed_table(spark: SparkSession) -> DataFrame:
-    """Small labelled url table (url, blocked): each labelled name in a few url shapes."""
-    names = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(b).alias("blocked"))
+#: How a labelled word stands in names, the same for both labels.
+NAME_FORMS = ("%s", "%ss", "best-%s", "%s-online", "%s24", "my%s", "%shub", "the-%s", "%s-club", "top%s")
+
+
+def labelled_names(spark: SparkSession) -> DataFrame:
+    """(stem, name, blocked): every labelled word in every form."""
+    stems = F.explode(F.array(*[F.struct(F.lit(n).alias("stem"), F.lit(b).alias("blocked"))
                                 for part, b in ((BLOCKED_NAMES, 1), (ALLOWED_NAMES, 0)) for n in part])).alias("s")
-    shapes = F.explode(F.array(F.lit("https://www.%s.example.com/en/12"), F.lit("http://%s.example.org/de/345.html"),
-                               F.lit("https://m.%s.example.net/fr/67/"), F.lit("http://blog.%s.org/es/890"),
-                               F.lit("https://www.%s.com/"), F.lit("https://site.example.net/%s/index.html"))).alias("shape")
-    return (spark.range(1).select(names).select("s.*").select("name", "blocked", shapes)
-            .select(F.replace("shape", F.lit("%s"), F.col("name")).alias("url"), "blocked"))
+    forms = F.explode(F.array(*[F.lit(f) for f in NAME_FORMS])).alias("form")
+    return spark.range(1).select(stems).select("s.*", forms).select("stem", F.replace("form", F.lit("%s"), F.col("stem")).alias("name"), "blocked")
+
+
+def seed_table(spark: SparkSession) -> DataFrame:
+    """Labelled url table (url, blocked, name, stem) of some 4,500 rows: each name in half of the url shapes."""
+    shapes = [F.array(F.lit("https://www.%s.example.com/en/12"), F.lit("http://blog.%s.org/es/890"), F.lit("https://site.example.net/%s/index.html")),
+              F.array(F.lit("http://%s.example.org/de/345.html"), F.lit("https://m.%s.example.net/fr/67/"), F.lit("https://www.%s.com/"))]
+    some = F.when(F.pmod(F.xxhash64("name"), F.lit(2)) == 0, shapes[0]).otherwise(shapes[1])
+    return (labelled_names(spark).withColumn("shape", F.explode(some))
+            .select(F.replace("shape", F.lit("%s"), F.col("name")).alias("url"), "blocked", "name", "stem"))
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
