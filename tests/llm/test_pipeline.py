@@ -11,7 +11,7 @@ from touchpath.llm import secret_scan as S
 
 def test_stages_and_registry():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination", "secret_scans", "source_mixing"]
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_run_against_brute_force(spark):
