@@ -38,7 +38,7 @@ from touchpath.llm.token_counts import Splitter
 
 PIECE = 1 << 16  # ends merged in one piece
 BLOCK = 1 << 20  # characters of text encoded at once
-KNOWN = 500_000  # distinct pre-tokens whose ids a worker keeps
+KNOWN = 300_000  # distinct pre-tokens whose ids a worker keeps
 SPACE = "▁"
 
 
@@ -65,9 +65,10 @@ class ByteBpe:
         for token, i in vocabulary.items():
             self.bytes[i] = token.encode() if token in added else bytes(chars[c] for c in token)
 
-    def _new(self, pieces: list[str]) -> dict[str, list[int]]:
-        """What the library makes of pre-tokens."""
-        return dict(zip(pieces, (e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))))
+    def _new(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
+        """What the library makes of pre-tokens; (-1,) where that doesn't join to the pre-token again."""
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return {p: tuple(e.ids) if b"".join(map(self.bytes.__getitem__, e.ids)) == p.encode("utf-8") else (-1,) for p, e in zip(pieces, encoded)}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of space + text; the library encodes each distinct pre-token, which stands for itself in every text."""
@@ -154,9 +155,12 @@ class Aligner:
         # a token's text by its side and by whether it ends its group
         self.shown = [f"{i}{end}" for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
 
-    def _joins(self, side: int, ids: np.ndarray, data: bytes) -> bool:
-        of = (self.a, self.b)[side].bytes
-        return int(self.sizes[side][ids].sum()) == len(data) and b"".join(map(of.__getitem__, ids.tolist())) == data
+    def _joins(self, a: np.ndarray, b: np.ndarray, text: str) -> bool:
+        """Whether the tokens of both join to space + text; A's do where each pre-token's do."""
+        if (a < 0).any():
+            return False
+        data = b" " + text.encode("utf-8")
+        return int(self.sizes[1][b].sum()) == len(data) and b"".join(map(self.b.bytes.__getitem__, b.tolist())) == data
 
     def block(self, texts: list[str]) -> list[list]:
         """Per text: n_a, n_b, n_groups, groups text, sorted id pairs ``a * n_b + b`` and how often each is linked."""
@@ -164,7 +168,7 @@ class Aligner:
         held = [i for i, t in enumerate(texts) if t]
         sent = [texts[i] for i in held]
         both = [(i, x, y) for i, t, x, y in zip(held, sent, self.a.encode(sent), self.b.encode(sent))
-                if self._joins(0, x, data := b" " + t.encode("utf-8")) and self._joins(1, y, data)]
+                if self._joins(x, y, t)]
         if not both:
             return out
         ids = [np.concatenate([r[side] for r in both]) for side in (1, 2)]
